@@ -12,6 +12,11 @@ DAY_KEY = "yyyy-MM-dd"
 MONTH_KEY = "yyyy-MM"
 
 
+def span(days: int = 0, hours: int = 0) -> Column:
+    """A fixed length of time."""
+    return F.make_dt_interval(F.lit(days), F.lit(hours))
+
+
 def from_millis(ms: Column) -> Column:
     return F.timestamp_millis(ms.cast("bigint"))
 
@@ -32,18 +37,18 @@ def parse_period_key(key: Column, fmt: str = DAY_KEY) -> Column:
 def day_series(start: Column, count: int, step_days: int = 1) -> Column:
     """``count + 1`` dates, ``step_days`` apart, first one included."""
     first = start.cast("date")
-    return F.sequence(first, F.date_add(first, count * step_days), F.make_dt_interval(F.lit(step_days)))
+    return F.sequence(first, F.date_add(first, count * step_days), span(days=step_days))
 
 
 def hours_of_day(day: Column) -> Column:
     """The 24 hour starts of a day."""
     first = F.date_trunc("day", day)
-    return F.sequence(first, first + F.expr("INTERVAL 23 HOURS"), F.expr("INTERVAL 1 HOUR"))
+    return F.sequence(first, first + span(hours=23), span(hours=1))
 
 
 def half_open_hours(start: Column, end: Column) -> Column:
     """Hour starts in ``[start, end)``."""
-    return F.filter(F.sequence(start, end, F.expr("INTERVAL 1 HOUR")), lambda h: h < end)
+    return F.filter(F.sequence(start, end, span(hours=1)), lambda h: h < end)
 
 
 def previous_day(as_of: Column) -> Column:
@@ -56,7 +61,7 @@ def previous_week(as_of: Column) -> Column:
 
 def previous_hour(as_of: Column) -> Column:
     """Start of the hour before the one that holds ``as_of``."""
-    return F.date_trunc("hour", as_of) - F.expr("INTERVAL 1 HOUR")
+    return F.date_trunc("hour", as_of) - span(hours=1)
 
 
 def past_hour_paths(root: str, as_of, hours: int = 24) -> list[str]:

@@ -4,39 +4,53 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import IDF, HashingTF, UnivariateFeatureSelector
+from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer, UnivariateFeatureSelector
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressgauge.functions.metrics import class_label, two_class_scores
 
-OTHER = 4.0
+OTHER = 4
 
 
 def fit_chain(
     train: DataFrame, label: str = "label", tokens: str = "tokens", features: int = 1 << 14,
     selected: int = 1000, output: str = "prediction", prefix: str = "",
 ) -> PipelineModel:
-    """Fit the scoring chain on ``tokens`` and a numeric ``label``; save it with ``model.write()``."""
+    """Fit the scoring chain on ``tokens`` and a class code ``label``; save it with ``model.write()``.
+
+    Codes need not be 0, 1, 2, ...: the chain numbers the codes that occur, in ascending order, and turns
+    predictions back into codes. ``output`` holds the code as text.
+    """
+    classes = StringIndexer(
+        inputCol=label, outputCol=f"{prefix}class", stringOrderType="alphabetAsc"
+    ).fit(train)
     selector = UnivariateFeatureSelector(
-        featuresCol=f"{prefix}idf", outputCol=f"{prefix}chosen", labelCol=label, selectionMode="numTopFeatures"
+        featuresCol=f"{prefix}idf", outputCol=f"{prefix}chosen", labelCol=f"{prefix}class",
+        selectionMode="numTopFeatures",
     ).setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(selected)
     return Pipeline(stages=[
+        classes,
         HashingTF(inputCol=tokens, outputCol=f"{prefix}tf", numFeatures=features),
         IDF(inputCol=f"{prefix}tf", outputCol=f"{prefix}idf"),
         selector,
         NaiveBayes(
-            featuresCol=f"{prefix}chosen", labelCol=label, predictionCol=output,
+            featuresCol=f"{prefix}chosen", labelCol=f"{prefix}class", predictionCol=f"{prefix}predicted",
             probabilityCol=f"{prefix}probability", rawPredictionCol=f"{prefix}raw",
         ),
+        IndexToString(inputCol=f"{prefix}predicted", outputCol=output, labels=classes.labels),
     ]).fit(train)
 
 
+def _code(prediction: str) -> Column:
+    return F.col(prediction).cast("double").cast("int")
+
+
 def predict(model: PipelineModel, docs: DataFrame, prediction: str = "prediction") -> DataFrame:
     """The input columns and ``label_text``, the label of the predicted class code."""
     scored = model.transform(docs)
-    return scored.select(*docs.columns, class_label(F.col(prediction).cast("int")).alias("label_text"))
+    return scored.select(*docs.columns, class_label(_code(prediction)).alias("label_text"))
 
 
 def predict_cascade(first: PipelineModel, second: PipelineModel, docs: DataFrame) -> DataFrame:
@@ -45,8 +59,8 @@ def predict_cascade(first: PipelineModel, second: PipelineModel, docs: DataFrame
     The models must be fitted with outputs ``p1`` and ``p2`` and different prefixes.
     """
     scored = second.transform(first.transform(docs))
-    code = F.when(F.col("p1") == OTHER, F.col("p2")).otherwise(F.col("p1"))
-    return scored.select(*docs.columns, class_label(code.cast("int")).alias("label_text"))
+    code = F.when(_code("p1") == OTHER, _code("p2")).otherwise(_code("p1"))
+    return scored.select(*docs.columns, class_label(code).alias("label_text"))
 
 
 def class_probabilities(model: PipelineModel, docs: DataFrame, probability: str = "probability") -> DataFrame:

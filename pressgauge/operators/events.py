@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressgauge.functions.periods import half_open_hours
+from pressgauge.functions.periods import half_open_hours, span
 from pressgauge.operators.records import NO_NEWS
 
 EVENT = ["event_id", "event_name"]
-HOUR = F.expr("INTERVAL 1 HOUR")
 
 
 def event_links(events: DataFrame) -> DataFrame:
@@ -44,9 +43,9 @@ def _exposed(events: DataFrame, news: DataFrame, keys: list[str]) -> DataFrame:
 def exposure(events: DataFrame, news: DataFrame, as_of: Column, hours_back: int) -> DataFrame:
     """``event_id, event_name, exposure, platforms`` of the half-open hour that starts ``hours_back``
     before ``as_of``; events without news in it have zero and an empty list."""
-    start = as_of - F.make_dt_interval(F.lit(0), F.lit(hours_back))
+    start = as_of - span(hours=hours_back)
     t = F.col("news_time")
-    hit = _exposed(events, news.where((t >= start) & (t < start + HOUR)), [])
+    hit = _exposed(events, news.where((t >= start) & (t < start + span(hours=1))), [])
     return events.select(*EVENT).distinct().join(hit, EVENT, "left").select(
         *EVENT, F.coalesce("exposure", F.lit(0)).cast("bigint").alias("exposure"),
         F.coalesce("platforms", F.lit("")).alias("platforms"),
@@ -83,7 +82,7 @@ def hourly_metrics(
     One pass instead of one run per hour; ``hours_back`` shifts the news window. The time bounds are
     plain comparisons, so they reach the scans of both logs.
     """
-    shift = F.make_dt_interval(F.lit(0), F.lit(hours_back))
+    shift = span(hours=hours_back)
     t = F.col("news_time")
     in_range = news.where((t >= start - shift) & (t < end - shift))
     exposed = _exposed(events, in_range.withColumn("hour", F.date_trunc("hour", t) + shift), ["hour"])

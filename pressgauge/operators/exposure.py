@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pressgauge.functions.metrics import increase_rate, trend
-
-HOUR = F.expr("INTERVAL 1 HOUR")
+from pressgauge.functions.periods import span
 
 
 def stock_links(news: DataFrame, stock_dict: DataFrame) -> DataFrame:
@@ -30,14 +29,15 @@ def complete(stock_dict: DataFrame, measures: DataFrame, columns: list[str], key
 
 
 def exposure(
-    news: DataFrame, stock_dict: DataFrame, start: Column, width: Column = HOUR, closed: bool = True
+    news: DataFrame, stock_dict: DataFrame, start: Column, hours: int = 1, closed: bool = True
 ) -> DataFrame:
-    """``stock, exposure``: news in ``[start, start + width]``, zero if none.
+    """``stock, exposure``: news in ``[start, start + hours]``, zero if none.
 
     The upper bound is closed by default, so an item on it counts here and in the next window too.
     """
     t = F.col("news_time")
-    upper = (t <= start + width) if closed else (t < start + width)
+    end = start + span(hours=hours)
+    upper = (t <= end) if closed else (t < end)
     counts = (
         news.where((t >= start) & upper)
         .select(F.explode("stock").alias("stock"))
@@ -51,7 +51,7 @@ def hour_memberships(t: Column, closed: bool = True) -> Column:
     hour = F.date_trunc("hour", t)
     if not closed:
         return F.array(hour)
-    return F.when(hour == t, F.array(hour, hour - HOUR)).otherwise(F.array(hour))
+    return F.when(hour == t, F.array(hour, hour - span(hours=1))).otherwise(F.array(hour))
 
 
 def hourly_exposure_counts(news: DataFrame, closed: bool = True) -> DataFrame:

@@ -1,11 +1,11 @@
 """Iterative graph operators: PageRank and two-class label propagation.
 
-Both are repeated sparse matrix-vector products. The edges are laid out once, hash-partitioned on the
-vertex they read from, and checkpointed; each step then moves only one value per vertex and the
-map-side-combined messages. Lineage is cut with reliable checkpoints every few steps.
+Both are repeated sparse matrix-vector products. The edges are written once to a table bucketed by the
+vertex they read from, so a step reads them without a shuffle and moves only the map-side-combined
+messages. Lineage is cut with reliable checkpoints every few steps.
 
-A vertex may touch any share of all edges. Its edges are cut into slices of ``slice_edges`` at most
-(on average), each slice a partitioning key of its own, and its value is sent to every slice.
+A vertex may touch any share of all edges. The edges of a vertex with more than ``slice_edges`` are cut
+into slices of about that size, each a bucketing key of its own, and its value is sent to every slice.
 """
 
 from __future__ import annotations
@@ -14,25 +14,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressgauge.session import ensure_checkpoint_dir
+from pressgauge.sources.tables import write_bucketed
 
 
 class EdgeLayout:
-    """Edges ``(at, to, w, degree)`` partitioned by ``at`` (and slice where a vertex has several)."""
-
-    def __init__(self, edges: DataFrame, slice_edges: int = 1_000_000):
-        spark = edges.sparkSession
-        ensure_checkpoint_dir(spark)
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        sizes = edges.groupBy("at").agg(F.count(F.lit(1)).alias("degree"), F.sum("w").alias("weight"))
-        slices = F.ceil(F.col("degree") / F.lit(slice_edges)).cast("int")
-        cut = edges.join(sizes, "at").select(
-            "at", "to", "w", "degree", "weight",
-            F.pmod(F.xxhash64("to"), slices).cast("int").alias("slice"),
-        )
-        wide = sizes.where(F.col("degree") > slice_edges).select("at", slices.alias("slices"))
-        self.wide = None if wide.isEmpty() else wide.checkpoint()
-        keys = ["at"] if self.wide is None else ["at", "slice"]
-        self.edges = cut.repartition(tasks, *keys).checkpoint()
+    """Edges ``(at, to, ...)`` bucketed by ``at``, and by slice where a vertex has several.
+
+    With ``degree`` each edge also carries the number of edges of its ``at`` vertex.
+    """
+
+    def __init__(self, edges: DataFrame, slice_edges: int, degree: bool = False):
+        ensure_checkpoint_dir(edges.sparkSession)
+        sizes = edges.groupBy("at").agg(F.count(F.lit(1)).alias("degree")).checkpoint()
+        slices = F.ceil(F.col("degree") / F.lit(slice_edges)).cast("int").alias("slices")
+        wide = sizes.where(F.col("degree") > slice_edges).select("at", slices)
+        self.wide = None if wide.isEmpty() else wide
+        placed = edges.join(sizes, "at") if degree else edges
+        keys = ["at"]
+        if self.wide is not None:
+            # Only the few wide vertices are in this table.
+            slice_no = F.pmod(F.xxhash64("to"), F.coalesce("slices", F.lit(1))).cast("int")
+            placed = placed.join(self.wide, "at", "left").withColumn("slice", slice_no).drop("slices")
+            keys.append("slice")
+        self.edges, self._table = write_bucketed(placed, keys, "edges")
 
     def read(self, values: DataFrame, vertex: str) -> DataFrame:
         """Each edge with the columns of the ``values`` row of its ``at`` vertex."""
@@ -46,6 +50,11 @@ class EdgeLayout:
         )
         return self.edges.join(spread, ["at", "slice"])
 
+    def forget(self) -> None:
+        """Drop the table's name. Its files stay in the shared folder, for results not yet computed."""
+        spark = self.edges.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {self._table}")
+
 
 def distinct_edges(pairs: DataFrame) -> DataFrame:
     return pairs.select("src", "dst").distinct()
@@ -83,33 +92,39 @@ def pagerank(
     ``1 - damping`` instead. Repeated pairs count once. Lays out the edges eagerly.
     """
     edges = distinct_edges(pairs)
-    vertices = edges.select(F.explode(F.array("src", "dst")).alias("vertex")).distinct()
-    ranks = vertices.withColumn("rank", F.lit(1.0))
     if steps == 0:
-        return ranks
-    layout = EdgeLayout(
-        edges.select(F.col("src").alias("at"), F.col("dst").alias("to"), F.lit(1.0).alias("w")), slice_edges
-    )
-    rest = vertices.checkpoint() if keep_sources else None
+        return _ends(edges, "src", "dst").withColumn("rank", F.lit(1.0))
+    layout = EdgeLayout(edges.select(F.col("src").alias("at"), F.col("dst").alias("to")), slice_edges, degree=True)
+    vertices = _ends(layout.edges, "at", "to").checkpoint() if keep_sources else None
+    ranks = None
     for step in range(1, steps + 1):
-        sent = layout.read(ranks, "vertex").select(
-            F.col("to").alias("vertex"), (F.col("rank") / F.col("degree")).alias("share")
-        )
-        if rest is not None:
-            sent = sent.unionByName(rest.withColumn("share", F.lit(0.0)))
+        # Before the first step every vertex has rank 1, so no ranks have to be joined.
+        read = layout.edges.withColumn("rank", F.lit(1.0)) if ranks is None else layout.read(ranks, "vertex")
+        sent = read.select(F.col("to").alias("vertex"), (F.col("rank") / F.col("degree")).alias("share"))
+        if vertices is not None:
+            sent = sent.unionByName(vertices.withColumn("share", F.lit(0.0)))
         ranks = sent.groupBy("vertex").agg((F.sum("share") * damping + (1.0 - damping)).alias("rank"))
         if step % checkpoint_every == 0 and step < steps:
             ranks = ranks.checkpoint()
+    layout.forget()
     return ranks
 
 
-def similarity_graph(pairs: DataFrame) -> DataFrame:
-    """``src, dst, w``: pairs in both directions and a self loop of weight 1 for each vertex."""
+def _ends(edges: DataFrame, a: str, b: str) -> DataFrame:
+    return edges.select(F.explode(F.array(a, b)).alias("vertex")).distinct()
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
     w = F.col("w").cast("double").alias("w")
-    both = pairs.select(F.inline(F.array(
+    return pairs.select(F.inline(F.array(
         F.struct(F.col("src").alias("src"), F.col("dst").alias("dst"), w),
         F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), w),
     )))
+
+
+def similarity_graph(pairs: DataFrame) -> DataFrame:
+    """``src, dst, w``: pairs in both directions and a self loop of weight 1 for each vertex."""
+    both = _both_ways(pairs)
     loops = both.select("src").distinct().select("src", F.col("src").alias("dst"), F.lit(1.0).alias("w"))
     return both.unionByName(loops)
 
@@ -141,9 +156,10 @@ def label_propagation(
     changes of p1 per iteration. With ``tolerance`` the run ends after the first checkpoint whose last
     step changed less than that.
     """
-    weights = row_normalise(similarity_graph(pairs))
+    # Scores of a vertex are rescaled to sum to one, so its row sum cancels and the raw weights do; and
+    # its self loop of weight 1 adds its own scores, which the state row at hand holds.
     layout = EdgeLayout(
-        weights.select(F.col("dst").alias("at"), F.col("src").alias("to"), "w"), slice_edges
+        _both_ways(pairs).select(F.col("dst").alias("at"), F.col("src").alias("to"), "w"), slice_edges
     )
     start0, start1 = _one_hot(F.col("label"))
     no_steps = F.array().cast("array<double>")
@@ -156,10 +172,11 @@ def label_propagation(
             .groupBy(F.col("to").alias("id"))
             .agg(F.sum(F.col("w") * F.col("p0")).alias("s0"), F.sum(F.col("w") * F.col("p1")).alias("s1"))
         )
-        total = F.nullif(F.col("s0") + F.col("s1"), F.lit(0.0))
+        new0, new1 = F.col("s0") + F.col("p0"), F.col("s1") + F.col("p1")
+        total = F.nullif(new0 + new1, F.lit(0.0))
         fixed = F.col("known") == 1
-        p0 = F.when(fixed, start0).otherwise(F.col("s0") / total)
-        p1 = F.when(fixed, start1).otherwise(F.col("s1") / total)
+        p0 = F.when(fixed, start0).otherwise(new0 / total)
+        p1 = F.when(fixed, start1).otherwise(new1 / total)
         move = F.abs(p1 - F.col("p1"))
         # The first product has no predecessor in the trace.
         moves = F.col("moves") if step == 0 else F.array_append("moves", move)
@@ -179,6 +196,7 @@ def label_propagation(
                 last = part.where(F.col("step") == step).first()
                 if last is None or last["difference"] < tolerance:
                     break
+    layout.forget()
     trace = trace_parts[0]
     for part in trace_parts[1:]:
         trace = trace.unionByName(part)

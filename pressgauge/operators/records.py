@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressgauge.functions.periods import span
+
 # Listed-stock codes and board codes.
 LISTED_EXCHANGES = ("001002", "001003")
 SECURITY_TYPE = "101"
@@ -17,19 +19,15 @@ INDUSTRY_BOARD = "1109"
 NO_NEWS = "no"
 
 
-def _hours(n: int) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(n))
-
-
 def look_back(df: DataFrame, time: str, as_of: Column, hours: int, bounded: bool = True) -> DataFrame:
     """Rows inside the open interval ``(as_of - hours, as_of)``; without ``bounded`` only the lower end."""
-    recent = df.where(F.col(time) > as_of - _hours(hours))
+    recent = df.where(F.col(time) > as_of - span(hours=hours))
     return recent.where(F.col(time) < as_of) if bounded else recent
 
 
 def events_since(events: DataFrame, start: Column, days: int = 3, time: str = "start_time") -> DataFrame:
     """Events from ``days`` before ``start`` on."""
-    return events.where(F.col(time) >= start - F.make_dt_interval(F.lit(days)))
+    return events.where(F.col(time) >= start - span(days=days))
 
 
 def valid_events(events: DataFrame) -> DataFrame:

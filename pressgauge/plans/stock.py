@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressgauge.functions.periods import half_open_hours
+from pressgauge.functions.periods import half_open_hours, span
 from pressgauge.operators import exposure as ex
 
-DAY = F.expr("INTERVAL 1 DAY")
-
 
 def _days(start: Column, end: Column) -> Column:
-    return F.filter(F.sequence(start, end, DAY), lambda d: d < end)
+    return F.filter(F.sequence(start, end, span(days=1)), lambda d: d < end)
 
 
 def daily_history(
@@ -24,12 +22,12 @@ def daily_history(
     Exposure counts the news from midnight to ``exposure_hours`` later, that point included; 24 gives
     the whole day. Trend compares visits with the day before and is null on the first day.
     """
-    width = F.make_dt_interval(F.lit(0), F.lit(exposure_hours))
+    width = span(hours=exposure_hours)
     t = F.col("news_time")
     midnight = F.date_trunc("day", t)
     # A whole day's closed bound is the next midnight, which also belongs to that next day.
     on_edge = (t == midnight) & F.lit(exposure_hours == 24)
-    days = F.when(on_edge, F.array(midnight, midnight - DAY)).otherwise(F.array(midnight))
+    days = F.when(on_edge, F.array(midnight, midnight - span(days=1))).otherwise(F.array(midnight))
     exposed = (
         news.where((t >= start) & (t <= end) & (t <= midnight + width))
         .select(F.explode(days).alias("day"), "stock").select("day", F.explode("stock").alias("stock"))
@@ -43,7 +41,7 @@ def daily_history(
         F.coalesce("exposure", F.lit(0)).cast("bigint").alias("exposure"),
         F.coalesce("visit", F.lit(0)).cast("bigint").alias("visit"),
     )
-    return _with_trend(full, "day", DAY)
+    return _with_trend(full, "day", span(days=1))
 
 
 def hourly_history(
@@ -60,7 +58,7 @@ def hourly_history(
         F.coalesce("exposure", F.lit(0)).cast("bigint").alias("exposure"),
         F.coalesce("visit", F.lit(0)).cast("bigint").alias("visit"),
     )
-    return _with_trend(full, "hour", ex.HOUR)
+    return _with_trend(full, "hour", span(hours=1))
 
 
 def _with_trend(full: DataFrame, period: str, step: Column) -> DataFrame:

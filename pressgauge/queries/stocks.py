@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressgauge.functions.periods import span
 from pressgauge.operators import exposure as ex
 from pressgauge.plans import stock
 from pressgauge.queries import inputs as i
@@ -80,13 +81,13 @@ def _per_period(spark: SparkSession, d: str, unit: str, key: str) -> DataFrame:
 
 def stock_trend(spark: SparkSession, d: str) -> DataFrame:
     daily = _per_period(spark, d, "day", "event_type")
-    out = ex.trend_series(daily, "period", "value", stock.DAY, ["event_type"])
+    out = ex.trend_series(daily, "period", "value", span(days=1), ["event_type"])
     return out.withColumn("period", i.text_key("period"))
 
 
 def stock_rate(spark: SparkSession, d: str) -> DataFrame:
     hourly = _per_period(spark, d, "hour", "user_id")
-    out = ex.rate_series(hourly, "period", "value", ex.HOUR, ["user_id"])
+    out = ex.rate_series(hourly, "period", "value", span(hours=1), ["user_id"])
     return out.select(i.text_key("period").alias("period"), "user_id", F.round("rate", 6).alias("rate"))
 
 

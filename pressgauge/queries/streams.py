@@ -13,7 +13,8 @@ from pressgauge.streaming import hourly
 
 
 def _visits(spark: SparkSession, d: str) -> DataFrame:
-    raw = hourly.as_stream(spark, f"{d}/events.parquet")
+    # A glob, because a file stream wants a folder or a pattern rather than one file.
+    raw = hourly.as_stream(spark, f"{d}/events*.parquet")
     return raw.select(
         F.col("ts").cast("timestamp").alias("ts"),
         F.concat(F.lit("http://n/"), F.col("event_id") % 5000).alias("url"), "user_id", "event_type", "props",

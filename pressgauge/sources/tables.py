@@ -54,6 +54,26 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/v={versions[-1]}")
 
 
+def write_bucketed(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder, bucketed by ``keys`` into as many buckets as the session has
+    shuffle partitions, and return the table with its name.
+
+    A join or aggregation on the keys then reads it without a shuffle, as often as needed, and an
+    executor that is lost takes nothing with it. The caller drops the name when it is done.
+    """
+    from pressgauge.session import run_path
+
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = run_path(spark, name)
+    table = f"pressgauge_{path.rsplit('/', 1)[1].replace('-', '_')}"
+    (
+        df.repartition(buckets, *keys).write.option("path", path)
+        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    )
+    return spark.table(table), table
+
+
 def keyed_update(current: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """``current`` with the columns of matching ``changes`` rows; unmatched changes are not inserted.
 
