@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer, UnivariateFeatureSelector
@@ -30,7 +31,7 @@ def fit_chain(
         featuresCol=f"{prefix}idf", outputCol=f"{prefix}chosen", labelCol=f"{prefix}class",
         selectionMode="numTopFeatures",
     ).setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(selected)
-    return Pipeline(stages=[
+    chain = Pipeline(stages=[
         classes,
         HashingTF(inputCol=tokens, outputCol=f"{prefix}tf", numFeatures=features),
         IDF(inputCol=f"{prefix}tf", outputCol=f"{prefix}idf"),
@@ -40,7 +41,13 @@ def fit_chain(
             probabilityCol=f"{prefix}probability", rawPredictionCol=f"{prefix}raw",
         ),
         IndexToString(inputCol=f"{prefix}predicted", outputCol=output, labels=classes.labels),
-    ]).fit(train)
+    ])
+    # Every stage passes over the training rows; they are tokenised once.
+    kept = train.select(tokens, label).persist(StorageLevel.DISK_ONLY)
+    try:
+        return chain.fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def _code(prediction: str) -> Column:

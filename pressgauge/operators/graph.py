@@ -145,7 +145,7 @@ def _one_hot(label: Column) -> tuple[Column, Column]:
 
 def label_propagation(
     pairs: DataFrame, labels: DataFrame, iterations: int = 50, tolerance: float | None = None,
-    checkpoint_every: int = 5, slice_edges: int = 1_000_000,
+    checkpoint_every: int = 3, slice_edges: int = 1_000_000,
 ) -> tuple[DataFrame, DataFrame]:
     """Two-class label propagation: ``(scores, trace)``.
 

@@ -23,10 +23,14 @@ def word_graph(docs: DataFrame, window: int, doc: str = "doc_id", tokens: str =
 
 
 def textrank(
-    docs: DataFrame, window: int, steps: int, damping: float = 0.85, doc: str = "doc_id", tokens: str = "tokens"
+    docs: DataFrame, window: int, steps: int, damping: float = 0.85, doc: str = "doc_id",
+    tokens: Column | str = "tokens",
 ) -> DataFrame:
     """``doc, word, score`` for the words of every document.
 
+    ``tokens`` is a token-array column, or an expression that makes one; an expression is computed after
+    the shuffle, so that the text moves and not its tokens.
+
     The graph of a document is symmetric and never larger than its text, so a document is ranked
     inside the row that holds it: documents are shuffled once, by ``doc`` (one row per document), and
     all later grouping keeps that partitioning. No step of the iteration moves data.
@@ -34,17 +38,20 @@ def textrank(
     if steps < 1:
         raise ValueError("steps must be positive")
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = (docs.select(doc, tokens) if isinstance(tokens, str) else docs).repartition(tasks, doc)
     # Number the words of a document, so that neighbours are positions in its rank array.
     numbered = (
-        docs.select(doc, tokens).repartition(tasks, doc)
-        .select(doc, F.posexplode(tokens).alias("pos", "word"))
+        placed.select(doc, F.posexplode(tokens).alias("pos", "word"))
         .withColumn("no", F.dense_rank().over(W.partitionBy(doc).orderBy("word")))
     )
     cells = numbered.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("pos", "no", "word"))).alias("cells"))
     near = neighbourhoods(cells, window, doc, "cells").select(
-        doc, F.col("word.no").alias("no"), F.col("word.word").alias("word"), F.explode("neighbours.no").alias("nb")
+        doc, F.col("word.no").alias("no"), F.col("word.word").alias("word"), F.col("neighbours.no").alias("nbs")
+    )
+    lists = (
+        near.where(F.size("nbs") > 0).groupBy(doc, "no", "word")
+        .agg(F.array_distinct(F.flatten(F.collect_list("nbs"))).alias("nbs"))
     )
-    lists = near.groupBy(doc, "no", "word").agg(F.collect_set("nb").alias("nbs"))
     graphs = lists.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("no", "word", "nbs"))).alias("graph"))
 
     adjacent = F.col("graph.nbs")

@@ -56,7 +56,7 @@ def pagerank_keep_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
-    return i.table(spark, d, "documents").select("doc_id", words(F.col("text")).alias("tokens"))
+    return i.documents(spark, d, "doc_id", "text").select("doc_id", words(F.col("text")).alias("tokens"))
 
 
 def word_graph(spark: SparkSession, d: str) -> DataFrame:
@@ -64,15 +64,19 @@ def word_graph(spark: SparkSession, d: str) -> DataFrame:
     return edges.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("degree"))
 
 
-def text_rank(spark: SparkSession, d: str) -> DataFrame:
-    scores = textrank.textrank(_tokens(spark, d), WINDOW, RANK_STEPS)
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    docs = i.table(spark, d, "documents").select("doc_id", "text")
+    scores = textrank.textrank(docs, WINDOW, RANK_STEPS, tokens=words(F.col("text")))
     return scores.withColumn("score", F.round("score", 6))
 
 
+def text_rank(spark: SparkSession, d: str) -> DataFrame:
+    return _scores(spark, d)
+
+
 def text_top_words(spark: SparkSession, d: str) -> DataFrame:
     # Rounded before placing, so that equal scores tie whatever the order of their sums.
-    scores = textrank.textrank(_tokens(spark, d), WINDOW, RANK_STEPS)
-    return textrank.top_words(scores.withColumn("score", F.round("score", 6)), 10)
+    return textrank.top_words(_scores(spark, d), 10)
 
 
 def _similarities(spark: SparkSession, d: str) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressgauge.sources.logs import spread
+
 # The 30 days that the events table covers.
 START, END = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 DAYS = 30
@@ -21,6 +23,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Some columns of the documents, spread over the cores where the files give too few splits."""
+    return spread(table(spark, d, "documents").select("doc_id", *[c for c in columns if c != "doc_id"]), "doc_id")
+
+
 def text_key(c: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     return F.date_format(c, fmt)
 
@@ -92,7 +99,7 @@ def visits(spark: SparkSession, d: str) -> DataFrame:
 def search_lines(spark: SparkSession, d: str) -> DataFrame:
     """Search-log lines: a conversation is a user and each of its turns a url-encoded query, spaces as
     %20. Every turn also gives a line without a query and a line with a field too few."""
-    c = table(spark, d, "conversations")
+    c = spread(table(spark, d, "conversations"), "conv_id", "turn")
     head = F.concat_ws("\t", F.col("turn"), F.col("conv_id"), F.col("role"), *[F.lit("-")] * 4)
     return c.select(F.explode(F.array(
         F.concat(head, F.lit("\t"), F.regexp_replace(F.url_encode("text"), "\\+", "%20")), F.concat(head, F.lit("\tNoDef")), head,
@@ -102,7 +109,7 @@ def search_lines(spark: SparkSession, d: str) -> DataFrame:
 def title_and_body(spark: SparkSession, d: str) -> DataFrame:
     """Documents split at the first line break."""
     at = F.instr("text", "\n")
-    return table(spark, d, "documents").select(
+    return documents(spark, d, "text").select(
         "doc_id",
         F.when(at > 0, F.expr("substring(text, 1, instr(text, '\n') - 1)")).otherwise(F.col("text")).alias("title"),
         F.when(at > 0, F.expr("substring(text, instr(text, '\n') + 1)")).otherwise(F.lit("")).alias("content"),

@@ -20,7 +20,7 @@ def url_decode(spark: SparkSession, d: str) -> DataFrame:
     Text without any escape is left alone, so a plus from a space stays in it.
     """
     once = F.url_encode("text")
-    return i.table(spark, d, "documents").select(
+    return i.documents(spark, d, "text").select(
         "doc_id",
         tx.decode_escapes(once).alias("once"),
         tx.decode_escapes(F.url_encode(once)).alias("twice"),
@@ -31,7 +31,7 @@ def url_decode(spark: SparkSession, d: str) -> DataFrame:
 def url_decode_units(spark: SparkSession, d: str) -> DataFrame:
     """Documents written as %uXXXX escapes throughout, turned into byte escapes and decoded."""
     escaped = F.regexp_replace(F.hex(F.encode("text", "UTF-16BE")), "(....)", "%u$1")
-    docs = i.table(spark, d, "documents").select("doc_id", escaped.alias("e"))
+    docs = i.documents(spark, d, "text").select("doc_id", escaped.alias("e"))
     return docs.select(
         "doc_id", tx.unit_escapes_to_bytes(F.col("e")).alias("bytes"), tx.decode_escapes(F.col("e")).alias("text")
     )
@@ -41,7 +41,7 @@ def term_normalise(spark: SparkSession, d: str) -> DataFrame:
     """Every document's text cut at normalised delimiters; long words that are not Latin segmented."""
     raw = F.split(tx.normalise_delimiters(F.col("text")), ",")
     terms = F.flatten(F.transform(raw, lambda w: tx.segment_gate(w)))
-    return i.table(spark, d, "documents").select(
+    return i.documents(spark, d, "text").select(
         "doc_id", F.array_join(F.filter(terms, lambda t: t != ""), "|").alias("terms")
     )
 

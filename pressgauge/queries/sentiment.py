@@ -17,23 +17,23 @@ LEXICON = sentiment.Lexicon(POSITIVE, NEGATIVE, NEGATORS)
 
 
 def sentence_split(spark: SparkSession, d: str) -> DataFrame:
-    docs = i.table(spark, d, "documents")
+    docs = i.documents(spark, d, "text")
     return docs.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("sentence", "text"))
 
 
 def sentence_polarity(spark: SparkSession, d: str) -> DataFrame:
-    return sentiment.sentence_polarities(i.table(spark, d, "documents").select("doc_id", "text"), LEXICON)
+    return sentiment.sentence_polarities(i.documents(spark, d, "text").select("doc_id", "text"), LEXICON)
 
 
 def sentence_polarity_joined(spark: SparkSession, d: str) -> DataFrame:
     """The same against a lexicon table."""
     rows = [("Pos", w) for w in POSITIVE] + [("Neg", w) for w in NEGATIVE] + [("Fou", w) for w in NEGATORS]
     lexicon = spark.createDataFrame(rows, "polarity string, word string")
-    return sentiment.tag_polarity(i.table(spark, d, "documents").select("doc_id", "text"), lexicon)
+    return sentiment.tag_polarity(i.documents(spark, d, "text").select("doc_id", "text"), lexicon)
 
 
 def doc_sentiment(spark: SparkSession, d: str) -> DataFrame:
-    return i.table(spark, d, "documents").select(
+    return i.documents(spark, d, "text").select(
         "doc_id", sentiment.document_sentiment(F.col("text"), LEXICON).alias("label")
     )
 
@@ -55,7 +55,7 @@ def _tagged(text):
 
 
 def pos_rule_score(spark: SparkSession, d: str) -> DataFrame:
-    return i.table(spark, d, "documents").select(
+    return i.documents(spark, d, "text").select(
         "doc_id", sentiment.rule_score(_tagged(F.col("text")), LEXICON).alias("score")
     )
 
@@ -66,12 +66,12 @@ def pos_rule_sentiment(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    docs = i.table(spark, d, "documents").select("doc_id", tx.words(F.col("text")).alias("tokens"), "lang")
+    docs = i.documents(spark, d, "text").select("doc_id", tx.words(F.col("text")).alias("tokens"))
     return docs.join(i.table(spark, d, "labels"), "doc_id")
 
 
 def _unlabelled(spark: SparkSession, d: str) -> DataFrame:
-    return i.table(spark, d, "documents").select("doc_id", tx.words(F.col("text")).alias("tokens"))
+    return i.documents(spark, d, "text").select("doc_id", tx.words(F.col("text")).alias("tokens"))
 
 
 def nb_predict(spark: SparkSession, d: str) -> DataFrame:

@@ -46,12 +46,12 @@ def labelled_corpus(spark: SparkSession, d: str) -> DataFrame:
 
 def token_clean(spark: SparkSession, d: str) -> DataFrame:
     cleaned = tx.clean_document(F.col("text"), STOP_WORDS, patterns=(LOWER_WORD, tx.SIX_DIGITS))
-    return i.table(spark, d, "documents").select("doc_id", cleaned.alias("cleaned"))
+    return i.documents(spark, d, "text").select("doc_id", cleaned.alias("cleaned"))
 
 
 def word_frequency(spark: SparkSession, d: str) -> DataFrame:
     tokens = tx.remove_stop_words(tx.words(F.col("text")), STOP_WORDS)
-    return training.word_frequency(i.table(spark, d, "documents").select(tokens.alias("tokens")))
+    return training.word_frequency(i.documents(spark, d, "text").select(tokens.alias("tokens")))
 
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)

@@ -25,6 +25,16 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows hashed by ``keys`` over all cores when their files give fewer splits than that.
+
+    For work that is heavy per row, such as parsing text, on a few files that cannot be split. A scan
+    with splits enough is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def _fields(line: Column, sep: str) -> Column:
     """Split and drop trailing empty fields, so that the field count means what it says."""
     return F.split(F.regexp_replace(line, f"{sep}+$", ""), sep)
