@@ -16,9 +16,15 @@ from pressgauge.functions.periods import span
 
 def stock_links(news: DataFrame, stock_dict: DataFrame) -> DataFrame:
     """``stock, url, news_time``: one row per listing of a dictionary stock, a null row for a stock
-    without news; stocks outside the dictionary vanish, repeats within a list stay."""
+    without news; stocks outside the dictionary vanish, repeats within a list stay.
+
+    An inner join and the missing stocks rather than one right join: Spark can broadcast the
+    dictionary or split a hot stock in the former, and in the latter neither.
+    """
     links = news.select(F.explode("stock").alias("stock"), "url", "news_time")
-    return links.join(stock_dict.select("stock").distinct(), "stock", "right")
+    names = stock_dict.select("stock").distinct()
+    unseen = names.join(links.select("stock").distinct(), "stock", "left_anti")
+    return links.join(names, "stock").unionByName(unseen, allowMissingColumns=True)
 
 
 def complete(stock_dict: DataFrame, measures: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:

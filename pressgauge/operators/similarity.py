@@ -48,12 +48,13 @@ def term_cosine(capped: DataFrame, support: int, blocks: int | None = None) -> D
     """
     spark = capped.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = blocks or max(4, ceil(sqrt(8 * tasks)))
+    blocks = blocks or max(4, ceil(sqrt(32 * tasks)))
 
     counts = capped.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
     block = F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")
+    # One shuffle by user serves both groupings.
     parts = (
-        capped.join(counts, "term")
+        capped.join(counts, "term").repartition("user_id")
         .groupBy("user_id", block.alias("block")).agg(F.collect_list(F.struct("term", "n")).alias("terms"))
         .groupBy("user_id").agg(F.collect_list(F.struct("block", "terms")).alias("parts"))
     )
@@ -71,17 +72,11 @@ def term_cosine(capped: DataFrame, support: int, blocks: int | None = None) -> D
         .select("ba", "bb", "x", F.explode("ys").alias("y"))
         .where((F.col("ba") != F.col("bb")) | (F.col("x.term") < F.col("y.term")))
     )
-    first_is_x = F.col("x.term") < F.col("y.term")
-    return (
-        pairs.groupBy(
-            "ba", "bb",
-            F.when(first_is_x, F.col("x.term")).otherwise(F.col("y.term")).alias("term_a"),
-            F.when(first_is_x, F.col("y.term")).otherwise(F.col("x.term")).alias("term_b"),
-            (F.col("x.n") * F.col("y.n")).alias("nn"),
-        )
-        .agg(F.count(F.lit(1)).alias("together"))
-        .select(
-            "term_a", "term_b", "together",
-            (F.col("together") / F.sqrt(F.col("nn").cast("double"))).alias("cosine"),
-        )
+    # Within a cell a pair always has the same orientation; it is ordered once it is counted.
+    counted = pairs.groupBy("ba", "bb", F.col("x.term").alias("s"), F.col("y.term").alias("t")).agg(
+        F.count(F.lit(1)).alias("together"), F.max(F.col("x.n") * F.col("y.n")).alias("nn")
+    )
+    return counted.select(
+        F.least("s", "t").alias("term_a"), F.greatest("s", "t").alias("term_b"), "together",
+        (F.col("together") / F.sqrt(F.col("nn").cast("double"))).alias("cosine"),
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MAX_LISTED_PERIODS = 1000
 METRIC_COLUMNS = ("metric", "period", "entity", "value")
 
 
@@ -109,9 +110,7 @@ def upsert_metrics(spark: SparkSession, path: str, rows: DataFrame) -> None:
     fs, p = _hadoop_path(spark, path)
     merged = rows.select(*METRIC_COLUMNS)
     if fs.exists(p):
-        old = read_metric_table(spark, path)
-        touched = rows.select("metric", "period").distinct()
-        kept = old.join(touched, ["metric", "period"], "left_semi").join(
+        kept = _same_periods(read_metric_table(spark, path), rows).join(
             rows.select("metric", "period", "entity"), ["metric", "period", "entity"], "left_anti"
         )
         ensure_checkpoint_dir(spark)
@@ -123,6 +122,22 @@ def upsert_metrics(spark: SparkSession, path: str, rows: DataFrame) -> None:
     )
 
 
+def _same_periods(old: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of ``old`` in the periods of ``rows``: listed in the filter while they are few, so that only
+    their folders are read, else by a join."""
+    touched = rows.select("metric", "period").distinct()
+    listed = touched.limit(MAX_LISTED_PERIODS + 1).collect()
+    if len(listed) > MAX_LISTED_PERIODS:
+        return old.join(touched, ["metric", "period"], "left_semi")
+    by_metric: dict[str, list[str]] = {}
+    for r in listed:
+        by_metric.setdefault(r["metric"], []).append(r["period"])
+    hit = F.lit(False)
+    for metric, periods in by_metric.items():
+        hit = hit | ((F.col("metric") == metric) & F.col("period").isin(periods))
+    return old.where(hit)
+
+
 def read_metric_table(spark: SparkSession, path: str) -> DataFrame:
     # Partition values are text: dates must not be turned into another type by inference.
     schema = "entity string, value double, metric string, period string"

@@ -107,3 +107,8 @@ def test_hot_stock_is_aggregated_before_the_dictionary_join(news, stocks):
     plan = ex.exposure(news, stocks, ts(T))._jdf.queryExecution().executedPlan().toString()
     join = plan.index("Join")
     assert "partial_count" in plan[join:]
+
+
+def test_links_join_can_split_a_hot_stock(news, stocks):
+    plan = ex.stock_links(news, stocks)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RightOuter" not in plan and "Join Inner" in plan
