@@ -53,7 +53,15 @@ def unit_escapes_to_bytes(text: Column) -> Column:
 
 def _utf16_run(run: Column) -> Column:
     """Decode one run of byte escapes as UTF-16: byte-order mark honoured, lone surrogates replaced."""
-    units = F.regexp_replace(F.regexp_replace(F.upper(run), "%", ""), "(.{4})", "$1,")
+    digits = F.replace(run, F.lit("%"), F.lit(""))
+    # Without a byte from D8 to DF there is no surrogate to look at.
+    return F.when(run.rlike("%[dD][89a-fA-F]"), _utf16_surrogates(digits)).otherwise(
+        F.decode(F.unhex(digits), "UTF-16")
+    )
+
+
+def _utf16_surrogates(digits: Column) -> Column:
+    units = F.regexp_replace(F.upper(digits), "(.{4})", "$1,")
     swapped = F.regexp_replace(units, "(..)(..),", "$2$1,")
     big_endian = F.when(units.startswith("FFFE,"), swapped).otherwise(units)
     unmarked = F.regexp_replace(big_endian, "^FEFF,", "")

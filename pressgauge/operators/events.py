@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressgauge.functions.periods import half_open_hours, span
+from pressgauge.operators.grid import complete_series
 from pressgauge.operators.records import NO_NEWS
 
 EVENT = ["event_id", "event_name"]
@@ -88,11 +89,8 @@ def hourly_metrics(
     exposed = _exposed(events, in_range.withColumn("hour", F.date_trunc("hour", t) + shift), ["hour"])
     read = visits.where((F.col("hour") >= start) & (F.col("hour") < end))
     visited = _visited(events, news, read, ["hour"])
-    grid = events.select(*EVENT).distinct().select(F.explode(half_open_hours(start, end)).alias("hour"), *EVENT)
-    key = ["hour", *EVENT]
-    return grid.join(exposed, key, "left").join(visited, key, "left").select(
-        *key,
-        F.coalesce("exposure", F.lit(0)).cast("bigint").alias("exposure"),
-        F.coalesce("platforms", F.lit("")).alias("platforms"),
-        F.coalesce("visit", F.lit(0)).cast("bigint").alias("visit"),
+    zero = F.lit(0).cast("bigint")
+    return complete_series(
+        exposed.unionByName(visited, allowMissingColumns=True), events, EVENT, "hour", half_open_hours(start, end),
+        {"exposure": zero, "platforms": F.lit(""), "visit": zero},
     )

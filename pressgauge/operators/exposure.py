@@ -88,11 +88,6 @@ def visit(news: DataFrame, stock_dict: DataFrame, visits: DataFrame) -> DataFram
     return complete(stock_dict, visited_stocks(news, visits, []), ["visit"])
 
 
-def period_grid(stock_dict: DataFrame, periods: Column, name: str) -> DataFrame:
-    """Dictionary times periods: the series is unfolded per dictionary row, no join."""
-    return stock_dict.select("stock").distinct().select(F.explode(periods).alias(name), "stock")
-
-
 def trend_between(now: DataFrame, before: DataFrame, key: str, value: str) -> DataFrame:
     """``key, trend`` of entities present in both periods."""
     old = before.select(key, F.col(value).alias("_before"))

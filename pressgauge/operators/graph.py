@@ -17,6 +17,9 @@ from pressgauge.session import ensure_checkpoint_dir
 from pressgauge.sources.tables import write_bucketed
 
 
+MAX_HASHED_VERTICES = 1_000_000
+
+
 class EdgeLayout:
     """Edges ``(at, to, ...)`` bucketed by ``at``, and by slice where a vertex has several.
 
@@ -29,6 +32,8 @@ class EdgeLayout:
         slices = F.ceil(F.col("degree") / F.lit(slice_edges)).cast("int").alias("slices")
         wide = sizes.where(F.col("degree") > slice_edges).select("at", slices)
         self.wide = None if wide.isEmpty() else wide
+        buckets = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self._fits = sizes.count() <= buckets * MAX_HASHED_VERTICES
         placed = edges.join(sizes, "at") if degree else edges
         keys = ["at"]
         if self.wide is not None:
@@ -39,16 +44,20 @@ class EdgeLayout:
         self.edges, self._table = write_bucketed(placed, keys, "edges")
 
     def read(self, values: DataFrame, vertex: str) -> DataFrame:
-        """Each edge with the columns of the ``values`` row of its ``at`` vertex."""
+        """Each edge with the columns of the ``values`` row of its ``at`` vertex.
+
+        While a bucket's vertices fit in memory they are hashed, which saves sorting the edges in every
+        step; otherwise Spark's own choice, a sort-merge join, can spill.
+        """
         state = values.withColumnRenamed(vertex, "at")
         if self.wide is None:
-            return self.edges.join(state, "at")
+            return self.edges.join(state.hint("shuffle_hash") if self._fits else state, "at")
         spread = (
             state.join(self.wide, "at", "left")
             .withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)))
             .drop("slices")
         )
-        return self.edges.join(spread, ["at", "slice"])
+        return self.edges.join(spread.hint("shuffle_hash") if self._fits else spread, ["at", "slice"])
 
     def forget(self) -> None:
         """Drop the table's name. Its files stay in the shared folder, for results not yet computed."""

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from pressgauge.functions.periods import half_open_hours, span
 from pressgauge.operators import exposure as ex
+from pressgauge.operators.grid import complete_series
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
 
 
 def _days(start: Column, end: Column) -> Column:
@@ -35,11 +40,9 @@ def daily_history(
     )
     in_range = visits.where((F.col("hour") >= start) & (F.col("hour") < end))
     visited = ex.visited_stocks(news, in_range.withColumn("day", F.date_trunc("day", "hour")), ["day"])
-    grid = ex.period_grid(stock_dict, _days(start, end), "day")
-    full = grid.join(exposed, ["day", "stock"], "left").join(visited, ["day", "stock"], "left").select(
-        "day", "stock",
-        F.coalesce("exposure", F.lit(0)).cast("bigint").alias("exposure"),
-        F.coalesce("visit", F.lit(0)).cast("bigint").alias("visit"),
+    full = complete_series(
+        exposed.unionByName(visited, allowMissingColumns=True), stock_dict, ["stock"], "day", _days(start, end),
+        {"exposure": _zero(), "visit": _zero()},
     )
     return _with_trend(full, "day", span(days=1))
 
@@ -52,11 +55,9 @@ def hourly_history(
     exposed = ex.hourly_exposure_counts(news.where((t >= start) & (t <= end)))
     in_range = visits.where((F.col("hour") >= start) & (F.col("hour") < end))
     visited = ex.visited_stocks(news, in_range, ["hour"])
-    grid = ex.period_grid(stock_dict, half_open_hours(start, end), "hour")
-    full = grid.join(exposed, ["hour", "stock"], "left").join(visited, ["hour", "stock"], "left").select(
-        "hour", "stock",
-        F.coalesce("exposure", F.lit(0)).cast("bigint").alias("exposure"),
-        F.coalesce("visit", F.lit(0)).cast("bigint").alias("visit"),
+    full = complete_series(
+        exposed.unionByName(visited, allowMissingColumns=True), stock_dict, ["stock"], "hour",
+        half_open_hours(start, end), {"exposure": _zero(), "visit": _zero()},
     )
     return _with_trend(full, "hour", span(hours=1))
 
@@ -74,9 +75,8 @@ def hourly_visit_ranking(
     """``hour, stock, visit, place`` for every dictionary stock and hour."""
     in_range = visits.where((F.col("hour") >= start) & (F.col("hour") < end))
     visited = ex.visited_stocks(news, in_range, ["hour"])
-    grid = ex.period_grid(stock_dict, half_open_hours(start, end), "hour")
-    full = grid.join(visited, ["hour", "stock"], "left").select(
-        "hour", "stock", F.coalesce("visit", F.lit(0)).cast("bigint").alias("visit")
+    full = complete_series(
+        visited, stock_dict, ["stock"], "hour", half_open_hours(start, end), {"visit": _zero()}
     )
     return ex.hourly_ranking(full)
 
