@@ -74,10 +74,16 @@ def sentence_polarity(text: Column, lexicon: Lexicon, tokeniser: Tokeniser = wor
     )[0]
 
 
+def _sentence_rows(docs: DataFrame, doc: str, text: str) -> DataFrame:
+    # The outer form: for the plain one Spark adds a test for empty lists that splits the text again.
+    rows = docs.select(doc, F.posexplode_outer(sentences(F.col(text))).alias("sentence", "_s"))
+    return rows.where(F.col("_s").isNotNull())
+
+
 def sentence_polarities(docs: DataFrame, lexicon: Lexicon, doc: str = "doc_id", text: str = "text",
                         tokeniser: Tokeniser = words) -> DataFrame:
     """``doc, sentence, polarity`` for every sentence of every document."""
-    parts = docs.select(doc, F.posexplode(sentences(F.col(text))).alias("sentence", "_s"))
+    parts = _sentence_rows(docs, doc, text)
     return parts.select(doc, "sentence", sentence_polarity(F.col("_s"), lexicon, tokeniser).alias("polarity"))
 
 
@@ -194,7 +200,7 @@ def tag_polarity(docs: DataFrame, lexicon: DataFrame, doc: str = "doc_id", text:
         F.max((F.col("polarity") == "Neg").cast("int")).alias("neg"),
         F.max((F.col("polarity") == "Fou").cast("int")).alias("fou"),
     )
-    sents = docs.select(doc, F.posexplode(sentences(F.col(text))).alias("sentence", "_s"))
+    sents = _sentence_rows(docs, doc, text)
     # An empty sentence keeps its row through the outer explode.
     tokens = sents.select(doc, "sentence", F.posexplode_outer(tokeniser(F.col("_s"))).alias("i", "word"))
     known = tokens.join(flags, "word", "left").select(

@@ -18,7 +18,8 @@ def search_terms(
     stop = list(stop_words)
     raw = F.split(normalise_delimiters(F.col("query")), ",")
     gated = F.flatten(F.transform(raw, lambda w: segment_gate(w, tokeniser)))
-    terms = queries.select("user_id", F.explode(gated).alias("term")).where(F.col("term") != "")
+    # The outer form: for the plain one Spark adds a test for empty lists that computes the terms again.
+    terms = queries.select("user_id", F.explode_outer(gated).alias("term")).where(F.col("term") != "")
     # Stop words count towards the basket cap and are removed after it.
     return terms.withColumn("stop", F.col("term").isin(stop) if stop else F.lit(False))
 

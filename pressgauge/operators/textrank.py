@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 def neighbourhoods(docs: DataFrame, window: int, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
     """``doc, pos, word, neighbours``: the words up to ``window`` positions to either side."""
     t = F.col(tokens)
-    items = docs.select(doc, F.posexplode(t).alias("pos", "word"), tokens)
+    items = docs.select(doc, F.posexplode_outer(t).alias("pos", "word"), tokens).where(F.col("pos").isNotNull())
     before = F.slice(t, F.greatest(F.col("pos") - window + 1, F.lit(1)), F.least(F.col("pos"), F.lit(window)))
     after = F.slice(t, F.col("pos") + 2, F.lit(window))
     return items.select(doc, "pos", "word", F.concat(before, after).alias("neighbours"))
@@ -18,8 +18,19 @@ def neighbourhoods(docs: DataFrame, window: int, doc: str = "doc_id", tokens: st
 
 def word_graph(docs: DataFrame, window: int, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
     """Distinct ``doc, word, neighbour``; a word that repeats within the window neighbours itself."""
-    near = neighbourhoods(docs, window, doc, tokens)
-    return near.select(doc, "word", F.explode("neighbours").alias("neighbour")).distinct()
+    near = neighbourhoods(_by_document(docs, doc), window, doc, tokens)
+    return _merged(near, "neighbours", doc, "word").select(doc, "word", F.explode_outer("neighbours").alias("neighbour"))
+
+
+def _by_document(docs: DataFrame, doc: str) -> DataFrame:
+    """One row per document moves once; later groupings by document and word keep the partitioning."""
+    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), doc)
+
+
+def _merged(near: DataFrame, column: str, *keys: str) -> DataFrame:
+    """The union of the neighbour lists of a word, where there is any neighbour."""
+    union = F.array_distinct(F.flatten(F.collect_list(column)))
+    return near.groupBy(*keys).agg(union.alias(column)).where(F.size(column) > 0)
 
 
 def textrank(
@@ -37,21 +48,18 @@ def textrank(
     """
     if steps < 1:
         raise ValueError("steps must be positive")
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (docs.select(doc, tokens) if isinstance(tokens, str) else docs).repartition(tasks, doc)
+    placed = _by_document(docs.select(doc, tokens) if isinstance(tokens, str) else docs, doc)
     # Number the words of a document, so that neighbours are positions in its rank array.
     numbered = (
-        placed.select(doc, F.posexplode(tokens).alias("pos", "word"))
+        # The outer form: for the plain one Spark adds a test for empty lists that computes the tokens again.
+        placed.select(doc, F.posexplode_outer(tokens).alias("pos", "word")).where(F.col("pos").isNotNull())
         .withColumn("no", F.dense_rank().over(W.partitionBy(doc).orderBy("word")))
     )
     cells = numbered.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("pos", "no", "word"))).alias("cells"))
     near = neighbourhoods(cells, window, doc, "cells").select(
         doc, F.col("word.no").alias("no"), F.col("word.word").alias("word"), F.col("neighbours.no").alias("nbs")
     )
-    lists = (
-        near.where(F.size("nbs") > 0).groupBy(doc, "no", "word")
-        .agg(F.array_distinct(F.flatten(F.collect_list("nbs"))).alias("nbs"))
-    )
+    lists = _merged(near, "nbs", doc, "no", "word")
     graphs = lists.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("no", "word", "nbs"))).alias("graph"))
 
     adjacent = F.col("graph.nbs")

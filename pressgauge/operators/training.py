@@ -62,6 +62,8 @@ def training_summary(sets: DataFrame) -> DataFrame:
 def word_frequency(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """``word, n`` over all documents, most frequent first, ties by word."""
     return (
-        docs.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        # The outer form: for the plain one Spark adds a test for empty lists that computes the tokens again.
+        docs.select(F.explode_outer(tokens).alias("word")).where(F.col("word").isNotNull())
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "word")
     )

@@ -37,7 +37,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 def _fields(line: Column, sep: str) -> Column:
     """Split and drop trailing empty fields, so that the field count means what it says."""
-    return F.split(F.regexp_replace(line, f"{sep}+$", ""), sep)
+    return F.split(F.rtrim(line, F.lit(sep)), sep)
 
 
 def parse_search_log(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -50,7 +50,8 @@ def parse_search_log(lines: DataFrame, line: str = "value") -> DataFrame:
             F.get(fields, F.lit(SEARCH_QUERY_FIELD)).alias("query"),
         )
         .where(F.col("query") != NO_QUERY)
-        .withColumn("query", decode_escapes(F.col("query")))
+        # Unfolded from a list, so that the filter on the result does not decode a second time.
+        .select("user_id", F.explode_outer(F.array(decode_escapes(F.col("query")))).alias("query"))
         .where(F.col("query").isNotNull())
     )
 
