@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressgauge.session import ensure_checkpoint_dir
+from pressgauge.session import ensure_checkpoint_dir, shuffle_tasks
 from pressgauge.sources.tables import write_bucketed
 
 
@@ -32,7 +32,7 @@ class EdgeLayout:
         slices = F.ceil(F.col("degree") / F.lit(slice_edges)).cast("int").alias("slices")
         wide = sizes.where(F.col("degree") > slice_edges).select("at", slices)
         self.wide = None if wide.isEmpty() else wide
-        buckets = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = shuffle_tasks(edges.sparkSession)
         self._fits = sizes.count() <= buckets * MAX_HASHED_VERTICES
         placed = edges.join(sizes, "at") if degree else edges
         keys = ["at"]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressgauge.session import shuffle_tasks
+
 
 def complete_series(
     sparse: DataFrame, entities: DataFrame, keys: list[str], period: str, periods: Column, empty: dict[str, Column]
@@ -16,7 +18,7 @@ def complete_series(
     measures of an entity, one row per period, meet it as one list, and the periods without a row are
     added behind the last shuffle. ``sparse`` has at most one row per entity, period and measure.
     """
-    merged = sparse.repartition(*keys).groupBy(*keys, period).agg(
+    merged = sparse.repartition(shuffle_tasks(sparse.sparkSession), *keys).groupBy(*keys, period).agg(
         *[F.coalesce(F.max(m), zero).alias(m) for m, zero in empty.items()]
     )
     lists = merged.groupBy(*keys).agg(F.collect_list(F.struct(period, *empty)).alias("_all"))

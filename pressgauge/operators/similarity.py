@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import Tokeniser, normalise_delimiters, segment_gate, words
+from pressgauge.session import shuffle_tasks
 
 
 def search_terms(
@@ -47,15 +48,14 @@ def term_cosine(capped: DataFrame, support: int, blocks: int | None = None) -> D
     counted where they arise: what is shuffled is the baskets, ``blocks`` times, never the pairs.
     Cells outnumber the tasks, no single user or term owns one, and a basket cannot exceed the cap.
     """
-    spark = capped.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = shuffle_tasks(capped.sparkSession)
     blocks = blocks or max(4, ceil(sqrt(32 * tasks)))
 
     counts = capped.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
     block = F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")
     # One shuffle by user serves both groupings.
     parts = (
-        capped.join(counts, "term").repartition("user_id")
+        capped.join(counts, "term").repartition(tasks, "user_id")
         .groupBy("user_id", block.alias("block")).agg(F.collect_list(F.struct("term", "n")).alias("terms"))
         .groupBy("user_id").agg(F.collect_list(F.struct("block", "terms")).alias("parts"))
     )

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from pressgauge.session import shuffle_tasks
+
 
 def neighbourhoods(docs: DataFrame, window: int, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
     """``doc, pos, word, neighbours``: the words up to ``window`` positions to either side."""
@@ -24,7 +26,7 @@ def word_graph(docs: DataFrame, window: int, doc: str = "doc_id", tokens: str =
 
 def _by_document(docs: DataFrame, doc: str) -> DataFrame:
     """One row per document moves once; later groupings by document and word keep the partitioning."""
-    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), doc)
+    return docs.repartition(shuffle_tasks(docs.sparkSession), doc)
 
 
 def _merged(near: DataFrame, column: str, *keys: str) -> DataFrame:

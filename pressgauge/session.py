@@ -25,6 +25,12 @@ def build_session(app: str = "pressgauge", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """Number of tasks to ask for by name where a stage unfolds its input to many times its size: the
+    runtime would merge such partitions, judging them by what it shuffled."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach.
 

@@ -62,10 +62,10 @@ def write_bucketed(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame
     A join or aggregation on the keys then reads it without a shuffle, as often as needed, and an
     executor that is lost takes nothing with it. The caller drops the name when it is done.
     """
-    from pressgauge.session import run_path
+    from pressgauge.session import run_path, shuffle_tasks
 
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = shuffle_tasks(spark)
     path = run_path(spark, name)
     table = f"pressgauge_{path.rsplit('/', 1)[1].replace('-', '_')}"
     (
