@@ -33,8 +33,11 @@ class Lexicon:
     @classmethod
     def from_frame(cls, lexicon: DataFrame) -> "Lexicon":
         """From ``polarity, word`` rows with polarity Pos, Neg or Fou; at most ``MAX_LEXICON`` rows."""
-        rows = lexicon.select("polarity", "word").distinct().limit(MAX_LEXICON + 1).collect()
-        by = {p: sorted(r["word"] for r in rows if r["polarity"] == p) for p in ("Pos", "Neg", "Fou")}
+        kinds = ("Pos", "Neg", "Fou")
+        words_of = lexicon.where(F.col("polarity").isin(*kinds)).select("polarity", "word").distinct()
+        # One row more than allowed is enough for the size check to refuse the table.
+        rows = words_of.limit(MAX_LEXICON + 1).collect()
+        by = {p: sorted(r["word"] for r in rows if r["polarity"] == p) for p in kinds}
         return cls(by["Pos"], by["Neg"], by["Fou"])
 
 
@@ -96,18 +99,17 @@ def vote(positive: Column, negative: Column) -> Column:
     )
 
 
-def document_counts(text: Column, lexicon: Lexicon, tokeniser: Tokeniser = words) -> tuple[Column, Column]:
-    """Numbers of positive and of negative sentences as struct fields of one expression."""
+def document_counts(text: Column, lexicon: Lexicon, tokeniser: Tokeniser = words) -> Column:
+    """Numbers of positive and of negative sentences, a struct ``p, n``."""
     signs = F.transform(sentences(text), lambda s: sentence_polarity(s, lexicon, tokeniser))
     zero = F.struct(F.lit(0).alias("p"), F.lit(0).alias("n"))
-    both = F.aggregate(
+    return F.aggregate(
         signs, zero,
         lambda acc, s: F.struct(
             (acc["p"] + F.when(s == 1, 1).otherwise(0)).alias("p"),
             (acc["n"] + F.when(s == -1, 1).otherwise(0)).alias("n"),
         ),
     )
-    return both
 
 
 def document_sentiment(text: Column, lexicon: Lexicon, tokeniser: Tokeniser = words) -> Column:
