@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgauge.llm import decontaminate, toxicity
+from pressgauge.llm import decontaminate, jaccard_join, mixing, pii, toxicity
 from pressgauge.llm.graph import written
 
 STAGES = [
     ("toxicity", toxicity.stage),
+    ("jaccard_join", jaccard_join.stage),
     ("decontamination", decontaminate.stage),
+    ("pii", pii.stage),
+    ("mixing", mixing.stage),
 ]
 
-#: The stages' models and hashes have no SQL form; tests hold the result against brute force.
+#: The stages' models and hashes have no SQL form; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 

@@ -2,18 +2,19 @@
 
 A template of n shingles (runs of five words) is looked for in windows of ``2 s`` shingles that begin every ``s``
 shingles, where s is the smallest power of two of at least n: any run of n shingles lies whole in one of them. A
-window that holds at least ``contain`` of a template's shingles has a Jaccard similarity of at least
-``contain n / (2 s + (1 - contain) n)`` to it, at s < 2 n more than ``contain / (5 - contain)``, 0.19 at 0.8. With one
-MinHash row per band, BANDS bands miss such a window with probability (1 - 0.19)^96, under two in a thousand million;
-s = n (the usual case) gives far less. Every retrieved pair is verified on the exact shingles of the window.
+window that holds m of the template's shingles is similar to it by ``m / (2 s + n - m)`` or more; with one MinHash row
+per band, b bands miss it with probability ``(1 - similarity)^b``. Each window size takes as many bands as bring this
+to MISS at ``m = contain n``. Every retrieved pair is verified on the exact shingles of the window.
 
 Defined cases: a null or empty text has no notice; templates without words are not searched; a text that is shorter
-than the window is one window; each occurrence is reported once, overlapping windows of one template together;
-repeated rows are reported each. Every row is judged by itself, so other columns don't matter.
+than the window is one window; of overlapping finds the fullest counts (then the first, then by name), each
+occurrence once; repeated rows are reported each. Every row is judged by itself, so other columns don't matter.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pressgauge.llm.textops import U64, distinct, odd_numbers, pieces, shingles
 
 K = 5
-BANDS = 96
+MISS = 1e-9
 CONTAIN = 0.8
 
 # The usual one-line notices of well-known licenses.
@@ -50,9 +51,8 @@ FOUND_DDL = "array<struct<license string, start int, end int, containment double
 class Templates:
     """Shingle sets of the templates and their MinHash values by window size."""
 
-    def __init__(self, texts: dict[str, str], bands: int, contain: float):
-        self.factors, self.contain = odd_numbers(bands, 31), contain
-        self.names, self.sets, self.steps = [], [], []
+    def __init__(self, texts: dict[str, str], contain: float, miss: float):
+        self.contain, self.names, self.sets, steps = contain, [], [], []
         for name, text in sorted(texts.items()):
             for piece in pieces(pa.array([text], type=pa.string())):
                 starts, ends, bounds = piece.words()
@@ -60,33 +60,58 @@ class Templates:
                 if len(own):
                     self.names.append(name)
                     self.sets.append(own)
-                    self.steps.append(1 << (len(own) - 1).bit_length())
-        self.tables = {}
-        for step in sorted(set(self.steps)):
-            use = [k for k, s in enumerate(self.steps) if s == step]
-            self.tables[step] = [
-                sorted((int((self.sets[k] * f).min()), k) for k in use) for f in self.factors
-            ]
-
-    def retrieved(self, hashes: np.ndarray, bounds: np.ndarray, step: int) -> set[tuple[int, int, int]]:
-        """Template, document and first shingle of the windows that agree with a template in a band; hashes are
-        the shingles of several documents, one after another."""
-        # Blocks of a step within each document; a window is a block and its successor.
-        size = np.diff(bounds)
-        blocks = -(-size // step)
-        doc = np.repeat(np.arange(len(size)), blocks)
-        inner = np.arange(len(doc)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        start = bounds[doc] + inner * step
-        last = inner == blocks[doc] - 1
-        out = set()
-        for factor, table in zip(self.factors, self.tables[step]):
-            low = np.minimum.reduceat(hashes * factor, start)
-            values, owners = np.array([v for v, _ in table], dtype=U64), [k for _, k in table]
-            window = low.copy()
-            window[:-1] = np.where(last[:-1], low[:-1], np.minimum(low[:-1], low[1:]))
-            for k, value in zip(owners, values):
-                for w in np.flatnonzero(window == value):
-                    out.add((k, int(doc[w]), int(start[w] - bounds[doc[w]])))
+                    steps.append(1 << (len(own) - 1).bit_length())
+        self.bands = {step: 1 for step in sorted(set(steps))}
+        for own, step in zip(self.sets, steps):
+            m = math.ceil(contain * len(own) - 1e-9)
+            similarity = min(m / (2 * step + len(own) - m), 1 - 1e-12)
+            self.bands[step] = max(self.bands[step], math.ceil(math.log(miss) / math.log1p(-similarity)))
+        self.factors = odd_numbers(max(self.bands.values(), default=0), 31)
+        # By step: templates, and a column of MinHash values for each band.
+        self.values = {}
+        for step in self.bands:
+            use = [k for k, s in enumerate(steps) if s == step]
+            self.values[step] = use, np.array([[(self.sets[k] * f).min() for f in self.factors] for k in use])
+
+    def retrieved(self, hashes: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int, int, int]]:
+        """Template, document, first shingle and size of the windows that agree with a template in a band; hashes
+        are the shingles of several documents, one after another."""
+        size, layout, out = np.diff(bounds), {}, set()
+        for step in self.bands:
+            # Blocks of a step within each document; a window is a block and its successor.
+            blocks = -(-size // step)
+            doc = np.repeat(np.arange(len(size)), blocks)
+            inner = np.arange(len(doc)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+            layout[step] = doc, bounds[doc] + inner * step, inner[:-1] == blocks[doc[:-1]] - 1
+        for band, factor in enumerate(self.factors):
+            scrambled = hashes * factor
+            for step, bands in self.bands.items():
+                if band >= bands:
+                    continue
+                doc, start, last = layout[step]
+                low = np.minimum.reduceat(scrambled, start)
+                window = low.copy()
+                np.minimum(low[:-1], np.where(last, low[:-1], low[1:]), out=window[:-1])
+                templates, values = self.values[step]
+                for k, value in zip(templates, values[:, band]):
+                    for w in np.flatnonzero(window == value):
+                        out.add((k, int(doc[w]), int(start[w] - bounds[doc[w]]), 2 * step))
+        return out
+
+    def occurrences(self, k: int, part: np.ndarray) -> list[tuple[int, int, float]]:
+        """First and last shingle and containment of template k's places in a window."""
+        hit = np.flatnonzero(np.isin(part, self.sets[k]))
+        reach = math.ceil(len(self.sets[k]) / self.contain)
+        out = []
+        while len(hit):
+            runs = [hit[(hit >= h) & (hit < h + reach)] for h in hit]
+            shares = [len(distinct(part[run])) / len(self.sets[k]) for run in runs]
+            best = int(np.argmax(shares))
+            if shares[best] < self.contain:
+                break
+            run = runs[best]
+            out.append((int(run[0]), int(run[-1]), shares[best]))
+            hit = hit[(hit < run[0] - reach) | (hit > run[-1])]
         return out
 
 
@@ -99,44 +124,32 @@ def scanner(templates: Templates):
             lists = shingles(piece.hashes(starts, ends), bounds, K)
             sizes = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
             hashes = np.concatenate([*lists, np.zeros(0, dtype=U64)])
-            if not len(hashes):
-                continue
-            seen: dict[tuple[int, int], dict] = {}
-            for step in templates.tables:
-                for k, doc, first in sorted(templates.retrieved(hashes, sizes, step)):
-                    part = lists[doc][first:first + 2 * step]
-                    hit = np.flatnonzero(np.isin(part, templates.sets[k]))
-                    share = len(distinct(part[hit])) / len(templates.sets[k])
-                    if share < templates.contain:
-                        continue
-                    words = bounds[doc] + first + hit
-                    a, b = int(starts[words[0]]), int(ends[min(words[-1] + K, bounds[doc + 1]) - 1])
-                    old = seen.setdefault((doc, k), {}).get(a)
-                    if old is None or old[1] < share:
-                        seen[doc, k][a] = (b, share)
-            for (doc, k), places in sorted(seen.items()):
-                lead = np.cumsum((piece.data[piece.offsets[doc]:piece.offsets[doc + 1]] & 0xC0) != 0x80)
-                row = rows[piece.first + doc] = list(rows[piece.first + doc])
-                kept_end = -1
-                for a, (b, share) in sorted(places.items()):
-                    if a < kept_end:
-                        continue
-                    kept_end = b
-                    at = int(piece.offsets[doc])
-                    row.append({
-                        "license": templates.names[k], "start": int(lead[a - at]) - 1, "end": int(lead[b - 1 - at]),
-                        "containment": share,
-                    })
+            found: dict[int, set] = {}
+            for k, doc, first, size in templates.retrieved(hashes, sizes) if len(hashes) else ():
+                for a, b, share in templates.occurrences(k, lists[doc][first:first + size]):
+                    word = bounds[doc] + first
+                    begin, end = starts[word + a], ends[min(word + b + K, bounds[doc + 1]) - 1]
+                    found.setdefault(doc, set()).add((-share, int(begin), int(end), templates.names[k]))
+            for doc, hits in found.items():
+                at, kept = int(piece.offsets[doc]), []
+                for share, begin, end, name in sorted(hits):
+                    if all(end <= a or begin >= b for a, b, _, _ in kept):
+                        kept.append((begin, end, name, -share))
+                lead = np.cumsum((piece.data[at:piece.offsets[doc + 1]] & 0xC0) != 0x80)
+                rows[piece.first + doc] = [
+                    {"license": name, "start": int(lead[a - at]) - 1, "end": int(lead[b - 1 - at]), "containment": share}
+                    for a, b, name, share in sorted(kept)
+                ]
         return pa.array(rows, type=FOUND)
 
     return F.arrow_udf(run, FOUND_DDL)
 
 
 def scan(
-    documents: DataFrame, templates: dict[str, str] | None = None, bands: int = BANDS, contain: float = CONTAIN,
+    documents: DataFrame, templates: dict[str, str] | None = None, contain: float = CONTAIN, miss: float = MISS,
 ) -> DataFrame:
     """``doc_id, license, start, end, containment``: one row for each notice in a document."""
-    find = scanner(Templates(TEMPLATES if templates is None else templates, bands, contain))
+    find = scanner(Templates(TEMPLATES if templates is None else templates, contain, miss))
     out = documents.select("doc_id", F.explode(find("text")).alias("hit"))
     return out.select("doc_id", "hit.*")
 

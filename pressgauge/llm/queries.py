@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pressgauge.llm import decontaminate, toxicity
+from pressgauge.llm import decontaminate, jaccard_join, licenses, mixing, pii, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": (decontaminate.query, None),
     "op2_toxicity": (toxicity.query, None),
+    "op3_jaccard_join": (jaccard_join.query, None),
+    "op4_license_scan": (licenses.query, None),
+    "op5_pii": (pii.query, None),
+    "op6_url_filter": (url_filter.query, url_filter.SQL),
+    "op10_mixing": (mixing.query, None),
 }
