@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pressgauge.llm import decontaminate, jaccard_join, licenses, mixing, pii, toxicity, url_filter
+from pressgauge.llm import (
+    decontaminate, fingerprints, jaccard_join, licenses, mixing, pii, preference, toxicity, url_filter, warc,
+)
 
 QUERIES = {
     "op1_decontaminate": (decontaminate.query, None),
@@ -11,5 +13,8 @@ QUERIES = {
     "op4_license_scan": (licenses.query, None),
     "op5_pii": (pii.query, None),
     "op6_url_filter": (url_filter.query, url_filter.SQL),
+    "op7_fingerprints": (fingerprints.query, None),
+    "op8_warc": (warc.query, warc.SQL),
+    "op9_preference": (preference.query, preference.SQL),
     "op10_mixing": (mixing.query, None),
 }

@@ -25,7 +25,7 @@ from pressgauge.llm.textops import U64, Piece, pieces
 MAX_LABELLED = 8000
 REJECT = 0.5
 GRADES = 3
-_BITS = 20
+_BITS = 30
 _PARTS = (4, 5)
 
 
@@ -35,7 +35,7 @@ def features(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(piece.n_docs), np.diff(bounds))
     numbers, docs = [piece.hashes(starts, ends) >> U64(64 - _BITS)], [doc]
     for size in _PARTS:
-        long = ends - starts > size
+        long = ends - starts >= size
         h = piece.hashes(starts[long], starts[long] + size)
         numbers.append((h * U64(2 * size + 1)) >> U64(64 - _BITS))
         docs.append(doc[long])
@@ -79,37 +79,34 @@ class Model:
         return np.concatenate(out)
 
 
-def grades(toxic: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """0 for the documents that aren't toxic, else 1 to 3 by the third of the toxic documents' shares."""
+def grades(toxic: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """0 for the documents that aren't toxic, else 1 to 3 by the third of the toxic documents' hits."""
     if not toxic.any():
         return np.zeros(len(toxic), dtype=np.int64)
-    thirds = np.quantile(share[toxic], [1 / 3, 2 / 3])
-    return np.where(toxic, 1 + (share[:, None] > thirds).sum(axis=1), 0)
+    thirds = np.quantile(hits[toxic], [1 / 3, 2 / 3])
+    return np.where(toxic, 1 + (hits[:, None] > thirds).sum(axis=1), 0)
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 400, keep: float = 4.0) -> Model:
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 800, keep: float = 4.0) -> Model:
     """From feature numbers, counts and toxic (0 or 1) of some documents."""
     toxic = np.array([bool(t) for _, _, t in rows], dtype=bool)
     none = Model(np.zeros(0, dtype=np.int64), np.zeros(0), np.full(GRADES, 50.0))
     if not toxic.any() or toxic.all():
         return none
-    number = np.concatenate([n for n, _, _ in rows]).astype(np.int64)
+    known, number = np.unique(np.concatenate([n for n, _, _ in rows]), return_inverse=True)
     count = np.concatenate([c for _, c, _ in rows])
     doc = np.repeat(np.arange(len(rows)), [len(n) for n, _, _ in rows])
-    with_it = np.bincount(number, minlength=1 << _BITS).astype(float)
-    in_toxic = np.bincount(number[toxic[doc]], minlength=1 << _BITS)
+    with_it = np.bincount(number, minlength=len(known)).astype(float)
+    in_toxic = np.bincount(number[toxic[doc]], minlength=len(known))
     # Features whose share of toxic documents is far from the base rate, in standard errors.
     rate = toxic.mean()
-    z = (in_toxic - with_it * rate) / np.sqrt(np.maximum(with_it, 1) * rate * (1 - rate))
+    z = (in_toxic - with_it * rate) / np.sqrt(with_it * rate * (1 - rate))
     chosen = np.flatnonzero((np.abs(z) > keep) & (with_it >= 3))
     if not len(chosen):
         return none
-    only = np.zeros(1 << _BITS, dtype=bool)
-    only[chosen[(z[chosen] > 0) & (in_toxic[chosen] >= 0.9 * with_it[chosen])]] = True
-    share = np.bincount(doc, weights=count * only[number], minlength=len(rows))
-    share /= np.maximum(np.bincount(doc, weights=count, minlength=len(rows)), 1)
-    grade = grades(toxic, share)
-    place = np.full(1 << _BITS, -1)
+    only = (z > keep) & (with_it >= 3) & (in_toxic >= 0.9 * with_it)
+    grade = grades(toxic, np.bincount(doc, weights=count * only[number], minlength=len(rows)))
+    place = np.full(len(known), -1)
     place[chosen] = np.arange(len(chosen))
     use = place[number] >= 0
     doc, col, x = doc[use], place[number[use]], np.log1p(count[use])
@@ -132,10 +129,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 400, keep:
         np.add.at(dcut, grade[grade < GRADES], (slope[at, grade + 1] / own)[grade < GRADES])
         gaps = np.exp(par[len(chosen) + 1:])
         dpar = np.concatenate([[dcut.sum()], [dcut[k + 1:].sum() * g for k, g in enumerate(gaps)]])
-        g = np.concatenate([np.bincount(col, weights=x * dvalue[doc], minlength=len(chosen)) - 0.1 * w, dpar]) / len(rows)
+        g = np.concatenate([np.bincount(col, weights=x * dvalue[doc], minlength=len(chosen)) - 0.01 * w, dpar]) / len(rows)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         par = par + 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-    return Model(chosen, par[:len(chosen)], _cuts(par[len(chosen):]))
+    return Model(known[chosen].astype(np.int64), par[:len(chosen)], _cuts(par[len(chosen):]))
 
 
 def _cuts(par: np.ndarray) -> np.ndarray:
