@@ -36,6 +36,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "20g",
+            "spark.pressgauge.inputSplits": cpus,
         },
     )
     spark.sparkContext.setLogLevel("OFF")

@@ -64,9 +64,10 @@ def previous_hour(as_of: Column) -> Column:
     return F.date_trunc("hour", as_of) - span(hours=1)
 
 
-def past_hour_paths(root: str, as_of, hours: int = 24) -> list[str]:
-    """Folders ``root/yyyy-MM-dd/H`` of the last hours, newest first; the hour is not padded."""
+def past_hour_paths(root: str, as_of, hours: int = 24, folder: str = "{day}/{hour}") -> list[str]:
+    """Folders ``root/yyyy-MM-dd/H`` of the last hours, newest first; the hour is not padded. ``folder`` names
+    them otherwise."""
     from datetime import timedelta
 
     slots = (as_of - timedelta(hours=i) for i in range(1, hours + 1))
-    return [f"{root.rstrip('/')}/{t:%Y-%m-%d}/{t.hour}" for t in slots]
+    return [f"{root.rstrip('/')}/{folder.format(day=f'{t:%Y-%m-%d}', hour=t.hour)}" for t in slots]

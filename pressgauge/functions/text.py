@@ -92,17 +92,28 @@ def decode_escapes(text: Column, usual_depth: int = 3) -> Column:
     """Decode url escapes until none is left; null when an escape is broken.
 
     Nearly every string is stable after ``usual_depth`` passes. Each pass that changes a string
-    shortens it, so the rare deeper ones are finished by a second fold bounded by the length.
+    shortens it by two for every escape, so the rare deeper ones are finished by a second fold bounded by the
+    length, which does nothing more once the string is stable.
     """
-    def passes(s: Column, n: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(1), n), s, lambda acc, _: _decode_once(acc))
+    def unstable(s: Column) -> Column:
+        return s.rlike(BYTE_ESCAPE) | s.rlike(UNIT_ESCAPE)
+
+    def shallow(s: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(usual_depth)), s, lambda acc, _: _decode_once(acc))
 
     def finish(s: Column) -> Column:
-        unstable = s.rlike(BYTE_ESCAPE) | s.rlike(UNIT_ESCAPE)
-        return F.when(unstable, passes(s, F.length(s))).otherwise(s)
+        def state(t: Column) -> Column:
+            return F.struct(t.alias("text"), F.coalesce(unstable(t), F.lit(False)).alias("open"))
+
+        # A level of encoding holds at least two characters more for each escape.
+        rounds = F.sequence(F.lit(1), F.floor(F.length(s) / 2).cast("int") + 1)
+        folded = F.aggregate(
+            rounds, state(s),
+            lambda acc, _: F.when(acc["open"], F.transform(F.array(_decode_once(acc["text"])), state)[0]).otherwise(acc),
+        )
+        return F.when(unstable(s), folded["text"]).otherwise(s)
 
-    shallow = F.when(text.contains("%"), passes(text, F.lit(usual_depth))).otherwise(text)
-    return F.transform(F.array(shallow), finish)[0]
+    return F.transform(F.array(F.when(text.contains("%"), shallow(text)).otherwise(text)), finish)[0]
 
 
 def normalise_delimiters(text: Column) -> Column:

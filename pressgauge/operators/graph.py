@@ -1,11 +1,11 @@
 """Iterative graph operators: PageRank and two-class label propagation.
 
 Both are repeated sparse matrix-vector products. The edges are written once to a table bucketed by the
-vertex they read from, so a step reads them without a shuffle and moves only the map-side-combined
+vertex they read from, so a step reads them without a shuffle and moves only the vertex values and the map-side-combined
 messages. Lineage is cut with reliable checkpoints every few steps.
 
-A vertex may touch any share of all edges. The edges of a vertex with more than ``slice_edges`` are cut
-into slices of about that size, each a bucketing key of its own, and its value is sent to every slice.
+A vertex may touch any share of all edges. Its edges are cut into slices of about ``slice_edges``, each a bucketing
+key of its own, and its value is sent to each slice; ordinary vertices have one.
 """
 
 from __future__ import annotations
@@ -13,56 +13,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressgauge.session import ensure_checkpoint_dir, shuffle_tasks
-from pressgauge.sources.tables import write_bucketed
-
-
-MAX_HASHED_VERTICES = 1_000_000
+from pressgauge.session import ensure_checkpoint_dir
+from pressgauge.sources.tables import remove, write_bucketed
 
 
 class EdgeLayout:
-    """Edges ``(at, to, ...)`` bucketed by ``at``, and by slice where a vertex has several.
-
-    With ``degree`` each edge also carries the number of edges of its ``at`` vertex.
-    """
+    """Edges ``(at, to, ...)`` with ``degree``, the number of edges of ``at``, and ``to_slices``, the slices of
+    ``to``; bucketed by ``at`` and ``slice``."""
 
-    def __init__(self, edges: DataFrame, slice_edges: int, degree: bool = False):
+    def __init__(self, edges: DataFrame, slice_edges: int):
         ensure_checkpoint_dir(edges.sparkSession)
-        sizes = edges.groupBy("at").agg(F.count(F.lit(1)).alias("degree")).checkpoint()
         slices = F.ceil(F.col("degree") / F.lit(slice_edges)).cast("int").alias("slices")
-        wide = sizes.where(F.col("degree") > slice_edges).select("at", slices)
-        self.wide = None if wide.isEmpty() else wide
-        buckets = shuffle_tasks(edges.sparkSession)
-        self._fits = sizes.count() <= buckets * MAX_HASHED_VERTICES
-        placed = edges.join(sizes, "at") if degree else edges
-        keys = ["at"]
-        if self.wide is not None:
-            # Only the few wide vertices are in this table.
-            slice_no = F.pmod(F.xxhash64("to"), F.coalesce("slices", F.lit(1))).cast("int")
-            placed = placed.join(self.wide, "at", "left").withColumn("slice", slice_no).drop("slices")
-            keys.append("slice")
-        self.edges, self._table = write_bucketed(placed, keys, "edges")
-
-    def read(self, values: DataFrame, vertex: str) -> DataFrame:
-        """Each edge with the columns of the ``values`` row of its ``at`` vertex.
-
-        While a bucket's vertices fit in memory they are hashed, which saves sorting the edges in every
-        step; otherwise Spark's own choice, a sort-merge join, can spill.
-        """
-        state = values.withColumnRenamed(vertex, "at")
-        if self.wide is None:
-            return self.edges.join(state.hint("shuffle_hash") if self._fits else state, "at")
+        self.sizes = edges.groupBy("at").agg(F.count(F.lit(1)).alias("degree")).select("at", "degree", slices).checkpoint()
+        targets = self.sizes.select(F.col("at").alias("to"), F.col("slices").alias("to_slices"))
+        placed = (
+            edges.join(self.sizes, "at").join(targets, "to", "left")
+            .withColumn("slice", F.pmod(F.xxhash64("to"), "slices").cast("int")).drop("slices")
+        )
+        self.edges, self._table, self._path = write_bucketed(placed, ["at", "slice"], "edges")
+
+    def read(self, state: DataFrame) -> DataFrame:
+        """Each edge with the columns of the ``state`` row of its ``at`` vertex; state has ``vertex`` and ``slices``,
+        null where no edge reads from the vertex."""
         spread = (
-            state.join(self.wide, "at", "left")
-            .withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)))
-            .drop("slices")
+            state.where(F.col("slices").isNotNull())
+            .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+            .withColumnRenamed("vertex", "at")
         )
-        return self.edges.join(spread.hint("shuffle_hash") if self._fits else spread, ["at", "slice"])
+        return self.edges.join(spread, ["at", "slice"])
 
     def forget(self) -> None:
-        """Drop the table's name. Its files stay in the shared folder, for results not yet computed."""
+        """Drop the table and its files; results that read it must have been computed."""
         spark = self.edges.sparkSession
         spark.sql(f"DROP TABLE IF EXISTS {self._table}")
+        remove(spark, self._path)
 
 
 def distinct_edges(pairs: DataFrame) -> DataFrame:
@@ -98,25 +82,37 @@ def pagerank(
 
     All ranks start at 1 and are not normalised; rank on a sink is lost. A vertex that receives
     nothing in a round drops out and sends nothing in the next; with ``keep_sources`` it stays at
-    ``1 - damping`` instead. Repeated pairs count once. Lays out the edges eagerly.
+    ``1 - damping`` instead. Repeated pairs count once. Computed eagerly.
     """
     edges = distinct_edges(pairs)
     if steps == 0:
         return _ends(edges, "src", "dst").withColumn("rank", F.lit(1.0))
-    layout = EdgeLayout(edges.select(F.col("src").alias("at"), F.col("dst").alias("to")), slice_edges, degree=True)
-    vertices = _ends(layout.edges, "at", "to").checkpoint() if keep_sources else None
+    layout = EdgeLayout(edges.select(F.col("src").alias("at"), F.col("dst").alias("to")), slice_edges)
+    vertices = None
+    if keep_sources:
+        every = _ends(layout.edges, "at", "to").join(layout.sizes.select(F.col("at").alias("vertex"), "slices"), "vertex", "left")
+        vertices = every.select("vertex", F.lit(0.0).alias("share"), "slices").checkpoint()
     ranks = None
     for step in range(1, steps + 1):
         # Before the first step every vertex has rank 1, so no ranks have to be joined.
-        read = layout.edges.withColumn("rank", F.lit(1.0)) if ranks is None else layout.read(ranks, "vertex")
-        sent = read.select(F.col("to").alias("vertex"), (F.col("rank") / F.col("degree")).alias("share"))
+        read = layout.edges.withColumn("rank", F.lit(1.0)) if ranks is None else layout.read(ranks)
+        sent = read.select(
+            F.col("to").alias("vertex"), (F.col("rank") / F.col("degree")).alias("share"), F.col("to_slices").alias("slices"),
+        )
         if vertices is not None:
-            sent = sent.unionByName(vertices.withColumn("share", F.lit(0.0)))
-        ranks = sent.groupBy("vertex").agg((F.sum("share") * damping + (1.0 - damping)).alias("rank"))
-        if step % checkpoint_every == 0 and step < steps:
+            sent = sent.unionByName(vertices)
+        ranks = sent.groupBy("vertex").agg(
+            (F.sum("share") * damping + (1.0 - damping)).alias("rank"), F.max("slices").alias("slices"),
+        )
+        if step % checkpoint_every == 0 or step == steps:
             ranks = ranks.checkpoint()
     layout.forget()
-    return ranks
+    return ranks.drop("slices")
+
+
+def by_rank(ranks: DataFrame, name: str = "vertex", rank: str = "rank") -> DataFrame:
+    """The rows in descending rank, ties by name."""
+    return ranks.orderBy(F.desc(rank), name)
 
 
 def _ends(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -154,7 +150,7 @@ def _one_hot(label: Column) -> tuple[Column, Column]:
 
 def label_propagation(
     pairs: DataFrame, labels: DataFrame, iterations: int = 50, tolerance: float | None = None,
-    checkpoint_every: int = 3, slice_edges: int = 1_000_000,
+    checkpoint_every: int = 5, slice_edges: int = 1_000_000,
 ) -> tuple[DataFrame, DataFrame]:
     """Two-class label propagation: ``(scores, trace)``.
 
@@ -164,52 +160,59 @@ def label_propagation(
     with final 0.0 where p0 >= 0.5, else 1.0; ``trace`` is ``step, difference``, the sum of absolute
     changes of p1 per iteration. With ``tolerance`` the run ends after the first checkpoint whose last
     step changed less than that.
+
+    A vertex's own values travel along its self loop, so a step reads the state once: one join, one aggregation.
     """
-    # Scores of a vertex are rescaled to sum to one, so its row sum cancels and the raw weights do; and
-    # its self loop of weight 1 adds its own scores, which the state row at hand holds.
-    layout = EdgeLayout(
-        _both_ways(pairs).select(F.col("dst").alias("at"), F.col("src").alias("to"), "w"), slice_edges
-    )
+    both = _both_ways(pairs).select(F.col("dst").alias("at"), F.col("src").alias("to"), "w", F.lit(False).alias("own"))
+    # Scores of a vertex are rescaled to sum to one, so its row sum cancels and the raw weights do.
+    loops = both.select("at").distinct().select("at", F.col("at").alias("to"), F.lit(1.0).alias("w"), F.lit(True).alias("own"))
+    layout = EdgeLayout(both.unionByName(loops), slice_edges)
     start0, start1 = _one_hot(F.col("label"))
-    no_steps = F.array().cast("array<double>")
-    state = labels.select("id", "known", "label", start0.alias("p0"), start1.alias("p1"), no_steps.alias("moves"))
+    state = labels.join(layout.sizes, F.col("id") == F.col("at")).select(
+        F.col("id").alias("vertex"), "slices", "known", "label", start0.alias("p0"), start1.alias("p1"),
+    )
     trace_parts: list[DataFrame] = []
-    flushed = 0
+    moves: list[int] = []
     for step in range(0, iterations + 1):
-        sums = (
-            layout.read(state.select("id", "p0", "p1"), "id")
-            .groupBy(F.col("to").alias("id"))
-            .agg(F.sum(F.col("w") * F.col("p0")).alias("s0"), F.sum(F.col("w") * F.col("p1")).alias("s1"))
-        )
-        new0, new1 = F.col("s0") + F.col("p0"), F.col("s1") + F.col("p1")
-        total = F.nullif(new0 + new1, F.lit(0.0))
+        def own(column: str) -> Column:
+            return F.max(F.when(F.col("own"), F.col(column))).alias(column)
+
+        kept = [f"move{k}" for k in moves]
+        sums = layout.read(state).groupBy(F.col("to").alias("vertex")).agg(
+            F.max("to_slices").alias("slices"), own("known"), own("label"), *map(own, kept), own("p1").alias("before"),
+            F.sum(F.col("w") * F.col("p0")).alias("s0"), F.sum(F.col("w") * F.col("p1")).alias("s1"),
+            F.max("own").alias("there"),
+        ).where("there")
+        total = F.nullif(F.col("s0") + F.col("s1"), F.lit(0.0))
         fixed = F.col("known") == 1
-        p0 = F.when(fixed, start0).otherwise(new0 / total)
-        p1 = F.when(fixed, start1).otherwise(new1 / total)
-        move = F.abs(p1 - F.col("p1"))
+        p1 = F.when(fixed, start1).otherwise(F.col("s1") / total)
         # The first product has no predecessor in the trace.
-        moves = F.col("moves") if step == 0 else F.array_append("moves", move)
-        state = state.join(sums, "id").select(
-            "id", "known", "label", p0.alias("p0"), p1.alias("p1"), moves.alias("moves")
+        if step:
+            moves.append(step)
+        new = [F.abs(p1 - F.col("before")).alias(f"move{step}")] if step else []
+        state = sums.select(
+            "vertex", "slices", "known", "label", F.when(fixed, start0).otherwise(F.col("s0") / total).alias("p0"), p1.alias("p1"), *kept, *new,
         )
         if step == iterations or (step and step % checkpoint_every == 0):
             state = state.checkpoint()
-            part = (
-                state.select(F.posexplode("moves").alias("pos", "move"))
-                .groupBy((F.col("pos") + flushed + 1).alias("step")).agg(F.sum("move").alias("difference"))
-            )
-            trace_parts.append(part)
-            flushed = step
-            state = state.withColumn("moves", no_steps)
+            if moves:
+                rows = F.array(*[F.struct(F.lit(k).alias("step"), F.col(f"move{k}").alias("move")) for k in moves])
+                part = state.select(F.inline(rows)).groupBy("step").agg(F.sum("move").alias("difference"))
+                trace_parts.append(part)
+            state = state.drop(*[f"move{k}" for k in moves])
+            moves = []
             if tolerance is not None and step:
                 last = part.where(F.col("step") == step).first()
                 if last is None or last["difference"] < tolerance:
                     break
     layout.forget()
-    trace = trace_parts[0]
-    for part in trace_parts[1:]:
-        trace = trace.unionByName(part)
+    if trace_parts:
+        trace = trace_parts[0]
+        for part in trace_parts[1:]:
+            trace = trace.unionByName(part)
+    else:
+        trace = state.select(F.lit(0).alias("step"), F.lit(0.0).alias("difference")).where("false")
     scores = state.select(
-        "id", "known", "label", "p0", "p1", F.when(F.col("p0") >= 0.5, 0.0).otherwise(1.0).alias("final")
+        F.col("vertex").alias("id"), "known", "label", "p0", "p1", F.when(F.col("p0") >= 0.5, 0.0).otherwise(1.0).alias("final")
     )
     return scores, trace

@@ -18,12 +18,14 @@ def complete_series(
     measures of an entity, one row per period, meet it as one list, and the periods without a row are
     added behind the last shuffle. ``sparse`` has at most one row per entity, period and measure.
     """
-    merged = sparse.repartition(shuffle_tasks(sparse.sparkSession), *keys).groupBy(*keys, period).agg(
+    # As long as the argument, whatever the data.
+    wanted = F.broadcast(sparse.sparkSession.range(1).select(F.explode(periods).alias(period)).distinct())
+    inside = sparse.join(wanted, period, "left_semi")
+    merged = inside.repartition(shuffle_tasks(sparse.sparkSession), *keys).groupBy(*keys, period).agg(
         *[F.coalesce(F.max(m), zero).alias(m) for m, zero in empty.items()]
     )
-    lists = merged.groupBy(*keys).agg(F.collect_list(F.struct(period, *empty)).alias("_all"))
-    known = F.filter(F.col("_all"), lambda s: F.array_contains(periods, s[period]))
-    full = entities.select(*keys).distinct().join(lists, keys, "left").select(*keys, known.alias("_known"))
+    lists = merged.groupBy(*keys).agg(F.collect_list(F.struct(period, *empty)).alias("_known"))
+    full = entities.select(*keys).distinct().join(lists, keys, "left")
 
     def blank(p: Column) -> Column:
         return F.struct(p.alias(period), *[zero.alias(m) for m, zero in empty.items()])

@@ -35,6 +35,11 @@ def valid_events(events: DataFrame) -> DataFrame:
     return events.where((F.col("is_valid") == 1) & (F.coalesce(F.size("related_news"), F.lit(0)) > 0))
 
 
+def plain_type(news: DataFrame, column: str = "type") -> DataFrame:
+    """News of type 0; a null type is none."""
+    return news.where(F.col(column) == 0)
+
+
 def tagged_news(news: DataFrame, lists: tuple[str, ...] = ("industry", "section", "stock")) -> DataFrame:
     """News with at least one non-empty property list; null-safe."""
     return news.where(reduce(lambda a, b: a | b, [F.coalesce(F.size(c), F.lit(0)) > 0 for c in lists]))

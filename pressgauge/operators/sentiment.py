@@ -1,80 +1,43 @@
-"""Lexicon sentiment of sentences, documents and titles. Every operator is a projection: no shuffle."""
+"""Lexicon sentiment of sentences, documents and titles.
 
-from __future__ import annotations
+A lexicon is a table ``polarity, word`` of any size with polarity Pos, Neg or Fou (negating). Tokens meet it in a
+join, which Spark broadcasts when it measures the table as small; only lexicon words go on from there, so the shuffle
+that brings a document's words together carries those and not its text.
+"""
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import Tokeniser, sentences, words
 
-MAX_LEXICON = 200_000
-
-
-@dataclass(frozen=True)
-class Lexicon:
-    """Positive, negative and negating words.
-
-    The lists travel inside the plan as hash sets, so their size is checked; a dictionary is a curated
-    list that does not grow with the texts.
-    """
 
-    positive: Sequence[str]
-    negative: Sequence[str]
-    negators: Sequence[str]
+def flags(lexicon: DataFrame) -> DataFrame:
+    """``word, pos, neg, fou``: one row per word."""
+    return lexicon.groupBy("word").agg(*[
+        F.max((F.col("polarity") == p).cast("int")).alias(p.lower()) for p in ("Pos", "Neg", "Fou")
+    ])
 
-    def __post_init__(self) -> None:
-        size = len(self.positive) + len(self.negative) + len(self.negators)
-        if size > MAX_LEXICON:
-            raise ValueError(f"lexicon of {size} words exceeds {MAX_LEXICON}; use tag_polarity, which joins")
 
-    @classmethod
-    def from_frame(cls, lexicon: DataFrame) -> "Lexicon":
-        """From ``polarity, word`` rows with polarity Pos, Neg or Fou; at most ``MAX_LEXICON`` rows."""
-        kinds = ("Pos", "Neg", "Fou")
-        words_of = lexicon.where(F.col("polarity").isin(*kinds)).select("polarity", "word").distinct()
-        # One row more than allowed is enough for the size check to refuse the table.
-        rows = words_of.limit(MAX_LEXICON + 1).collect()
-        by = {p: sorted(r["word"] for r in rows if r["polarity"] == p) for p in kinds}
-        return cls(by["Pos"], by["Neg"], by["Fou"])
+def _flip(sequence: list[str]) -> Column:
+    """-1 where a negator stands one or two places before or after, else 1.
 
+    The first token of a sequence never counts as a negator before a word."""
+    near = W.partitionBy(*sequence).orderBy("i")
+    before = F.max(F.when(F.col("i") > 0, F.col("fou")).otherwise(0)).over(near.rangeBetween(-2, -1))
+    after = F.max("fou").over(near.rangeBetween(1, 2))
+    return F.when(F.greatest(F.coalesce(before, F.lit(0)), F.coalesce(after, F.lit(0))) == 1, -1).otherwise(1)
 
-def _is_in(word: Column, listed: Sequence[str]) -> Column:
-    return word.isin(list(listed)) if listed else F.lit(False)
-
-
-def negated(tokens: Column, index: Column, negators: Sequence[str]) -> Column:
-    """Is there a negator one or two places before or after ``index`` (0-based)?
-
-    The first token of a sequence never counts as a negator before a word.
-    """
-    def any_negator(part: Column) -> Column:
-        return F.exists(part, lambda t: _is_in(t, negators))
-
-    first = F.greatest(index - 1, F.lit(2))
-    before = F.slice(tokens, first, F.greatest(index - first + 1, F.lit(0)))
-    after = F.slice(tokens, index + 2, F.lit(2))
-    return any_negator(before) | any_negator(after)
 
+def _polarities(tokens: DataFrame, lexicon: DataFrame, doc: str) -> DataFrame:
+    """``doc, sentence, polarity`` of the sentences that hold a lexicon word, from ``doc, sentence, i, word``.
 
-def token_balance(tokens: Column, lexicon: Lexicon) -> Column:
-    """Positive minus negative hits, each flipped when negated; a word in both lists cancels out."""
-    def hit(word: Column, i: Column) -> Column:
-        good, bad = _is_in(word, lexicon.positive), _is_in(word, lexicon.negative)
-        sign = F.when(negated(tokens, i, lexicon.negators), -1).otherwise(1)
-        return F.when(good & ~bad, sign).when(bad & ~good, -sign).otherwise(0)
-
-    return F.aggregate(F.transform(tokens, hit), F.lit(0), lambda acc, x: acc + x)
-
-
-def sentence_polarity(text: Column, lexicon: Lexicon, tokeniser: Tokeniser = words) -> Column:
-    """1, -1 or 0 for one sentence."""
-    # The tokens are bound to a lambda variable, so that they are computed once.
-    return F.transform(
-        F.array(tokeniser(text)), lambda tokens: F.signum(token_balance(tokens, lexicon)).cast("int")
-    )[0]
+    Positive minus negative words, each flipped when negated; a word in both lists cancels out."""
+    known = tokens.join(flags(lexicon), "word").drop("word").repartition(doc)
+    hits = known.select(doc, "sentence", ((F.col("pos") - F.col("neg")) * _flip([doc, "sentence"])).alias("hit"))
+    return hits.groupBy(doc, "sentence").agg(F.signum(F.sum("hit")).cast("int").alias("polarity"))
 
 
 def _sentence_rows(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -83,11 +46,17 @@ def _sentence_rows(docs: DataFrame, doc: str, text: str) -> DataFrame:
     return rows.where(F.col("_s").isNotNull())
 
 
-def sentence_polarities(docs: DataFrame, lexicon: Lexicon, doc: str = "doc_id", text: str = "text",
+def _tokens(rows: DataFrame, doc: str, sentence: Column, text: str, tokeniser: Tokeniser) -> DataFrame:
+    return rows.select(doc, sentence.alias("sentence"), F.posexplode_outer(tokeniser(F.col(text))).alias("i", "word"))
+
+
+def sentence_polarities(docs: DataFrame, lexicon: DataFrame, doc: str = "doc_id", text: str = "text",
                         tokeniser: Tokeniser = words) -> DataFrame:
-    """``doc, sentence, polarity`` for every sentence of every document."""
-    parts = _sentence_rows(docs, doc, text)
-    return parts.select(doc, "sentence", sentence_polarity(F.col("_s"), lexicon, tokeniser).alias("polarity"))
+    """``doc, sentence, polarity`` (1, -1 or 0) for every sentence of every document."""
+    rows = _sentence_rows(docs, doc, text)
+    found = _polarities(_tokens(rows, doc, F.col("sentence"), "_s", tokeniser), lexicon, doc)
+    every = rows.select(doc, "sentence", F.lit(0).alias("polarity"))
+    return found.unionByName(every).groupBy(doc, "sentence").agg(F.sum("polarity").cast("int").alias("polarity"))
 
 
 def vote(positive: Column, negative: Column) -> Column:
@@ -99,120 +68,95 @@ def vote(positive: Column, negative: Column) -> Column:
     )
 
 
-def document_counts(text: Column, lexicon: Lexicon, tokeniser: Tokeniser = words) -> Column:
-    """Numbers of positive and of negative sentences, a struct ``p, n``."""
-    signs = F.transform(sentences(text), lambda s: sentence_polarity(s, lexicon, tokeniser))
-    zero = F.struct(F.lit(0).alias("p"), F.lit(0).alias("n"))
-    return F.aggregate(
-        signs, zero,
-        lambda acc, s: F.struct(
-            (acc["p"] + F.when(s == 1, 1).otherwise(0)).alias("p"),
-            (acc["n"] + F.when(s == -1, 1).otherwise(0)).alias("n"),
-        ),
-    )
-
+def document_sentiment(docs: DataFrame, lexicon: DataFrame, doc: str = "doc_id", text: str = "text",
+                       tokeniser: Tokeniser = words) -> DataFrame:
+    """``doc, label`` of every document: pos, neg or null by sentence vote."""
+    rows = _sentence_rows(docs, doc, text)
+    found = _polarities(_tokens(rows, doc, F.col("sentence"), "_s", tokeniser), lexicon, doc)
+    counts = found.select(
+        doc, (F.col("polarity") == 1).cast("int").alias("p"), (F.col("polarity") == -1).cast("int").alias("n"),
+    ).groupBy(doc).agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    every = docs.select(doc, F.lit(0).alias("p"), F.lit(0).alias("n"))
+    total = counts.unionByName(every).groupBy(doc).agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    return total.select(doc, vote(F.col("p"), F.col("n")).alias("label"))
 
-def document_sentiment(text: Column, lexicon: Lexicon, tokeniser: Tokeniser = words) -> Column:
-    """pos, neg or null by sentence vote."""
-    return F.transform(
-        F.array(document_counts(text, lexicon, tokeniser)), lambda c: vote(c["p"], c["n"])
-    )[0]
 
-
-def title_first(title_label: Column, body_label: Column, title_only: bool = False) -> Column:
-    """The title's label where it has one, else the body's; null for good when ``title_only``."""
-    return title_label if title_only else F.coalesce(title_label, body_label)
+def title_polarities(docs: DataFrame, lexicon: DataFrame, doc: str = "doc_id", title: str = "title",
+                     tokeniser: Tokeniser = words) -> DataFrame:
+    """``doc, polarity`` of every title, as one sentence."""
+    found = _polarities(_tokens(docs, doc, F.lit(0), title, tokeniser), lexicon, doc).select(doc, "polarity")
+    every = docs.select(doc, F.lit(0).alias("polarity"))
+    return found.unionByName(every).groupBy(doc).agg(F.sum("polarity").cast("int").alias("polarity"))
 
 
 def sign_label(score: Column) -> Column:
     return F.when(score > 0, "pos").when(score < 0, "neg")
 
 
-def title_sentiment(title: Column, content: Column, lexicon: Lexicon, title_only: bool = False,
-                    tokeniser: Tokeniser = words) -> Column:
-    """Sentiment of a (title, content) text: the title's polarity decides when it is not zero."""
-    label = sign_label(sentence_polarity(title, lexicon, tokeniser))
-    return title_first(label, document_sentiment(content, lexicon, tokeniser), title_only)
+def _title_first(titles: DataFrame, docs: DataFrame, lexicon: DataFrame, title_only: bool, doc: str, content: str,
+                 tokeniser: Tokeniser) -> DataFrame:
+    """The title's label where it has one, else the body's; null for good when ``title_only``."""
+    if title_only:
+        return titles.select(doc, F.col("title_label").alias("label"))
+    bodies = document_sentiment(docs, lexicon, doc, content, tokeniser)
+    return titles.join(bodies, doc).select(doc, F.coalesce("title_label", "label").alias("label"))
 
 
-def rule_score(tagged: Column, lexicon: Lexicon) -> Column:
-    """Score of tagged tokens ``array<struct<word, tag>>`` by word order and word class.
+def title_sentiment(docs: DataFrame, lexicon: DataFrame, title_only: bool = False, doc: str = "doc_id",
+                    title: str = "title", content: str = "content", tokeniser: Tokeniser = words) -> DataFrame:
+    """``doc, label`` of (title, content) texts: the title's polarity decides when it is not zero."""
+    titles = title_polarities(docs, lexicon, doc, title, tokeniser)
+    titles = titles.select(doc, sign_label(F.col("polarity")).alias("title_label"))
+    return _title_first(titles, docs, lexicon, title_only, doc, content, tokeniser)
+
+
+def rule_scores(docs: DataFrame, lexicon: DataFrame, doc: str = "doc_id", tagged: str | Column = "tagged") -> DataFrame:
+    """``doc, score`` of tagged tokens ``array<struct<word, tag>>`` by word order and word class.
 
     Read from the end, the first sentiment word gives 1 or -1. The next one that completes a rule with
     it adds: verb positive, then noun negative: -2; verb negative, then noun negative: 1; noun
     negative, then noun positive: -1. Either part is flipped when its word is negated. A word in both
     lists is negative; the place of a word is that of its first equal token in reading order.
     """
-    def score(tokens: Column) -> Column:
-        plain = F.transform(tokens, lambda t: t["word"])
-
-        def bad(t: Column) -> Column:
-            return _is_in(t["word"], lexicon.negative)
-
-        def flip(t: Column) -> Column:
-            place = F.array_position(tokens, t).cast("int") - 1
-            return F.when(negated(plain, place, lexicon.negators), -1).otherwise(1)
-
-        def rule(first: Column, t: Column) -> Column:
-            verb, noun = first["tag"].contains("v"), first["tag"].contains("n")
-            here = t["tag"].contains("n")
-            return (
-                F.when(verb & ~bad(first) & here & bad(t), -2)
-                .when(verb & bad(first) & here & bad(t), 1)
-                .when(noun & bad(first) & here & ~bad(t), -1)
-                .otherwise(0)
-            )
-
-        charged = F.filter(tokens, lambda t: _is_in(t["word"], lexicon.positive) | bad(t))
-
-        def total(cs: Column) -> Column:
-            first = F.get(cs, F.lit(0))
-            opening = F.when(bad(first), -1).otherwise(1) * flip(first)
-            later = F.slice(cs, 2, F.greatest(F.size(cs) - 1, F.lit(0)))
-            fired = F.get(F.filter(later, lambda t: rule(first, t) != 0), F.lit(0))
-            closing = F.when(fired.isNull(), 0).otherwise(rule(first, fired) * flip(fired))
-            return F.when(F.size(cs) == 0, 0).otherwise(opening + closing)
-
-        return F.transform(F.array(charged), total)[0]
-
-    return F.transform(F.array(F.reverse(tagged)), score)[0]
-
-
-def rule_sentiment(tagged_title: Column, content: Column, rule_lexicon: Lexicon, body_lexicon: Lexicon,
-                   title_only: bool = False, tokeniser: Tokeniser = words) -> Column:
-    """Label by the title's rule score: 1 is pos, any other non-zero is neg, zero asks the body."""
-    label = F.transform(
-        F.array(rule_score(tagged_title, rule_lexicon)),
-        lambda s: F.when(s == 1, "pos").when(s != 0, "neg"),
-    )[0]
-    return title_first(label, document_sentiment(content, body_lexicon, tokeniser), title_only)
+    tokens = docs.select(doc, F.posexplode_outer(F.reverse(tagged)).alias("i", "t")).select(doc, "i", "t.word", "t.tag")
+    known = tokens.join(flags(lexicon), "word").repartition(doc).withColumn("flip", _flip([doc]))
+    first_equal = F.first("flip").over(W.partitionBy(doc, "word", "tag").orderBy("i"))
+    charged = known.withColumn("flip", first_equal).where("pos = 1 or neg = 1").select(
+        doc, "i", "flip", (F.col("neg") == 1).alias("bad"), F.contains("tag", F.lit("v")).alias("verb"), F.contains("tag", F.lit("n")).alias("noun"),
+    )
+    opening = F.first(F.struct("i", "bad", "verb", "noun", "flip")).over(W.partitionBy(doc).orderBy("i"))
+    o = F.col("o")
+    delta = (
+        F.when(F.col("i") == o["i"], 0)
+        .when(o["verb"] & ~o["bad"] & F.col("noun") & F.col("bad"), -2)
+        .when(o["verb"] & o["bad"] & F.col("noun") & F.col("bad"), 1)
+        .when(o["noun"] & o["bad"] & F.col("noun") & ~F.col("bad"), -1)
+        .otherwise(0)
+    )
+    start = F.when(o["bad"], -1).otherwise(1) * o["flip"]
+    scores = charged.withColumn("o", opening).withColumn("delta", delta).groupBy(doc).agg(
+        (F.max(start) + F.coalesce(
+            F.min_by(F.when(F.col("delta") != 0, F.col("delta") * F.col("flip")), F.when(F.col("delta") != 0, F.col("i"))), F.lit(0),
+        )).alias("score"),
+    )
+    every = docs.select(doc, F.lit(0).alias("score"))
+    return scores.unionByName(every).groupBy(doc).agg(F.sum("score").cast("int").alias("score"))
 
 
-def tag_polarity(docs: DataFrame, lexicon: DataFrame, doc: str = "doc_id", text: str = "text",
-                 tokeniser: Tokeniser = words) -> DataFrame:
-    """``doc, sentence, polarity`` against a lexicon *table* ``polarity, word`` of any size.
+def rule_sentiment(docs: DataFrame, rule_lexicon: DataFrame, body_lexicon: DataFrame, title_only: bool = False,
+                   doc: str = "doc_id", tagged: str | Column = "tagged", content: str = "content",
+                   tokeniser: Tokeniser = words) -> DataFrame:
+    """``doc, label`` by the title's rule score: 1 is pos, any other non-zero is neg, zero asks the body."""
+    score = F.col("score")
+    titles = rule_scores(docs, rule_lexicon, doc, tagged).select(
+        doc, F.when(score == 1, "pos").when(score != 0, "neg").alias("title_label"),
+    )
+    return _title_first(titles, docs, body_lexicon, title_only, doc, content, tokeniser)
 
-    Tokens meet the table in a join, which Spark broadcasts when the table is small, and negation
-    looks at neighbouring token rows of the sentence. Same result as :func:`sentence_polarities`.
-    """
-    from pyspark.sql import Window as W
 
-    flags = lexicon.groupBy("word").agg(
-        F.max((F.col("polarity") == "Pos").cast("int")).alias("pos"),
-        F.max((F.col("polarity") == "Neg").cast("int")).alias("neg"),
-        F.max((F.col("polarity") == "Fou").cast("int")).alias("fou"),
-    )
-    sents = _sentence_rows(docs, doc, text)
-    # An empty sentence keeps its row through the outer explode.
-    tokens = sents.select(doc, "sentence", F.posexplode_outer(tokeniser(F.col("_s"))).alias("i", "word"))
-    known = tokens.join(flags, "word", "left").select(
-        doc, "sentence", "i", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("pos", "neg", "fou")]
-    )
-    w = W.partitionBy(doc, "sentence").orderBy("i")
-    fou_before = [F.when(F.col("i") - k > 0, F.lag("fou", k, 0).over(w)).otherwise(0) for k in (1, 2)]
-    fou_after = [F.lead("fou", k, 0).over(w) for k in (1, 2)]
-    sign = F.when(F.greatest(*fou_before, *fou_after) == 1, -1).otherwise(1)
-    return (
-        known.select(doc, "sentence", ((F.col("pos") - F.col("neg")) * sign).alias("hit"))
-        .groupBy(doc, "sentence").agg(F.signum(F.sum("hit")).cast("int").alias("polarity"))
-    )
+def lexicon_from_word_lists(positive: DataFrame, negative: DataFrame, negators: DataFrame) -> DataFrame:
+    """A lexicon table of three ``word`` tables, such as word-list files."""
+    parts = [
+        w.select(F.lit(p).alias("polarity"), "word") for p, w in (("Pos", positive), ("Neg", negative), ("Fou", negators))
+    ]
+    return parts[0].union(parts[1]).union(parts[2])

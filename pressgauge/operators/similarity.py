@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, sqrt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import Tokeniser, normalise_delimiters, segment_gate, words
-from pressgauge.session import shuffle_tasks
+from pressgauge.session import ensure_checkpoint_dir
+
+#: Terms of a user in one slice of the basket's pairs.
+SLICE = 1000
 
 
 def search_terms(
@@ -21,63 +24,65 @@ def search_terms(
     gated = F.flatten(F.transform(raw, lambda w: segment_gate(w, tokeniser)))
     # The outer form: for the plain one Spark adds a test for empty lists that computes the terms again.
     terms = queries.select("user_id", F.explode_outer(gated).alias("term")).where(F.col("term") != "")
-    # Stop words count towards the basket cap and are removed after it.
+    # Stop words count towards a basket cap and are removed after it.
     return terms.withColumn("stop", F.col("term").isin(stop) if stop else F.lit(False))
 
 
-def cap_baskets(terms: DataFrame, max_distinct: int = 10_000) -> DataFrame:
-    """Distinct ``user_id, term`` of users with at most ``max_distinct`` terms, stop words removed."""
+def cap_baskets(terms: DataFrame, max_distinct: int | None = None) -> DataFrame:
+    """Distinct ``user_id, term``, stop words removed; with ``max_distinct`` only of users with at most so many terms."""
     pairs = terms.groupBy("user_id", "term").agg(F.first("stop").alias("stop"))
-    over = pairs.groupBy("user_id").count().where(F.col("count") > max_distinct).select("user_id")
-    return pairs.join(over, "user_id", "left_anti").where(~F.col("stop")).select("user_id", "term")
+    if max_distinct is not None:
+        over = pairs.groupBy("user_id").count().where(F.col("count") > max_distinct).select("user_id")
+        pairs = pairs.join(over, "user_id", "left_anti")
+    return pairs.where(~F.col("stop")).select("user_id", "term")
 
 
-def user_baskets(capped: DataFrame) -> DataFrame:
-    """``user_id, terms``: the distinct terms of a user, sorted. Bounded by the basket cap."""
-    return capped.groupBy("user_id").agg(F.array_sort(F.collect_list("term")).alias("terms"))
+def user_baskets(baskets: DataFrame) -> DataFrame:
+    """``user_id, terms``: the distinct terms of a user, sorted."""
+    return baskets.groupBy("user_id").agg(F.array_sort(F.collect_list("term")).alias("terms"))
 
 
-def term_cosine(capped: DataFrame, support: int, blocks: int | None = None) -> DataFrame:
+def term_cosine(
+    baskets: DataFrame, support: int, min_cosine: float = 0.0, top: int | None = None,
+) -> DataFrame:
     """``term_a, term_b, together, cosine`` of term pairs (a < b) that share a user.
 
-    cosine = n(a, b) / sqrt(n(a) n(b)) over distinct users; terms with fewer than ``support`` users
-    take no part.
+    cosine = n(a, b) / sqrt(n(a) n(b)) over distinct users; terms with fewer than ``support`` users take no part, nor
+    pairs below ``min_cosine``; with ``top`` only the best pairs of each term stay, ties by the other term.
 
-    Terms are hashed into blocks and each user's basket is sent, as short term lists, to the cells
-    (block, block) of a triangle. A cell then holds *every* user's pairs of its terms, so pairs are
-    counted where they arise: what is shuffled is the baskets, ``blocks`` times, never the pairs.
-    Cells outnumber the tasks, no single user or term owns one, and a basket cannot exceed the cap.
+    Terms travel as numbers. Users are joined with themselves and their pairs counted map-side before they are
+    shuffled by pair. A user's terms are dealt to slices of about SLICE, each of which gets all of the user's terms as
+    second ones, so a basket of any size is the work of many tasks and never a list.
     """
-    tasks = shuffle_tasks(capped.sparkSession)
-    blocks = blocks or max(4, ceil(sqrt(32 * tasks)))
-
-    counts = capped.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
-    block = F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")
-    # One shuffle by user serves both groupings.
-    parts = (
-        capped.join(counts, "term").repartition(tasks, "user_id")
-        .groupBy("user_id", block.alias("block")).agg(F.collect_list(F.struct("term", "n")).alias("terms"))
-        .groupBy("user_id").agg(F.collect_list(F.struct("block", "terms")).alias("parts"))
-    )
-    cells = (
-        parts.select(F.explode("parts").alias("p"), "parts")
-        .select("p", F.explode("parts").alias("q")).where(F.col("p.block") <= F.col("q.block"))
-        .select(
-            F.col("p.block").alias("ba"), F.col("q.block").alias("bb"),
-            F.col("p.terms").alias("xs"), F.col("q.terms").alias("ys"),
-        )
-        .repartition(tasks, "ba", "bb")
-    )
-    pairs = (
-        cells.select("ba", "bb", F.explode("xs").alias("x"), "ys")
-        .select("ba", "bb", "x", F.explode("ys").alias("y"))
-        .where((F.col("ba") != F.col("bb")) | (F.col("x.term") < F.col("y.term")))
-    )
-    # Within a cell a pair always has the same orientation; it is ordered once it is counted.
-    counted = pairs.groupBy("ba", "bb", F.col("x.term").alias("s"), F.col("y.term").alias("t")).agg(
-        F.count(F.lit(1)).alias("together"), F.max(F.col("x.n") * F.col("y.n")).alias("nn")
-    )
-    return counted.select(
-        F.least("s", "t").alias("term_a"), F.greatest("s", "t").alias("term_b"), "together",
-        (F.col("together") / F.sqrt(F.col("nn").cast("double"))).alias("cosine"),
+    spark = baskets.sparkSession
+    ensure_checkpoint_dir(spark)
+    counts = baskets.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
+    # Numbers in the order of nothing in particular; they must not change, so the table is cut off here.
+    numbered = counts.withColumn("no", F.monotonically_increasing_id()).checkpoint()
+    coded = baskets.join(numbered, "term").select("user_id", "no")
+    sizes = coded.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
+    sized = coded.join(sizes, "user_id")
+    left = sized.select("user_id", F.pmod(F.xxhash64("no"), "slices").cast("int").alias("slice"), F.col("no").alias("a"))
+    right = sized.select("user_id", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.col("no").alias("b"))
+    together = left.join(right, ["user_id", "slice"]).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("together"))
+
+    def named(side: str) -> DataFrame:
+        return numbered.select(F.col("no").alias(side), F.col("term").alias(f"t_{side}"), F.col("n").alias(f"n_{side}"))
+
+    cosine = F.col("together") / F.sqrt((F.col("n_a") * F.col("n_b")).cast("double"))
+    pairs = together.join(named("a"), "a").join(named("b"), "b").select(
+        F.least("t_a", "t_b").alias("term_a"), F.greatest("t_a", "t_b").alias("term_b"), "together", cosine.alias("cosine"),
     )
+    if min_cosine > 0:
+        pairs = pairs.where(F.col("cosine") >= min_cosine)
+    return pairs if top is None else _best(pairs, top)
+
+
+def _best(pairs: DataFrame, top: int) -> DataFrame:
+    """Pairs that are among the best ``top`` of either of their terms."""
+    w = W.partitionBy("term").orderBy(F.desc("cosine"), "other")
+    both = pairs.select("*", F.inline(F.array(
+        F.struct(F.col("term_a").alias("term"), F.col("term_b").alias("other")),
+        F.struct(F.col("term_b").alias("term"), F.col("term_a").alias("other")),
+    )))
+    return both.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).select(pairs.columns).distinct()

@@ -88,6 +88,11 @@ def textrank(
     )
 
 
+def by_score(scores: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Each document's words in descending score, ties by word."""
+    return scores.orderBy(doc, F.desc("score"), "word")
+
+
 def top_words(scores: DataFrame, n: int, doc: str = "doc_id") -> DataFrame:
     """The ``n`` best words per document, ties by word."""
     w = W.partitionBy(doc).orderBy(F.desc("score"), "word")

@@ -42,7 +42,7 @@ def graph_sinks(spark: SparkSession, d: str) -> DataFrame:
 
 def pagerank(spark: SparkSession, d: str) -> DataFrame:
     ranks = graph.pagerank(_links(spark, d), RANK_STEPS)
-    return ranks.withColumn("rank", F.round("rank", 6))
+    return graph.by_rank(ranks.withColumn("rank", F.round("rank", 6)))
 
 
 def pagerank_first(spark: SparkSession, d: str) -> DataFrame:
@@ -71,7 +71,7 @@ def _scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_rank(spark: SparkSession, d: str) -> DataFrame:
-    return _scores(spark, d)
+    return textrank.by_score(_scores(spark, d))
 
 
 def text_top_words(spark: SparkSession, d: str) -> DataFrame:

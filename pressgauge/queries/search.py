@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressgauge.functions import periods
 from pressgauge.functions import text as tx
 from pressgauge.operators import similarity
 from pressgauge.queries import inputs as i
+from pressgauge.session import run_path
 from pressgauge.sources import logs
 
 STOP_WORDS = ["the", "of", "and", "la", "de", "der", "die"]
@@ -46,13 +50,13 @@ def term_normalise(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _capped(spark: SparkSession, d: str) -> DataFrame:
+def _baskets(spark: SparkSession, d: str) -> DataFrame:
     queries = logs.parse_search_log(i.search_lines(spark, d))
     return similarity.cap_baskets(similarity.search_terms(queries, STOP_WORDS))
 
 
 def user_baskets(spark: SparkSession, d: str) -> DataFrame:
-    baskets = similarity.user_baskets(_capped(spark, d))
+    baskets = similarity.user_baskets(_baskets(spark, d))
     return baskets.select("user_id", F.array_join("terms", "|").alias("terms"))
 
 
@@ -64,7 +68,27 @@ def basket_cap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def term_cosine(spark: SparkSession, d: str) -> DataFrame:
-    pairs = similarity.term_cosine(_capped(spark, d), SUPPORT)
+    pairs = similarity.term_cosine(_baskets(spark, d), SUPPORT)
+    return pairs.withColumn("cosine", F.round("cosine", 6))
+
+
+def term_cosine_close(spark: SparkSession, d: str) -> DataFrame:
+    """Only close pairs."""
+    pairs = similarity.term_cosine(_baskets(spark, d), SUPPORT, min_cosine=0.25)
+    return pairs.withColumn("cosine", F.round("cosine", 6))
+
+
+def term_cosine_day(spark: SparkSession, d: str) -> DataFrame:
+    """The search log as hour folders of three days, a conversation in one hour; read are the 24 hours before one
+    that are there."""
+    root, now = run_path(spark, "search-log"), datetime(2024, 1, 3, 5)
+    user = F.get(F.split("value", "\t"), F.lit(1)).cast("int")
+    at = i.ts(i.START) + F.make_dt_interval(F.lit(0), user % 72)
+    lines = i.search_lines(spark, d).withColumn("day", F.date_format(at, "yyyy-MM-dd")).withColumn("hour", F.hour(at))
+    lines.write.partitionBy("day", "hour").text(root)
+    folders = logs.present(spark, periods.past_hour_paths(root, now, folder="day={day}/hour={hour}"))
+    queries = logs.parse_search_log(logs.read_lines(spark, folders))
+    pairs = similarity.term_cosine(similarity.cap_baskets(similarity.search_terms(queries, STOP_WORDS)), SUPPORT)
     return pairs.withColumn("cosine", F.round("cosine", 6))
 
 
@@ -84,6 +108,13 @@ terms AS (SELECT DISTINCT CAST(conv_id AS VARCHAR) AS user_id, term FROM (
 basket AS (SELECT user_id, term FROM terms WHERE term NOT IN ({_STOP})
   AND user_id IN (SELECT user_id FROM terms GROUP BY ALL HAVING count(*) <= CAP))"""
 
+_BASKETS = _TERMS.replace("\n  AND user_id IN (SELECT user_id FROM terms GROUP BY ALL HAVING count(*) <= CAP)", "")
+_COSINE = f"""counts AS (SELECT term, count(*) AS n FROM basket GROUP BY ALL HAVING count(*) >= {SUPPORT}),
+kept AS (SELECT user_id, term, n FROM basket JOIN counts USING (term)),
+pairs AS (SELECT a.term AS term_a, b.term AS term_b, count(*) AS together,
+  count(*) / sqrt(CAST(a.n * b.n AS DOUBLE)) AS cosine
+FROM kept a JOIN kept b ON a.user_id = b.user_id AND a.term < b.term GROUP BY a.term, b.term, a.n, b.n)"""
+
 QUERIES = {
     "url_decode": (url_decode, """
 SELECT doc_id, CASE WHEN regexp_matches(text, '[^A-Za-z0-9 .*_-]') THEN text ELSE replace(text, ' ', '+') END AS once,
@@ -104,14 +135,14 @@ cut AS (SELECT doc_id, k, {_SEGMENTED} AS ts FROM raw),
 terms AS (SELECT doc_id, k, generate_subscripts(ts, 1) AS j, unnest(ts) AS term FROM cut)
 SELECT doc_id, coalesce(string_agg(term, '|' ORDER BY k, j) FILTER (WHERE term <> ''), '') AS terms
 FROM documents LEFT JOIN terms USING (doc_id) GROUP BY ALL"""),
-    "user_baskets": (user_baskets, f"""{_TERMS.replace("CAP", "10000")}
+    "user_baskets": (user_baskets, f"""{_BASKETS}
 SELECT user_id, string_agg(term, '|' ORDER BY term) AS terms FROM basket GROUP BY ALL"""),
     "basket_cap": (basket_cap, f"""{_TERMS.replace("CAP", "400")}
 SELECT user_id, count(*) AS terms FROM basket GROUP BY ALL"""),
-    "term_cosine": (term_cosine, f"""{_TERMS.replace("CAP", "10000")},
-counts AS (SELECT term, count(*) AS n FROM basket GROUP BY ALL HAVING count(*) >= {SUPPORT}),
-kept AS (SELECT user_id, term, n FROM basket JOIN counts USING (term))
-SELECT a.term AS term_a, b.term AS term_b, count(*) AS together,
-  round(count(*) / sqrt(CAST(a.n * b.n AS DOUBLE)), 6) AS cosine
-FROM kept a JOIN kept b ON a.user_id = b.user_id AND a.term < b.term GROUP BY a.term, b.term, a.n, b.n"""),
+    "term_cosine": (term_cosine, f"""{_BASKETS}, {_COSINE}
+SELECT term_a, term_b, together, round(cosine, 6) AS cosine FROM pairs"""),
+    "term_cosine_close": (term_cosine_close, f"""{_BASKETS}, {_COSINE}
+SELECT term_a, term_b, together, round(cosine, 6) AS cosine FROM pairs WHERE cosine >= 0.25"""),
+    "term_cosine_day": (term_cosine_day, f"""{_BASKETS.replace("conversations", "(SELECT * FROM conversations WHERE conv_id % 72 BETWEEN 29 AND 52)")}, {_COSINE}
+SELECT term_a, term_b, together, round(cosine, 6) AS cosine FROM pairs"""),
 }

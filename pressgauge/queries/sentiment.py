@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from pressgauge.functions import text as tx
 from pressgauge.operators import classify, sentiment
 from pressgauge.queries import inputs as i
+from pressgauge.session import run_path
+from pressgauge.sources import logs
 
 # Frequent words of the test documents as a lexicon.
 POSITIVE = ["the", "de", "and", "la", "is", "que"]
 NEGATIVE = ["of", "to", "der", "en", "that", "que"]
 NEGATORS = ["in", "a", "it"]
-LEXICON = sentiment.Lexicon(POSITIVE, NEGATIVE, NEGATORS)
+
+
+def _lexicon(spark: SparkSession) -> DataFrame:
+    rows = [("Pos", w) for w in POSITIVE] + [("Neg", w) for w in NEGATIVE] + [("Fou", w) for w in NEGATORS]
+    return spark.createDataFrame(rows, "polarity string, word string")
 
 
 def sentence_split(spark: SparkSession, d: str) -> DataFrame:
@@ -22,29 +28,38 @@ def sentence_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sentence_polarity(spark: SparkSession, d: str) -> DataFrame:
-    return sentiment.sentence_polarities(i.documents(spark, d, "text").select("doc_id", "text"), LEXICON)
+    return sentiment.sentence_polarities(i.documents(spark, d, "text"), _lexicon(spark))
 
 
 def sentence_polarity_joined(spark: SparkSession, d: str) -> DataFrame:
-    """The same against a lexicon table."""
-    rows = [("Pos", w) for w in POSITIVE] + [("Neg", w) for w in NEGATIVE] + [("Fou", w) for w in NEGATORS]
-    lexicon = spark.createDataFrame(rows, "polarity string, word string")
-    return sentiment.tag_polarity(i.documents(spark, d, "text").select("doc_id", "text"), lexicon)
+    """The same against a lexicon larger than any list: every word of the documents that is in no list, thrice
+    over under kinds that don't count, besides the lists."""
+    rest = i.documents(spark, d, "text").select(F.explode(tx.words(F.col("text"))).alias("word")).distinct()
+    noise = rest.select(F.explode(F.array(*[F.lit(f"Other{k}") for k in range(3)])).alias("polarity"), "word")
+    return sentiment.sentence_polarities(i.documents(spark, d, "text"), _lexicon(spark).union(noise))
 
 
 def doc_sentiment(spark: SparkSession, d: str) -> DataFrame:
-    return i.documents(spark, d, "text").select(
-        "doc_id", sentiment.document_sentiment(F.col("text"), LEXICON).alias("label")
-    )
+    return sentiment.document_sentiment(i.documents(spark, d, "text"), _lexicon(spark))
 
 
 def title_sentiment(spark: SparkSession, d: str) -> DataFrame:
-    t, c = F.col("title"), F.col("content")
-    return i.title_and_body(spark, d).select(
-        "doc_id",
-        sentiment.title_sentiment(t, c, LEXICON).alias("label"),
-        sentiment.title_sentiment(t, c, LEXICON, title_only=True).alias("title_label"),
-    )
+    texts, lexicon = i.title_and_body(spark, d), _lexicon(spark)
+    both = sentiment.title_sentiment(texts, lexicon)
+    only = sentiment.title_sentiment(texts, lexicon, title_only=True)
+    return both.join(only.withColumnRenamed("label", "title_label"), "doc_id")
+
+
+def lexicon_file_sentiment(spark: SparkSession, d: str) -> DataFrame:
+    """Three word-list files written to the shared folder, read back as a lexicon, to document labels."""
+    lists = []
+    for name, listed in (("positive", POSITIVE), ("negative", NEGATIVE), ("negators", NEGATORS)):
+        path = run_path(spark, f"words-{name}")
+        lines = ["\ufeff" + listed[0], *[f" {w} " for w in listed[1:]], ""]
+        spark.createDataFrame([(w,) for w in lines], "value string").write.text(path)
+        lists.append(logs.parse_word_list(logs.read_lines(spark, path)))
+    lexicon = sentiment.lexicon_from_word_lists(*lists)
+    return sentiment.document_sentiment(i.documents(spark, d, "text"), lexicon)
 
 
 def _tagged(text):
@@ -55,14 +70,12 @@ def _tagged(text):
 
 
 def pos_rule_score(spark: SparkSession, d: str) -> DataFrame:
-    return i.documents(spark, d, "text").select(
-        "doc_id", sentiment.rule_score(_tagged(F.col("text")), LEXICON).alias("score")
-    )
+    return sentiment.rule_scores(i.documents(spark, d, "text"), _lexicon(spark), tagged=_tagged(F.col("text")))
 
 
 def pos_rule_sentiment(spark: SparkSession, d: str) -> DataFrame:
-    label = sentiment.rule_sentiment(_tagged(F.col("title")), F.col("content"), LEXICON, LEXICON)
-    return i.title_and_body(spark, d).select("doc_id", label.alias("label"))
+    lexicon = _lexicon(spark)
+    return sentiment.rule_sentiment(i.title_and_body(spark, d), lexicon, lexicon, tagged=_tagged(F.col("title")))
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
@@ -76,23 +89,21 @@ def _unlabelled(spark: SparkSession, d: str) -> DataFrame:
 
 def nb_predict(spark: SparkSession, d: str) -> DataFrame:
     """Quality classes (1 low, 3 high) learned from the labelled documents, predicted for all."""
-    train = _labelled(spark, d).select("tokens", (F.col("quality") * 2 + 1).cast("double").alias("label"))
-    return classify.predict(classify.fit_chain(train), _unlabelled(spark, d)).drop("tokens")
+    train = _labelled(spark, d).select("tokens", (F.col("quality") * 2 + 1).alias("label"))
+    return classify.predict(classify.fit(train), _unlabelled(spark, d))
 
 
 def nb_cascade(spark: SparkSession, d: str) -> DataFrame:
     """Toxic or other first, then low or high quality."""
     docs = _labelled(spark, d)
-    first = docs.select("tokens", F.when(F.col("toxic") == 1, 1.0).otherwise(4.0).alias("label"))
-    second = docs.select("tokens", (F.col("quality") + 2).cast("double").alias("label"))
-    m1 = classify.fit_chain(first, output="p1", prefix="a_")
-    m2 = classify.fit_chain(second, output="p2", prefix="b_")
-    return classify.predict_cascade(m1, m2, _unlabelled(spark, d)).drop("tokens")
+    first = classify.fit(docs.select("tokens", F.when(F.col("toxic") == 1, 1).otherwise(4).alias("label")))
+    second = classify.fit(docs.select("tokens", (F.col("quality") + 2).alias("label")))
+    return classify.predict_cascade(first, second, _unlabelled(spark, d))
 
 
 def nb_probability(spark: SparkSession, d: str) -> DataFrame:
-    train = _labelled(spark, d).select("tokens", F.col("quality").cast("double").alias("label"))
-    return classify.class_probabilities(classify.fit_chain(train), _unlabelled(spark, d)).drop("tokens")
+    train = _labelled(spark, d).select("tokens", F.col("quality").alias("label"))
+    return classify.class_probabilities(classify.fit(train), _unlabelled(spark, d))
 
 
 _SPLIT = "[,。\\t\\n，：]"
@@ -162,6 +173,33 @@ rscore AS (
   FROM {table} d LEFT JOIN ropen o USING (doc_id) LEFT JOIN rclose c USING (doc_id))"""
 
 
+def _bayes(name: str, label: str, low: int, high: int) -> str:
+    """Joint log scores of two classes by document: name_score(doc_id, s_low, s_high)."""
+    def chi(k: str) -> str:
+        off = f"(df_{k} - df * n_{k} / n)"
+        return f"{off} * {off} / (df * n_{k} / n) + CASE WHEN df = n THEN 0 ELSE {off} * {off} / ((n - df) * n_{k} / n) END"
+
+    return f"""{name}_train AS (SELECT doc_id, {label} AS label FROM documents JOIN labels USING (doc_id)),
+{name}_size AS (SELECT count(*)::DOUBLE AS n, (count(*) FILTER (WHERE label = {low}))::DOUBLE AS n_low,
+  (count(*) FILTER (WHERE label = {high}))::DOUBLE AS n_high FROM {name}_train),
+{name}_word AS (SELECT w, count(*) AS df, count(*) FILTER (WHERE label = {low}) AS df_low, count(*) FILTER (WHERE label = {high}) AS df_high,
+  sum(tf) FILTER (WHERE label = {low}) AS tf_low, sum(tf) FILTER (WHERE label = {high}) AS tf_high
+  FROM nb_tf JOIN {name}_train USING (doc_id) GROUP BY w),
+{name}_chosen AS (SELECT w, ln((n + 1) / (df + 1)) AS idf, coalesce(tf_low, 0) AS tf_low, coalesce(tf_high, 0) AS tf_high
+  FROM {name}_word, {name}_size ORDER BY round({chi("low")} + {chi("high")}, 9) DESC, w LIMIT 1000),
+{name}_total AS (SELECT sum(tf_low * idf) + count(*) AS t_low, sum(tf_high * idf) + count(*) AS t_high FROM {name}_chosen),
+{name}_weight AS (SELECT w, idf * (ln(tf_low * idf + 1) - ln(t_low)) AS w_low, idf * (ln(tf_high * idf + 1) - ln(t_high)) AS w_high
+  FROM {name}_chosen, {name}_total),
+{name}_score AS (SELECT d.doc_id, ln((n_low + 1) / (n + 2)) + coalesce(sum(tf * w_low), 0) AS s_low,
+  ln((n_high + 1) / (n + 2)) + coalesce(sum(tf * w_high), 0) AS s_high
+  FROM documents d CROSS JOIN {name}_size LEFT JOIN (SELECT doc_id, tf, w_low, w_high FROM nb_tf JOIN {name}_weight USING (w)) x USING (doc_id)
+  GROUP BY d.doc_id, n, n_low, n_high)"""
+
+
+_NB_TF = """nb_tf AS MATERIALIZED (SELECT doc_id, w, count(*) AS tf
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}]+')) AS w FROM documents) GROUP BY ALL)"""
+
+
 QUERIES = {
     "sentence_split": (sentence_split, f"""
 SELECT doc_id, CAST(generate_subscripts(ss, 1) - 1 AS INTEGER) AS sentence, unnest(ss) AS text
@@ -171,6 +209,8 @@ SELECT doc_id, CAST(sentence AS INTEGER) AS sentence, polarity FROM sent"""),
     "sentence_polarity_joined": (sentence_polarity_joined, f"""WITH {_scored("documents", "text", "sent")}
 SELECT doc_id, CAST(sentence AS INTEGER) AS sentence, polarity FROM sent"""),
     "doc_sentiment": (doc_sentiment, f"""WITH {_scored("documents", "text", "sent")}, {_voted("sent")}
+SELECT doc_id, label FROM sent_v"""),
+    "lexicon_file_sentiment": (lexicon_file_sentiment, f"""WITH {_scored("documents", "text", "sent")}, {_voted("sent")}
 SELECT doc_id, label FROM sent_v"""),
     "title_sentiment": (title_sentiment, f"""WITH {i.SQL_TITLES},
 {_TITLE}, {_scored("titles", "content", "body")}, {_voted("body")},
@@ -181,7 +221,16 @@ SELECT doc_id, coalesce(title_label, label) AS label, title_label FROM titled JO
 {_rules("titles", "title")}, {_scored("titles", "content", "body")}, {_voted("body")}
 SELECT doc_id, CASE WHEN score = 1 THEN 'pos' WHEN score <> 0 THEN 'neg' ELSE label END AS label
 FROM rscore JOIN body_v USING (doc_id)"""),
-    "nb_predict": (nb_predict, None),
-    "nb_cascade": (nb_cascade, None),
-    "nb_probability": (nb_probability, None),
+    "nb_predict": (nb_predict, f"""WITH {_NB_TF}, {_bayes("q", "quality * 2 + 1", 1, 3)}
+SELECT doc_id, CASE WHEN s_low >= s_high THEN 'neg' ELSE 'pos' END AS label_text FROM q_score"""),
+    "nb_cascade": (nb_cascade, f"""WITH {_NB_TF}, {_bayes("a", "CASE WHEN toxic = 1 THEN 1 ELSE 4 END", 1, 4)},
+{_bayes("b", "quality + 2", 2, 3)}
+SELECT doc_id, CASE WHEN a.s_low >= a.s_high THEN 'neg' WHEN b.s_low >= b.s_high THEN 'neu' ELSE 'pos' END AS label_text
+FROM a_score a JOIN b_score b USING (doc_id)"""),
+    "nb_probability": (nb_probability, f"""WITH {_NB_TF}, {_bayes("q", "quality", 0, 1)},
+p AS (SELECT doc_id, CAST(round(1 / (1 + exp(s_high - s_low)), 9) AS DECIMAL(20, 18)) AS p0,
+  CAST(round(1 / (1 + exp(s_low - s_high)), 9) AS DECIMAL(20, 18)) AS p1 FROM q_score),
+f AS (SELECT doc_id, floor(p0 * 10000) / 10000 AS a, floor(p1 * 10000) / 10000 AS b FROM p)
+SELECT doc_id, printf('%.4f', CAST(CASE WHEN a >= b THEN a ELSE 1 - b END AS DOUBLE)) AS neg,
+  printf('%.4f', CAST(CASE WHEN a >= b THEN 1 - a ELSE b END AS DOUBLE)) AS neu_pos FROM f"""),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pressgauge.functions import periods
 from pressgauge.operators import records
+from pressgauge.plans import stock
 from pressgauge.queries import inputs as i
 from pressgauge.session import run_path
 from pressgauge.sources import logs, tables
@@ -54,6 +55,31 @@ def missing_days(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def missing_day_zeros(spark: SparkSession, d: str) -> DataFrame:
+    """Visits of every dictionary stock on every day; days without a usable log are zeros."""
+    kept = logs.without_periods(i.visits(spark, d), ["2024-01-07", "2024-01-21"])
+    daily = stock.daily_history(i.news(spark, d), i.stock_dict(spark, d), kept, i.ts(i.START), i.ts(i.END))
+    return daily.select(i.text_key("day", "yyyy-MM-dd").alias("day"), "stock", "visit")
+
+
+def untyped_news(spark: SparkSession, d: str) -> DataFrame:
+    """News of the plain type, 0; the other type is every third item."""
+    typed = i.news_heads(spark, d).withColumn("type", F.when(F.col("news_id") % 3 == 0, 1).when(F.col("news_id") % 7 != 0, 0))
+    return records.plain_type(typed).select("news_id", "platform")
+
+
+def dictionary_files(spark: SparkSession, d: str) -> DataFrame:
+    """The category dictionary and a tagged word list as files with a byte-order mark, read back."""
+    names = records.category_dictionary(_board(spark, d))
+    mark = F.lit("\ufeff")
+    path, tagged = run_path(spark, "dictionary"), run_path(spark, "tagged")
+    names.select(F.concat(mark, "category", F.lit("\t"), "name").alias("value")).write.text(path)
+    i.table(spark, d, "part").select(F.concat(mark, "p_type", F.lit("/"), "p_brand").alias("value")).distinct().write.text(tagged)
+    read = logs.parse_entity_dictionary(logs.read_lines(spark, path))
+    words = logs.parse_tagged_word_list(logs.read_lines(spark, tagged))
+    return read.unionByName(words.select(F.col("word").alias("category"), F.col("tag").alias("name")))
+
+
 def tuple_text(spark: SparkSession, d: str) -> DataFrame:
     """Visits per url as ``(url,n)`` text lines, parsed again."""
     totals = logs.sum_visits(i.visits(spark, d).select("url", "cnt"))
@@ -180,6 +206,18 @@ QUERIES = {
     "hour_file_visits": (hour_file_visits, _PARSED),
     "missing_days": (missing_days, """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS cnt FROM events
 WHERE strftime(ts, '%Y-%m-%d') NOT IN ('2024-01-07', '2024-01-21') GROUP BY ALL"""),
+    "missing_day_zeros": (missing_day_zeros, f"""WITH {i.SQL_HEADS}, {i.SQL_LINES}, {i.SQL_DICT}, {i.SQL_VISITS},
+days AS (SELECT strftime(TIMESTAMP '2024-01-01' + to_days(CAST(k AS INTEGER)), '%Y-%m-%d') AS day FROM range(30) r(k)),
+counted AS (SELECT strftime(hour, '%Y-%m-%d') AS day, stock, sum(cnt) AS visit FROM visits JOIN heads USING (url) JOIN lines USING (news_id)
+  WHERE strftime(hour, '%Y-%m-%d') NOT IN ('2024-01-07', '2024-01-21') GROUP BY ALL)
+SELECT day, stock, CAST(coalesce(visit, 0) AS BIGINT) AS visit FROM days CROSS JOIN dict LEFT JOIN counted USING (day, stock)"""),
+    "untyped_news": (untyped_news, f"""WITH {i.SQL_HEADS}
+SELECT news_id, platform FROM heads WHERE news_id % 3 <> 0 AND news_id % 7 <> 0"""),
+    "dictionary_files": (dictionary_files, f"""WITH {_BOARD}
+SELECT DISTINCT 'stock' AS category, symbol AS name FROM board
+UNION ALL SELECT DISTINCT 'section', keyname FROM board WHERE boardcode = '1105'
+UNION ALL SELECT DISTINCT 'industry', keyname FROM board WHERE boardcode = '1109'
+UNION ALL SELECT DISTINCT p_type, p_brand FROM part"""),
     "tuple_text": (tuple_text, """
 SELECT 'http://n/' || (event_id % 5000) AS entity, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY ALL"""),
     "search_log": (search_log, "SELECT CAST(conv_id AS VARCHAR) AS user_id, text AS query FROM conversations"),

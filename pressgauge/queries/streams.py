@@ -27,7 +27,9 @@ def stream_hourly_visit(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_stock_visit(spark: SparkSession, d: str) -> DataFrame:
-    visits = hourly.hourly_stock_visits(_visits(spark, d), i.news(spark, d))
+    links = run_path(spark, "news-links")
+    i.news(spark, d).select("url", "stock").write.parquet(links)
+    visits = hourly.hourly_stock_visits(_visits(spark, d), spark.read.parquet(links))
     return hourly.drain_to_parquet(visits, "stock-visits").withColumn("hour", i.text_key("hour"))
 
 
@@ -44,7 +46,10 @@ def stream_terms(spark: SparkSession, d: str) -> DataFrame:
     terms = _visits(spark, d).select(
         "ts", "user_id", F.explode(F.concat(F.array("event_type"), words(F.col("props")))).alias("term")
     )
-    out = hourly.drain_to_parquet(hourly.rolling_terms(terms), "terms")
+    sums = hourly.drain_to_parquet(hourly.hourly_terms(terms), "terms")
+    # What the stream has closed: an hour before its newest event.
+    until = i.table(spark, d, "events").agg((F.max("ts").cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(1)))).first()[0]
+    out = hourly.rolling_terms(sums, F.lit(until))
     return out.withColumn("window_start", i.text_key("window_start")).withColumn("window_end", i.text_key("window_end"))
 
 
@@ -61,7 +66,22 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_metric_table(spark, path)
 
 
+def stream_hourly_open(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly visits per event type in a metric table, the last, still open hour included."""
+    counts = (
+        _visits(spark, d).withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour").alias("w"), "event_type")
+        .agg(F.count(F.lit(1)).alias("n")).select(hourly.hour_key(F.col("w.start")).alias("hour"), "event_type", "n")
+    )
+    path = run_path(spark, "stream-hours")
+    query = hourly.upsert_sink(counts, path, "visitHour", "hour", "event_type", "n", run_path(spark, "stream-hours-state"))
+    query.awaitTermination()
+    return tables.read_metric_table(spark, path)
+
+
 QUERIES = {
+    "stream_hourly_open": (stream_hourly_open, """
+SELECT 'visitHour' AS metric, strftime(ts, '%Y-%m-%d-%H') AS period, event_type AS entity, CAST(count(*) AS DOUBLE) AS value
+FROM events GROUP BY ALL"""),
     "stream_hourly_visit": (stream_hourly_visit, """
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, 'http://n/' || (event_id % 5000) AS url,
   count(*) AS visit FROM events

@@ -34,8 +34,8 @@ def shuffle_tasks(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. A private folder is made only in local
-    mode, where driver and executors are one process; elsewhere the setting is required.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a private folder is made in local mode
+    (as in tests), where driver and executors are one process; elsewhere the setting is required.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()

@@ -25,14 +25,18 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """The rows hashed by ``keys`` over all cores when their files give fewer splits than that.
-
-    For work that is heavy per row, such as parsing text, on a few files that cannot be split. A scan
-    with splits enough is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+def spread(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """The rows hashed by ``keys`` to ``parts`` tasks, for work that is heavy per row on files that cannot be split;
+    None leaves the scan as it is."""
+    return df if parts is None else df.repartition(parts, *keys)
+
+
+def present(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the paths that exist: an hour without a log has no folder."""
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    places = [(p, fs.Path(p)) for p in paths]
+    return [p for p, place in places if place.getFileSystem(conf).exists(place)]
 
 
 def _fields(line: Column, sep: str) -> Column:

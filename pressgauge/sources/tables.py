@@ -1,8 +1,8 @@
 """Parquet tables: append, replace, keyed update, metric upsert.
 
 Parquet has no in-place update. Whatever replaces rows writes a *new version folder* beside the old
-one and readers take the newest complete version, so a plan never overwrites the files it reads and a
-lost executor or a failed job leaves the old version untouched.
+ones and readers take the newest complete version (of the metric table: of each key), so a plan never overwrites the
+files it reads and a lost executor or a failed job leaves the old version untouched.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_LISTED_PERIODS = 1000
 METRIC_COLUMNS = ("metric", "period", "entity", "value")
 
 
@@ -55,9 +54,15 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/v={versions[-1]}")
 
 
-def write_bucketed(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, str]:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared folder."""
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def write_bucketed(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, str, str]:
     """Write ``df`` to the shared folder, bucketed by ``keys`` into as many buckets as the session has
-    shuffle partitions, and return the table with its name.
+    shuffle partitions, and return the table with its name and its path.
 
     A join or aggregation on the keys then reads it without a shuffle, as often as needed, and an
     executor that is lost takes nothing with it. The caller drops the name when it is done.
@@ -72,7 +77,7 @@ def write_bucketed(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame
         df.repartition(buckets, *keys).write.option("path", path)
         .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
     )
-    return spark.table(table), table
+    return spark.table(table), table, path
 
 
 def keyed_update(current: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,48 +105,70 @@ def metric_rows(df: DataFrame, metric: str, period: str, entity: str, value: str
 
 
 def upsert_metrics(spark: SparkSession, path: str, rows: DataFrame) -> None:
-    """Add or replace values per ``(metric, period, entity)``.
+    """Add or replace values per ``(metric, period, entity)``; of repeated keys the largest value counts.
 
-    Only the partitions named in ``rows`` are rewritten. The merged rows are checkpointed before the
-    write, because the write deletes files that the merge reads.
+    The rows are evaluated once and written as a version folder of their own, so nothing that is read is ever
+    overwritten and a failed write is not seen. Readers take each key's newest version.
     """
-    from pressgauge.session import ensure_checkpoint_dir
+    single = rows.groupBy("metric", "period", "entity").agg(F.max("value").alias("value"))
+    _write_version(single, path, f"v={_next_version(spark, path)}")
 
-    fs, p = _hadoop_path(spark, path)
-    merged = rows.select(*METRIC_COLUMNS)
-    if fs.exists(p):
-        kept = _same_periods(read_metric_table(spark, path), rows).join(
-            rows.select("metric", "period", "entity"), ["metric", "period", "entity"], "left_anti"
-        )
-        ensure_checkpoint_dir(spark)
-        merged = kept.unionByName(merged).checkpoint()
+
+def compact_metrics(spark: SparkSession, path: str) -> None:
+    """Write the newest values as one base folder; the versions before are not read any more and are deleted."""
+    old, number = _metric_folders(spark, path), _next_version(spark, path)
+    _write_version(read_metric_table(spark, path), path, f"base={number}")
+    for folder in old:
+        remove(spark, folder)
+
+
+def _write_version(rows: DataFrame, path: str, folder: str) -> None:
+    # The runtime splits large partitions of a rebalance, so a period of any size has as many writers as it needs.
     (
-        merged.repartition("metric", "period", F.pmod(F.xxhash64("entity"), F.lit(8)))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("metric", "period").parquet(path)
+        rows.select(*METRIC_COLUMNS).hint("rebalance", "metric", "period")
+        .write.mode("overwrite").partitionBy("metric", "period").parquet(f"{path}/{folder}")
     )
 
 
-def _same_periods(old: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of ``old`` in the periods of ``rows``: listed in the filter while they are few, so that only
-    their folders are read, else by a join."""
-    touched = rows.select("metric", "period").distinct()
-    listed = touched.limit(MAX_LISTED_PERIODS + 1).collect()
-    if len(listed) > MAX_LISTED_PERIODS:
-        return old.join(touched, ["metric", "period"], "left_semi")
-    by_metric: dict[str, list[str]] = {}
-    for r in listed:
-        by_metric.setdefault(r["metric"], []).append(r["period"])
-    hit = F.lit(False)
-    for metric, periods in by_metric.items():
-        hit = hit | ((F.col("metric") == metric) & F.col("period").isin(periods))
-    return old.where(hit)
+def _all_versions(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
+    """Number, folder and whether it is complete, of all versions in order."""
+    fs, p = _hadoop_path(spark, path)
+    found = []
+    for status in fs.listStatus(p) if fs.exists(p) else []:
+        name = status.getPath().getName()
+        kind, _, number = name.partition("=")
+        if kind in ("v", "base"):
+            found.append((int(number), name, fs.exists(_hadoop_path(spark, f"{path}/{name}/_SUCCESS")[1])))
+    return sorted(found)
+
+
+def _next_version(spark: SparkSession, path: str) -> int:
+    return max((n for n, _, _ in _all_versions(spark, path)), default=0) + 1
+
+
+def _metric_folders(spark: SparkSession, path: str) -> list[str]:
+    """The complete folders from the newest base on."""
+    done = [name for _, name, complete in _all_versions(spark, path) if complete]
+    start = max((k for k, name in enumerate(done) if name.startswith("base=")), default=0)
+    return [f"{path}/{name}" for name in done[start:]]
 
 
 def read_metric_table(spark: SparkSession, path: str) -> DataFrame:
+    """``metric, period, entity, value``: the newest value of each key. A filter on metric and period reaches the
+    folders of all versions."""
     # Partition values are text: dates must not be turned into another type by inference.
     schema = "entity string, value double, metric string, period string"
-    return spark.read.schema(schema).parquet(path).select(*METRIC_COLUMNS)
+    folders = _metric_folders(spark, path)
+    if not folders:
+        return spark.createDataFrame([], schema).select(*METRIC_COLUMNS)
+    rows = None
+    for number, folder in enumerate(folders):
+        part = spark.read.schema(schema).parquet(folder).withColumn("_version", F.lit(number))
+        rows = part if rows is None else rows.unionByName(part)
+    if len(folders) == 1:
+        return rows.select(*METRIC_COLUMNS)
+    newest = rows.groupBy("metric", "period", "entity").agg(F.max_by("value", "_version").alias("value"))
+    return newest.select(*METRIC_COLUMNS)
 
 
 def read_period(spark: SparkSession, path: str, metric: str, period: str) -> DataFrame:

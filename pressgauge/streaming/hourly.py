@@ -19,12 +19,15 @@ def hourly_url_visits(visits: DataFrame, time: str = "ts", delay: str = "1 hour"
 
 
 def hourly_stock_visits(visits: DataFrame, news: DataFrame, time: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """``hour, stock, visit``: the stream meets the static news table on the url, then counts by stock."""
-    marked = visits.withWatermark(time, delay)
-    linked = marked.join(news.select("url", "stock"), "url").select(time, F.explode("stock").alias("stock"))
+    """``hour, stock, visit``: visits are counted by hour and url, the counts meet the static news table on the url,
+    then are summed by stock. The news table is read in each micro-batch, so it should be a written one."""
+    counted = (
+        visits.withWatermark(time, delay).groupBy(F.window(time, "1 hour").alias("w"), "url").agg(F.count(F.lit(1)).alias("n"))
+    )
+    linked = counted.join(news.select("url", "stock"), "url").select("w", "n", F.explode("stock").alias("stock"))
     return (
-        linked.groupBy(F.window(time, "1 hour").alias("w"), "stock")
-        .agg(F.count(F.lit(1)).alias("visit")).select(F.col("w.start").alias("hour"), "stock", "visit")
+        linked.groupBy(F.window(F.window_time("w"), "1 hour").alias("h"), "stock")
+        .agg(F.sum("n").alias("visit")).select(F.col("h.start").alias("hour"), "stock", "visit")
     )
 
 
@@ -37,20 +40,24 @@ def hourly_stock_exposure(news: DataFrame, time: str = "news_time", delay: str =
     )
 
 
-def rolling_terms(terms: DataFrame, time: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """``window_start, window_end, user_id, term, n``: term counts of the last 24 hours, every hour.
-
-    Rows are first summed per hour, so only hourly sums are copied into the 24 windows that hold them.
-    State is one counter per window, user and term: a user's basket is never one state value.
-    """
-    hourly = (
+def hourly_terms(terms: DataFrame, time: str = "ts", delay: str = "1 hour") -> DataFrame:
+    """``hour, user_id, term, n`` from a stream of terms. State is one counter per hour, user and term."""
+    return (
         terms.withWatermark(time, delay).groupBy(F.window(time, "1 hour").alias("h"), "user_id", "term")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")).select(F.col("h.start").alias("hour"), "user_id", "term", "n")
     )
+
+
+def rolling_terms(hourly: DataFrame, until: Column, hours: int = 24) -> DataFrame:
+    """``window_start, window_end, user_id, term, n``: sums of the last 24 hours for every full hour up to ``until``,
+    from the table that :func:`hourly_terms` keeps."""
+    back = hourly.select("hour", "user_id", "term", "n", F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias("k"))
+    start = F.col("hour") - F.make_dt_interval(F.lit(0), F.col("k"))
+    spread = back.select(start.alias("window_start"), "user_id", "term", "n")
+    end = F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(hours))
     return (
-        hourly.groupBy(F.window(F.window_time("h"), "24 hours", "1 hour").alias("w"), "user_id", "term")
-        .agg(F.sum("n").alias("n"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id", "term", "n")
+        spread.where(end <= until).groupBy("window_start", "user_id", "term").agg(F.sum("n").alias("n"))
+        .select("window_start", end.alias("window_end"), "user_id", "term", "n")
     )
 
 
@@ -59,7 +66,7 @@ def upsert_sink(stream: DataFrame, path: str, metric: str, period: str, entity:
     """Keep a metric table up to date from an update-mode aggregate.
 
     A batch holds the newest value per (period, entity) and replaces it, so a batch that runs again
-    after a failure leaves the same table.
+    after a failure leaves the same table. It is evaluated once, by the write. Periods that are still open are there.
     """
     def write(batch: DataFrame, _: int) -> None:
         rows = tables.metric_rows(batch, metric, period, entity, value)

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -51,3 +52,18 @@ def test_time_bounds_and_columns_reach_the_scan(spark, tmp_path):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(news_time" in plan and "LessThanOrEqual(news_time" in plan
     assert "ReadSchema: struct<news_time:timestamp,stock:array<string>>" in plan
+
+
+def test_a_year_of_hours_takes_linear_time(spark):
+    """The plan looks up no list for every element."""
+    n = 24 * 365
+    periods = half_open_hours(F.lit(T), F.lit(T + timedelta(hours=n)))
+    a = spark.range(50 * n).select(
+        (F.col("id") % 50).cast("string").alias("s"), F.timestamp_seconds(F.lit(int(T.timestamp())) + F.col("id") % n * 7200).alias("h"), F.lit(1).alias("n"),
+    )
+    got = complete_series(a, a.select("s"), ["s"], "h", periods, {"n": F.lit(0)})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "array_contains" not in plan
+    start = time.monotonic()
+    assert got.count() == 50 * n
+    assert time.monotonic() - start < 60

@@ -1,18 +1,17 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
-from pressgauge.functions.text import words
 from pressgauge.operators import sentiment
 
-LEX = sentiment.Lexicon(["good", "both"], ["bad", "both"], ["not"])
+@pytest.fixture()
+def lex(spark):
+    rows = [("Pos", "good"), ("Pos", "both"), ("Neg", "bad"), ("Neg", "both"), ("Fou", "not")]
+    return spark.createDataFrame(rows, "polarity string, word string")
 
 
-def polarity(spark, text):
-    return spark.createDataFrame([(text,)], "t string").select(
-        sentiment.sentence_polarity(F.col("t"), LEX).alias("p")
-    ).first()["p"]
+def polarity(spark, lex, text):
+    docs = spark.createDataFrame([(1, text)], "doc_id int, title string")
+    return sentiment.title_polarities(docs, lex).first()["polarity"]
 
 
 @pytest.mark.parametrize("text, expected", [
@@ -20,31 +19,29 @@ def polarity(spark, text):
     ("not good", 1), ("x not good", -1), ("x y not z good", -1), ("not x good", 1), ("x not x good", -1),
     ("good not", -1), ("good x not", -1), ("good x y not", 1), ("good bad good", 1), ("x x not bad", 1),
 ])
-def test_sentence(spark, text, expected):
-    assert polarity(spark, text) == expected
+def test_sentence(spark, lex, text, expected):
+    assert polarity(spark, lex, text) == expected
 
 
 @pytest.mark.parametrize("text, expected", [
     ("good,good,bad,bad", "pos"), ("good", None), ("bad,bad", "neg"), ("good,good,bad", "pos"),
     ("good,bad", None), ("good,good", "pos"), ("bad,bad,good", "neg"), ("bad", None),
 ])
-def test_vote(spark, text, expected):
-    df = spark.createDataFrame([(text,)], "t string")
-    assert df.select(sentiment.document_sentiment(F.col("t"), LEX).alias("l")).first()["l"] == expected
+def test_vote(spark, lex, text, expected):
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    assert sentiment.document_sentiment(df, lex).first()["label"] == expected
 
 
-def test_title_first(spark):
-    df = spark.createDataFrame([(1, "good", "bad,bad"), (2, "none", "bad,bad"), (3, "none", "x")],
-                               "id int, t string, c string")
-    both = {r["id"]: r["l"] for r in df.select(
-        "id", sentiment.title_sentiment(F.col("t"), F.col("c"), LEX).alias("l")).collect()}
-    only = {r["id"]: r["l"] for r in df.select(
-        "id", sentiment.title_sentiment(F.col("t"), F.col("c"), LEX, title_only=True).alias("l")).collect()}
-    assert both == {1: "pos", 2: "neg", 3: None}
-    assert only == {1: "pos", 2: None, 3: None}
+def test_title_first(spark, lex):
+    df = spark.createDataFrame([(1, "good", "bad,bad"), (2, "none", "bad,bad"), (3, "none", "x"), (4, None, None)],
+                               "doc_id int, title string, content string")
+    both = {r["doc_id"]: r["label"] for r in sentiment.title_sentiment(df, lex).collect()}
+    only = {r["doc_id"]: r["label"] for r in sentiment.title_sentiment(df, lex, title_only=True).collect()}
+    assert both == {1: "pos", 2: "neg", 3: None, 4: None}
+    assert only == {1: "pos", 2: None, 3: None, 4: None}
 
 
-RULE = sentiment.Lexicon(["up", "gain"], ["risk", "fall"], ["not"])
+RULE = [("Pos", "up"), ("Pos", "gain"), ("Neg", "risk"), ("Neg", "fall"), ("Fou", "not")]
 
 
 @pytest.mark.parametrize("tagged, expected", [
@@ -66,30 +63,32 @@ RULE = sentiment.Lexicon(["up", "gain"], ["risk", "fall"], ["not"])
 ])
 def test_rule_score(spark, tagged, expected):
     tokens = [tuple(t.split("/")) for t in tagged]
-    df = spark.createDataFrame([(tokens,)], "t array<struct<word: string, tag: string>>")
-    assert df.select(sentiment.rule_score(F.col("t"), RULE).alias("s")).first()["s"] == expected
+    df = spark.createDataFrame([(1, tokens)], "doc_id int, tagged array<struct<word: string, tag: string>>")
+    table = spark.createDataFrame(RULE, "polarity string, word string")
+    assert sentiment.rule_scores(df, table).first()["score"] == expected
+
+
+def brute_polarity(text):
+    total = 0
+    tokens = text.split()
+    for k, w in enumerate(tokens):
+        value = (w in ("good", "both")) - (w in ("bad", "both"))
+        near = [j for j in (k - 2, k - 1) if j > 0] + [k + 1, k + 2]
+        total += -value if any(j < len(tokens) and tokens[j] == "not" for j in near) else value
+    return (total > 0) - (total < 0)
 
 
-def test_join_form_agrees(spark):
+def test_sentences_equal_brute_force(spark, lex):
     rng = random.Random(5)
     texts = [(k, ",".join(" ".join(rng.choices(["good", "bad", "both", "not", "x"], k=rng.randint(0, 7)))
                           for _ in range(rng.randint(1, 4)))) for k in range(60)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
-    rows = [("Pos", w) for w in LEX.positive] + [("Neg", w) for w in LEX.negative] + [("Fou", "not")]
-    table = spark.createDataFrame(rows, "polarity string, word string")
-    a = sorted(map(tuple, sentiment.sentence_polarities(docs, LEX).collect()))
-    b = sorted(map(tuple, sentiment.tag_polarity(docs, table).collect()))
-    assert a == b
-    again = sentiment.Lexicon.from_frame(table)
-    assert (again.positive, again.negative, again.negators) == (["both", "good"], ["bad", "both"], ["not"])
-
-
-def test_lexicon_size_is_checked():
-    with pytest.raises(ValueError, match="exceeds"):
-        sentiment.Lexicon(["w"] * sentiment.MAX_LEXICON, ["v"], [])
+    got = sorted(map(tuple, sentiment.sentence_polarities(docs, lex).collect()))
+    assert got == sorted((k, n, brute_polarity(s)) for k, t in texts for n, s in enumerate(t.split(",")))
 
 
-def test_document_sentiment_has_no_shuffle(spark):
-    df = spark.createDataFrame([("a",)], "t string").select(sentiment.document_sentiment(F.col("t"), LEX))
-    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
-    assert df.count() == 1 and words is not None
+def test_only_lexicon_words_are_shuffled(spark, lex):
+    docs = spark.createDataFrame([(1, "good day")], "doc_id int, text string")
+    plan = sentiment.document_sentiment(docs, lex)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "SortMergeJoin" in plan
+    assert plan.index("REPARTITION_BY_COL") < plan.index("Join")

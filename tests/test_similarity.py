@@ -17,9 +17,10 @@ def brute(baskets, support):
     }
 
 
-@pytest.mark.parametrize("blocks", [1, 3, None])
+@pytest.mark.parametrize("size", [1000, 3])
 @pytest.mark.parametrize("support", [1, 3])
-def test_cosine_equals_brute_force(spark, blocks, support):
+def test_cosine_equals_brute_force(spark, monkeypatch, size, support):
+    monkeypatch.setattr(similarity, "SLICE", size)
     rng = random.Random(3)
     vocab = [f"t{k}" for k in range(25)]
     baskets = {f"u{u}": set(rng.sample(vocab, rng.randint(1, 8))) for u in range(30)}
@@ -27,7 +28,7 @@ def test_cosine_equals_brute_force(spark, blocks, support):
     df = spark.createDataFrame([(u, t) for u, b in baskets.items() for t in b], "user_id string, term string")
     got = {
         (r["term_a"], r["term_b"]): (r["together"], round(r["cosine"], 9))
-        for r in similarity.term_cosine(df, support, blocks).collect()
+        for r in similarity.term_cosine(df, support).collect()
     }
     assert got == brute(baskets, support)
 
@@ -43,8 +44,22 @@ def test_cap_counts_stop_words_and_drops_whole_users(spark, rows):
     }
 
 
-def test_pairs_are_not_shuffled(spark):
+def test_least_cosine_and_best_pairs(spark):
+    rng = random.Random(4)
+    baskets = {f"u{u}": set(rng.sample([f"t{k}" for k in range(12)], rng.randint(2, 6))) for u in range(40)}
+    df = spark.createDataFrame([(u, t) for u, b in baskets.items() for t in b], "user_id string, term string")
+    all_pairs = {p: c for p, (_, c) in brute(baskets, 1).items()}
+    got = {(r["term_a"], r["term_b"]) for r in similarity.term_cosine(df, 1, min_cosine=0.4).collect()}
+    assert got == {p for p, c in all_pairs.items() if c >= 0.4} and got
+    best = set()
+    for t in {t for p in all_pairs for t in p}:
+        own = sorted((-c, (set(p) - {t}).pop(), p) for p, c in all_pairs.items() if t in p)
+        best |= {p for _, _, p in own[:2]}
+    rows = similarity.term_cosine(df, 1, top=2).collect()
+    assert {(r["term_a"], r["term_b"]) for r in rows} == best and len(rows) == len(best)
+
+
+def test_pairs_are_counted_before_the_shuffle(spark):
     df = spark.createDataFrame([("u", "a"), ("u", "b")], "user_id string, term string")
     plan = similarity.term_cosine(df, 1)._jdf.queryExecution().executedPlan().toString()
-    top = plan[:plan.index("REPARTITION_BY_NUM")]
-    assert top.count("Exchange") == 1
+    assert "partial_count(1)" in plan

@@ -93,20 +93,25 @@ def test_replace_reads_its_own_table(spark, tmp_path, rows):
     assert rows(tables.read_current(spark, path), "x") == {(3,)}
 
 
-def test_upsert_is_idempotent_and_local_to_its_partitions(spark, tmp_path, rows):
+def test_upsert_writes_versions(spark, tmp_path, rows):
     path = str(tmp_path / "m")
     one = spark.createDataFrame([("2024-01-01", "A", 1), ("2024-01-02", "A", 2)], "p string, e string, v int")
-    two = spark.createDataFrame([("2024-01-02", "A", 5), ("2024-01-02", "B", 6)], "p string, e string, v int")
+    two = spark.createDataFrame([("2024-01-02", "A", 5), ("2024-01-02", "B", 6), ("2024-01-02", "B", 3)], "p string, e string, v int")
+    assert tables.read_metric_table(spark, path).count() == 0
     tables.upsert_metrics(spark, path, tables.metric_rows(one, "visit", "p", "e", "v"))
-    untouched = {p.name for p in (tmp_path / "m" / "metric=visit" / "period=2024-01-01").iterdir()}
     for _ in range(2):
         tables.upsert_metrics(spark, path, tables.metric_rows(two, "visit", "p", "e", "v"))
-    assert rows(tables.read_metric_table(spark, path), "period", "entity", "value") == {
-        ("2024-01-01", "A", 1.0), ("2024-01-02", "A", 5.0), ("2024-01-02", "B", 6.0)
-    }
-    assert {p.name for p in (tmp_path / "m" / "metric=visit" / "period=2024-01-01").iterdir()} == untouched
+    expected = {("2024-01-01", "A", 1.0), ("2024-01-02", "A", 5.0), ("2024-01-02", "B", 6.0)}
+    # A version that has failed is not seen, nor overwritten.
+    (tmp_path / "m" / "v=4" / "metric=visit" / "period=2024-01-02").mkdir(parents=True)
+    assert rows(tables.read_metric_table(spark, path), "period", "entity", "value") == expected
     plan = tables.read_period(spark, path, "visit", "2024-01-02")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(metric" in plan
+    assert plan.count("PartitionFilters: [isnotnull(metric") == 3
+    tables.compact_metrics(spark, path)
+    assert rows(tables.read_metric_table(spark, path), "period", "entity", "value") == expected
+    assert sorted(p.name for p in (tmp_path / "m").iterdir()) == ["base=5", "v=4"]
+    tables.upsert_metrics(spark, path, tables.metric_rows(one.limit(1), "visit", "p", "e", "v").withColumn("value", F.lit(9.0)))
+    assert ("2024-01-01", "A", 9.0) in rows(tables.read_metric_table(spark, path), "period", "entity", "value")
 
 
 def test_export_text(spark, tmp_path):

@@ -56,8 +56,8 @@ def test_rolling_terms(spark, tmp_path, rows):
         [(datetime(2024, 1, 1, 0, 5), "u", "a"), (datetime(2024, 1, 1, 3), "u", "a"), (datetime(2024, 1, 4), "u", "z")],
         "ts timestamp, user_id string, term string",
     ).coalesce(1).write.parquet(str(src))
-    stream = hourly.rolling_terms(hourly.as_stream(spark, str(src)))
-    got = hourly.drain_to_parquet(stream, "test-terms")
+    sums = hourly.drain_to_parquet(hourly.hourly_terms(hourly.as_stream(spark, str(src))), "test-terms")
+    got = hourly.rolling_terms(sums, F.lit(datetime(2024, 1, 3, 23)))
     a = got.where("term = 'a'")
     assert a.count() == 27
     assert {r["n"] for r in a.where(F.col("window_start") == F.lit(datetime(2023, 12, 31, 1))).collect()} == {1}

@@ -22,22 +22,33 @@ def test_single_category_has_no_negatives(spark):
 
 
 def test_classifier_learns_and_round_trips(spark, tmp_path):
-    rows = [(["up", "gain", f"w{k % 5}"], 3.0) for k in range(40)] + [(["down", "loss", f"w{k % 5}"], 1.0) for k in range(40)]
-    train = spark.createDataFrame(rows, "tokens array<string>, label double")
-    model = classify.fit_chain(train, features=256, selected=20)
-    docs = spark.createDataFrame([(1, ["gain", "up"]), (2, ["loss"])], "id int, tokens array<string>")
-    assert {r["id"]: r["label_text"] for r in classify.predict(model, docs).collect()} == {1: "pos", 2: "neg"}
-    model.write().overwrite().save(str(tmp_path / "model"))
-    from pyspark.ml import PipelineModel
-
-    again = PipelineModel.load(str(tmp_path / "model"))
-    assert classify.predict(again, docs).count() == 2
+    rows = [(["up", "gain", f"w{k % 5}"], 3) for k in range(40)] + [(["down", "loss", f"w{k % 5}"], 1) for k in range(40)]
+    train = spark.createDataFrame(rows, "tokens array<string>, label int")
+    model = classify.fit(train, selected=20)
+    docs = spark.createDataFrame([(1, ["gain", "up"]), (2, ["loss"]), (3, []), (4, None)], "doc_id int, tokens array<string>")
+    found = {r["doc_id"]: r["label_text"] for r in classify.predict(model, docs).collect()}
+    assert found == {1: "pos", 2: "neg", 3: "neg", 4: "neg"}
+    model.save(str(tmp_path / "model"))
+    again = classify.NaiveBayes.load(spark, str(tmp_path / "model"))
+    assert {r["doc_id"]: r["label_text"] for r in classify.predict(again, docs).collect()} == found
 
 
 def test_cascade_asks_the_second_model_only_for_the_rest(spark):
-    first = spark.createDataFrame([(["bad"], 1.0), (["ok"], 4.0), (["fine"], 4.0)] * 10, "tokens array<string>, label double")
-    second = spark.createDataFrame([(["ok"], 2.0), (["fine"], 3.0), (["bad"], 3.0)] * 10, "tokens array<string>, label double")
-    m1 = classify.fit_chain(first, features=64, selected=10, output="p1", prefix="a_")
-    m2 = classify.fit_chain(second, features=64, selected=10, output="p2", prefix="b_")
-    docs = spark.createDataFrame([(1, ["bad"]), (2, ["ok"]), (3, ["fine"])], "id int, tokens array<string>")
-    assert {r["id"]: r["label_text"] for r in classify.predict_cascade(m1, m2, docs).collect()} == {1: "neg", 2: "neu", 3: "pos"}
+    first = spark.createDataFrame([(["bad"], 1), (["ok"], 4), (["fine"], 4)] * 10, "tokens array<string>, label int")
+    second = spark.createDataFrame([(["ok"], 2), (["fine"], 3), (["bad"], 3)] * 10, "tokens array<string>, label int")
+    m1, m2 = classify.fit(first, selected=10), classify.fit(second, selected=10)
+    docs = spark.createDataFrame([(1, ["bad"]), (2, ["ok"]), (3, ["fine"])], "doc_id int, tokens array<string>")
+    assert {r["doc_id"]: r["label_text"] for r in classify.predict_cascade(m1, m2, docs).collect()} == {1: "neg", 2: "neu", 3: "pos"}
+
+
+def test_many_distinct_counts_of_a_word(spark):
+    """The selection looks at presence, so a word may have any number of different counts."""
+    n = 10_100
+    counted = spark.range(n).repartition(16).select(
+        F.array_repeat(F.lit("often"), (F.col("id") + 1).cast("int")).alias("tokens"), F.lit(1).alias("label")
+    )
+    without = spark.range(300).select(F.array(F.lit("else")).alias("tokens"), F.lit(3).alias("label"))
+    model = classify.fit(counted.union(without), selected=5)
+    assert {r["word"] for r in model.words.collect()} == {"often", "else"}
+    docs = spark.createDataFrame([(1, ["often"]), (2, ["else"])], "doc_id int, tokens array<string>")
+    assert {r["doc_id"]: r["label_text"] for r in classify.predict(model, docs).collect()} == {1: "neg", 2: "pos"}
