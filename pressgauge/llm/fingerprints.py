@@ -141,11 +141,13 @@ def compare_with_next(documents: DataFrame) -> DataFrame:
     """Each document's fingerprint beside that of its edited text and of the next document, in descending doc_id.
 
     Documents are dealt to ranges of ids, each range with a copy of the first document of the next one. Texts are
-    shuffled once; the driver sees the limits of the ranges, which are as many as there are shuffle partitions."""
+    shuffled once; the driver sees the limits of the ranges, of which there are four to a shuffle partition."""
     spark = documents.sparkSession
     parts = shuffle_tasks(spark)
     ids = documents.select("doc_id")
-    limits = ids.select(F.col("doc_id").cast("double")).approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.1 / parts)
+    # Several ranges to a task, as hashing deals them out unevenly.
+    n = 4 * parts
+    limits = ids.select(F.col("doc_id").cast("double")).approxQuantile("doc_id", [k / n for k in range(1, n)], 0.1 / n)
     bounds = np.array(sorted({int(x) for x in limits}), dtype=np.int64)
 
     def range_of(doc_ids: pa.Array) -> pa.Array:
