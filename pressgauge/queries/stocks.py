@@ -47,6 +47,7 @@ def stock_hourly(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stock_hour_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """One window partition per hour, of as many rows as the dictionary has stocks."""
     out = stock.hourly_visit_ranking(
         i.news(spark, d), i.stock_dict(spark, d), i.visits(spark, d), i.ts(i.START), i.ts(i.END)
     )

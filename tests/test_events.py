@@ -11,6 +11,7 @@ def at(ms):
     return datetime.fromtimestamp(ms / 1000, timezone.utc).replace(tzinfo=None)
 
 
+# The event, news and visit inputs of these fixtures have known results.
 @pytest.fixture()
 def events(spark):
     return spark.createDataFrame(

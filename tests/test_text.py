@@ -10,6 +10,7 @@ def one(spark, value, fn):
     return spark.createDataFrame([(value,)], "s string").select(fn(F.col("s")).alias("r")).first()["r"]
 
 
+# Escapes with known results.
 @pytest.mark.parametrize("given_text, expected", [
     ("%u94fe%ufefe", "%94%fe%fe%fe"), ("%u94fe%u94fe", "%94%fe%94%fe"), ("ab%u94fetail", "ab"),
     ("%41%u94fe", "A%94%fe"), ("%zz", None), ("plain", "plain"),
@@ -18,6 +19,7 @@ def test_unit_escapes(spark, given_text, expected):
     assert one(spark, given_text, text.unit_escapes_to_bytes) == expected
 
 
+# Escapes with known results.
 @pytest.mark.parametrize("given_text, expected", [
     ("%u94fe%u94fe", "链链"), ("%E9%93%BE", "链"), ("%25E9%2593%25BE", "链"), ("%252541", "A"),
     ("%25252525252541", "A"), ("100% sure", "100% sure"), ("a+b", "a+b"), ("a+b%21", "a b!"),
