@@ -99,22 +99,27 @@ def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """The documents with ``size, source_size, target, copies, taken``; their other columns as they were."""
-    own = documents.withColumn("size", words("text"))
-    sized = written(own.select("source", "size", draw("doc_id").alias("draw")), "sized")
+    """The documents with ``size, source_size, target, copies, taken``, which take the place of columns of these names;
+    their other columns as they were."""
+    made = ["size", "source_size", "target", "copies", "taken"]
+    own = documents.drop(*made)
+    sized = written(own.select("source", words("text").alias("size"), draw("doc_id").alias("draw")), "sized")
     goals = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     ratio = F.col("target") / F.greatest(F.col("source_size"), F.lit(1))
     goals = written(goals.withColumn("times", F.floor(ratio).cast("long")).withColumn(
         "rest", F.col("target") - F.col("times") * F.col("source_size"),
     ), "goals")
-    below = thresholds(sized, goals.filter("source_size > 0"))
-    plan = goals.join(below.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").select(
-        F.col("source").alias("_source"), "source_size", "target", "times", "below",
+    below = thresholds(sized, goals.filter("source_size > 0")).withColumnRenamed("source", "s")
+    # One row for each source, written so that Spark knows its size when it chooses the join.
+    plan = written(goals.join(below, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        F.col("source").alias("__mix"), F.struct("source_size", "target", "times", F.coalesce("below", F.lit(0)).alias("below")).alias("__plan"),
+    ), "plan")
+    size, goal = words("text"), F.col("__plan")
+    copies = goal["times"] + F.when(draw("doc_id") < goal["below"], 1).otherwise(0)
+    return own.join(plan, F.col("source").eqNullSafe(F.col("__mix")), "left").select(
+        *own.columns, size.alias("size"), goal["source_size"].alias("source_size"), goal["target"].alias("target"),
+        copies.cast("long").alias("copies"), (size * copies).alias("taken"),
     )
-    copies = F.col("times") + F.when(draw("doc_id") < F.coalesce("below", F.lit(0)), 1).otherwise(0)
-    return own.join(plan, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn("copies", copies.cast("long")).withColumn(
-        "taken", F.col("size") * F.col("copies"),
-    ).drop("_source", "times", "below")
 
 
 def query(spark: SparkSession, d: str) -> DataFrame:
@@ -125,3 +130,24 @@ def query(spark: SparkSession, d: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
     """The documents that the mix takes, with the times that it takes them."""
     return mixed(docs).filter("copies > 0")
+
+
+#: Sorted sums in place of histograms; the shares of the sources that stay below their limit in closed form.
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS draw FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w,
+    CAST(source_size * 3 AS DOUBLE) AS cap, sum(source_size) OVER () AS total FROM s),
+o AS (SELECT *, row_number() OVER u AS k, cap / w AS ratio,
+    (total - coalesce(sum(cap) OVER (u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(w) OVER (u ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM r WINDOW u AS (ORDER BY cap / w, source NULLS LAST)),
+t AS (SELECT source, source_size, least(cap, w * (SELECT arg_min(level, k) FROM o WHERE level <= ratio)) AS target FROM r),
+p AS (SELECT *, floor(target / greatest(source_size, 1)) AS times FROM t),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY draw RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM d)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (times + CASE WHEN upto <= target - times * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source
+"""

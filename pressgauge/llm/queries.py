@@ -16,5 +16,5 @@ QUERIES = {
     "op7_fingerprints": (fingerprints.query, None),
     "op8_warc": (warc.query, warc.SQL),
     "op9_preference": (preference.query, preference.SQL),
-    "op10_mixing": (mixing.query, None),
+    "op10_mixing": (mixing.query, mixing.SQL),
 }

@@ -13,7 +13,9 @@ import pytest
 
 import corpus_pipeline
 import oracle
-from pressgauge.llm import fingerprints, jaccard_join, mixing, preference, warc
+from pressgauge.llm import (
+    decontaminate, fingerprints, jaccard_join, licenses, mixing, pii, preference, toxicity, url_filter, warc,
+)
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -280,7 +282,7 @@ def brute_targets(sizes):
         full |= more
 
 
-def test_mixing(spark):
+def test_mixing(spark, tmp_path):
     rng = random.Random(14)
     names = ["a", "b", "B", "ü", None, "c", "empty", "hot"]
     rows = [(k, rng.choice(names[:6]) if k % 3 else "hot", prose(rng, rng.randrange(0, 30))) for k in range(1500)]
@@ -304,6 +306,37 @@ def test_mixing(spark):
     again = {(r["doc_id"], r["source"], r["text"]): r["copies"] for r in mixing.mixed(frame.repartition(5)).collect()}
     assert again == {(r["doc_id"], r["source"], r["text"]): r["copies"] for r in out}
     assert mixing.mixed(frame.limit(0)).count() == 0
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert oracle.compare(mixing.query(spark, str(tmp_path)), con, mixing.SQL) is None
+
+
+def test_clashing_columns(spark):
+    """Extra columns of any name stay out of the way; only the names that an operator adds are taken."""
+    names = ["id", "own", "keep", "times", "key", "c1", "u", "root", "hit", "s", "size", "target", "below", "draw", "rest", "value", "node", "rank"]
+    rows = [(1, "one two three four five six", "a"), (2, "one two three four five six", "a"), (3, "else", "b")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for k, name in enumerate(names):
+        frame = frame.withColumn(name, mixing.F.lit(k))
+    kept = jaccard_join.one_of_each(frame)
+    assert kept.columns == frame.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+    assert jaccard_join.join(frame).count() == 3
+    out = mixing.mixed(frame)
+    assert set(out.columns) == set(frame.columns) | {"source_size", "copies", "taken"}
+    assert {(r["size"], r["source_size"]) for r in out.collect()} == {(6, 12), (1, 1)}
+    assert fingerprints.compare_with_next(frame).count() == 3
+    bench = spark.createDataFrame([(1, "w " * 40)], "item_id bigint, text string").withColumn("doc_id", mixing.F.lit(1))
+    assert decontaminate.remove(frame, bench).columns == frame.columns and decontaminate.find(frame, bench).count() == 0
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id bigint, toxic int").withColumn("text", mixing.F.lit("x"))
+    assert toxicity.clean(frame, labels).columns == frame.columns and toxicity.score(frame, labels).count() == 3
+    assert licenses.scan(frame).count() == 0 and pii.report(frame).count() == 3
+    pages = spark.createDataFrame([(1, "http://a.net/x", "<p>")], PAGES)
+    talks = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], TURNS)
+    for name in names:
+        pages, talks = pages.withColumn(name, mixing.F.lit(0)), talks.withColumn(name, mixing.F.lit(0))
+    assert [r["verdict"] for r in url_filter.judge(pages).collect()] == ["block"]
+    assert preference.pairs(*preference.with_swapped_answers(talks)).count() == 2
 
 
 def test_mixing_takes_the_lowest_hashes(spark):
