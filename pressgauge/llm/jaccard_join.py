@@ -177,21 +177,19 @@ def _compared(batches: Iterator[pa.RecordBatch], agree: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array(u[own]), pa.array(u[label[own]])], names=["u", "v"])
 
 
-def verified(texts: DataFrame, groups: DataFrame, threshold: float, k: int) -> DataFrame:
+def verified(rows: DataFrame, threshold: float, k: int) -> DataFrame:
     """``u, v, linked``: for every record and tile in which it has links, the documents that it is linked to there
     and a record of the same component.
 
-    ``texts``: u, text; ``groups``: u, n (shingles), w (documents of this set), root.
-    """
+    ``rows``: u, w (documents of this set), root, blocks (of the root's records), text."""
     def shingled(found: pa.Array) -> pa.Array:
         return pa.array([s.tobytes() for s in _sets(found, k)], type=pa.binary())
 
-    blocks = groups.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    rows = texts.join(groups.join(blocks, "root"), "u").select(
+    placed = rows.select(
         "u", "w", "root", "blocks", F.pmod(F.xxhash64("u"), "blocks").cast("int").alias("block"),
         F.arrow_udf(shingled, "binary")("text").alias("shingles"),
     )
-    tiles = rows.select(
+    tiles = placed.select(
         "u", "w", "root", "block", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     ).select("u", "w", "root", "block", "shingles", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     keys = ["root", "x", "y"]
@@ -275,11 +273,15 @@ def similar_groups(
     )
     groups = connected(candidates(records, threshold, target), "u", "v").withColumnRenamed("id", "u")
     groups = written(groups.join(records.select("u", "n", "w", "first"), "u"), "groups")
-    wanted = groups.select("u", F.col("first.doc_id").alias("id"), F.col("first.key").alias("own"))
+    blocks = groups.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    wanted = groups.join(blocks, "root").select(
+        "u", "w", "root", "blocks", F.col("first.doc_id").alias("id"), F.col("first.key").alias("own"),
+    )
+    # The members grow with the documents, so they are never broadcast, however few they are here.
     texts = documents.select("doc_id", "text", key.alias("key")).join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("own")),
-    ).select("u", "text")
-    links = written(verified(texts, groups.drop("first"), threshold, k), "links")
+        wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("own")),
+    ).select("u", "w", "root", "blocks", "text")
+    links = written(verified(texts, threshold, k), "links")
     counts = links.groupBy("u").agg(F.sum("linked").alias("linked"))
     classes = connected(links, "u", "v").withColumnRenamed("id", "u")
     named = records.join(counts, "u", "left").join(classes, "u", "left").select(
@@ -307,14 +309,15 @@ def one_of_each(documents: DataFrame, **options) -> DataFrame:
     own = rows.filter("c1 is not null").join(classes, ["c1", "c2"])
     keep = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key"))
     # What goes, and rows that are there several times; the rest needs no mark.
-    marks = own.groupBy(F.col("doc_id").alias("id"), F.col("key").alias("own")).agg(
-        F.min(keep).alias("keep"), F.count(F.lit(1)).alias("times"),
-    ).filter("not keep or times > 1")
-    marked = documents.withColumn("_key", F.xxhash64("text")).join(
-        marks, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("own")), "left",
+    marks = own.groupBy("doc_id", "key").agg(F.min(keep).alias("keep"), F.count(F.lit(1)).alias("times")).filter(
+        "not keep or times > 1"
+    ).select(F.struct("doc_id", "key").alias("__own"), F.struct("keep", "times").alias("__mark"))
+    # Like the members above, the marks grow with the documents.
+    marked = documents.withColumn("__key", F.xxhash64("text")).join(
+        marks.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__own")["doc_id"]) & (F.col("__key") == F.col("__own")["key"]), "left",
     )
-    single = marked.filter("times is null")
-    several = marked.filter("keep").dropDuplicates(["doc_id", "_key"])
+    single = marked.filter("__mark is null")
+    several = marked.filter("__mark.keep").dropDuplicates(["doc_id", "__key"])
     return single.union(several).select(documents.columns)
 
 
