@@ -3,11 +3,13 @@
 The reader checks each record: its version line, header block, Content-Length, the two line ends behind it, and the
 SHA-1 digests of block and payload that it claims. After a failed check it searches for the next version line or gzip member that starts a
 valid record, reads on from there, and reports the bytes between as a gap; a damaged archive gives all its sound
-records. Plain archives and archives of one gzip member per record are read; plain ones are written.
+records. Plain archives and archives of one gzip member per record are read; the latter are written.
 
 Writer: one record per page, payload the html in UTF-8. Of pages with equal payloads of at least ``least`` bytes the
 one with the smallest page_id is a response and the others are revisits that refer to it; smaller ones are all
-responses. Archives are text files of Spark, cut after RECORDS records each, so any file system that Spark writes will do.
+responses. Payloads are compressed before anything is shuffled. Archives are files of Spark's text sink, RECORDS records each, so any file
+system that Spark writes will do: a member's last byte, the highest of its length, is zero, and stands as the sink's
+line end; a member of 16 MB or more gets an empty member behind it.
 
 Defined cases: a null html is an empty payload; a null url has no target line; line ends in a url are
 percent-encoded; repeated rows of a page are each written as its record, and are responses where its page is; null
@@ -17,6 +19,7 @@ page ids come after all others, and a revisit of one has no page to refer to; ot
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -42,41 +45,68 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, revisit: bool = False) -> bytes:
     """A whole record; a revisit has the HTTP headers of its page without the payload."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = http if revisit else http + payload
+    digest = payload_digest(payload)
+    return revisit_record(page_id, url, len(payload), digest, refers_to) if revisit else _framed(
+        page_id, url, "response", _http(len(payload)) + payload, digest, [],
+    )
+
+
+def revisit_record(page_id: int | None, url: str | None, size: int, digest: str, refers_to: int | None) -> bytes:
+    """A revisit of a payload of which only size and digest are at hand."""
+    more = [f"WARC-Refers-To: <urn:page:{'' if refers_to is None else refers_to}>", f"WARC-Profile: {_PROFILE}"]
+    return _framed(page_id, url, "revisit", _http(size), digest, more)
+
+
+def _http(size: int) -> bytes:
+    return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+
+
+def _framed(page_id: int | None, url: str | None, kind: str, block: bytes, digest: str, more: list[str]) -> bytes:
     lines = [
-        VERSION.decode(), f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {_DATE}",
+        VERSION.decode(), f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {_DATE}",
     ]
     if url is not None:
         lines.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
-    lines += [f"WARC-Block-Digest: sha1:{payload_digest(block)}", f"WARC-Payload-Digest: sha1:{payload_digest(payload)}"]
-    if revisit:
-        lines += [f"WARC-Refers-To: <urn:page:{'' if refers_to is None else refers_to}>", f"WARC-Profile: {_PROFILE}"]
+    lines += [f"WARC-Block-Digest: sha1:{payload_digest(block)}", f"WARC-Payload-Digest: sha1:{digest}", *more]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _records(page_id: pa.Array, url: pa.Array, html: pa.Array, revisit: pa.Array, refers_to: pa.Array) -> pa.Array:
-    rows = zip(*(c.to_pylist() for c in (page_id, url, html, revisit, refers_to)))
-    # Spark ends each row of a text file with the record's last byte.
-    return pa.array([record(p, u, (h or "").encode(), r, v)[:-1] for p, u, h, v, r in rows], type=pa.binary())
+def _member_of(whole: bytes) -> bytes:
+    """A record as a gzip member whose last byte, a zero, is left to the sink."""
+    member = gzip.compress(whole, mtime=0)
+    return (member + gzip.compress(b"", mtime=0) if len(whole) >= 1 << 24 else member)[:-1]
+
+
+def _responses(page_id: pa.Array, url: pa.Array, html: pa.Array) -> pa.Array:
+    rows = zip(*(c.to_pylist() for c in (page_id, url, html)))
+    return pa.array([_member_of(record(p, u, (h or "").encode(), None, False)) for p, u, h in rows], type=pa.binary())
+
+
+def _revisits(page_id: pa.Array, url: pa.Array, size: pa.Array, sha1: pa.Array, first: pa.Array, revisit: pa.Array) -> pa.Array:
+    rows = zip(*(c.to_pylist() for c in (page_id, url, size, sha1, first, revisit)))
+    return pa.array([
+        _member_of(revisit_record(p, u, n, base64.b32encode(bytes.fromhex(d)).decode(), f)) if r else None
+        for p, u, n, d, f, r in rows
+    ], type=pa.binary())
 
 
 def write(pages: DataFrame, path: str, least: int = 0) -> None:
     """The pages as archives in a new folder."""
-    digest = F.sha1(F.coalesce("html", F.lit("")))
-    large = F.octet_length(F.coalesce("html", F.lit(""))) >= least
-    # Ids and digests only: the payloads are not yet moved.
-    firsts = pages.filter(large).groupBy(digest.alias("_digest")).agg(F.min("page_id").alias("_first"))
-    rows = pages.select("page_id", "url", "html", F.when(large, digest).alias("_own")).join(firsts, F.col("_own") == F.col("_digest"), "left")
+    html = F.coalesce("html", F.lit(""))
+    digest, size = F.sha1(html), F.octet_length(html)
+    # Ids and digests only.
+    firsts = pages.filter(size >= least).groupBy(digest.alias("_digest")).agg(F.min("page_id").alias("_first"))
+    rows = pages.select(
+        "page_id", "url", digest.alias("_own"), size.alias("_size"), F.arrow_udf(_responses, "binary")("page_id", "url", "html").alias("_member"),
+    ).join(firsts, (F.col("_own") == F.col("_digest")) & (F.col("_size") >= least), "left")
     revisit = F.col("_digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
-    make = F.arrow_udf(_records, "binary")
+    other = F.arrow_udf(_revisits, "binary")("page_id", "url", "_size", "_own", "_first", revisit)
     (
-        rows.select(make("page_id", "url", "html", revisit, "_first").cast("string").alias("value"))
-        .write.option("maxRecordsPerFile", RECORDS).option("lineSep", "\n").text(path)
+        rows.select(F.coalesce(other, "_member").cast("string").alias("value"))
+        .write.option("maxRecordsPerFile", RECORDS).option("lineSep", "\0").text(path)
     )
 
 
@@ -130,18 +160,21 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
 
 def _member(data: bytes, at: int) -> tuple[list[dict], int]:
     """The records of the gzip member that begins at a place, and the place behind it."""
-    unzip = zlib.decompressobj(wbits=31)
+    unzip, view, end, parts = zlib.decompressobj(wbits=31), memoryview(data), at, []
     try:
-        plain = unzip.decompress(data[at:]) if at else unzip.decompress(data)
+        while not unzip.eof and end < len(data):
+            parts.append(unzip.decompress(view[end:end + (1 << 16)]))
+            end = min(end + (1 << 16), len(data))
     except zlib.error as e:
         raise Damaged(f"gzip: {e}") from None
     if not unzip.eof:
         raise Damaged("gzip member without end")
+    plain, after = b"".join(parts), end - len(unzip.unused_data)
     rows, place = [], 0
     while place < len(plain):
         row, place = _parse(plain, place)
         rows.append(row)
-    return rows, len(data) - len(unzip.unused_data)
+    return rows, after
 
 
 def salvage(data: bytes) -> Iterator[dict]:

@@ -214,6 +214,19 @@ def test_salvage(zipped):
     assert list(warc.salvage(b"")) == [] and [r["gap"] for r in warc.salvage(b"nothing here")] == ["no version line"]
 
 
+def test_members_end_in_the_byte_that_the_sink_writes():
+    for size in (0, 1000, (1 << 24) + 5):
+        whole = warc.record(1, None, b"x" * size)
+        stored = warc._member_of(whole) + b"\0"
+        assert gzip.decompress(stored) == whole
+        rows = list(warc.salvage(stored + gzip.compress(parts_of(2))))
+        assert [r["payload_bytes"] for r in rows] == [size, 1]
+
+
+def parts_of(page_id):
+    return warc.record(page_id, "u", b"y")
+
+
 # -- 9 ---------------------------------------------------------------------------------------------------------
 
 TURNS = "conv_id bigint, turn bigint, role string, text string"
