@@ -32,48 +32,45 @@ def rendered(role: Column, text: Column) -> Column:
     return F.concat(F.lit("<|"), F.coalesce(role, F.lit("")), F.lit("|>\n"), F.coalesce(text, F.lit("")), F.lit("\n<|end|>\n"))
 
 
-def turns(rows: DataFrame, key: str) -> DataFrame:
-    """``key, turn, messages``: the distinct messages of each turn in order. A turn number repeats only by mistake,
-    so its messages are few."""
-    message = F.struct(F.col("role").alias("role"), F.col("text").alias("text"))
-    return rows.filter(F.col(key).isNotNull()).groupBy(key, F.coalesce("turn", F.lit(_LAST)).alias("turn")).agg(
-        F.array_sort(F.collect_set(message)).alias("messages"),
-    )
-
-
 def pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``pair_id, part, place, turn, role, text, mask``: the rendered turns of the prompt and of both completions.
-
-    ``chosen``, ``rejected``: pair_id, turn, role, text. ``place`` counts from the turn number, so it orders a part."""
-    left = turns(chosen, "pair_id").withColumnRenamed("messages", "chosen")
-    right = turns(rejected, "pair_id").withColumnRenamed("messages", "rejected")
-    # The first turn number at which the sides differ; a turn that one side lacks differs.
-    both = written(left.join(right, ["pair_id", "turn"], "full"), "turns")
-    split = both.filter(~F.col("chosen").eqNullSafe(F.col("rejected"))).groupBy("pair_id").agg(F.min("turn").alias("split"))
-    marked = both.join(split, "pair_id", "left").withColumn("common", F.col("split").isNull() | (F.col("turn") < F.col("split")))
-    parts = F.when(F.col("common"), F.array(F.struct(F.lit("prompt").alias("part"), F.col("chosen").alias("messages")))).otherwise(
-        F.array(
-            F.struct(F.lit("chosen").alias("part"), F.col("chosen").alias("messages")),
-            F.struct(F.lit("rejected").alias("part"), F.col("rejected").alias("messages")),
-        ),
+    """``pair_id, part, turn, place, role, text, mask``: the rendered turns of the prompt and of both completions.
+
+    ``chosen``, ``rejected``: pair_id, turn, role, text. ``place`` orders several messages of one turn.
+
+    The sides are compared by 128-bit hashes of their messages; the texts are shuffled once, by pair and turn, to learn
+    their part. Only turns of several rows are put together, and these are few."""
+    columns = ["pair_id", F.coalesce("turn", F.lit(_LAST)).alias("turn"), "role", "text"]
+    rows = chosen.select(*columns, F.lit(True).alias("left")).union(rejected.select(*columns, F.lit(False).alias("left")))
+    rows = rows.filter("pair_id is not null")
+    message = F.struct(F.xxhash64("role", "text"), F.xxhash64(F.lit(1), "text", F.lit(2), "role"))
+    left = F.col("left")
+    marks = rows.groupBy("pair_id", "turn").agg(
+        F.array_sort(F.collect_set(F.when(left, message))).alias("c"), F.array_sort(F.collect_set(F.when(~left, message))).alias("r"),
+        F.greatest(F.count(F.when(left, 1)), F.count(F.when(~left, 1))).alias("times"),
     )
-    rows = marked.select("pair_id", "turn", F.explode(parts).alias("p")).select(
-        "pair_id", "turn", F.col("p.part").alias("part"), F.posexplode("p.messages").alias("place", "m"),
+    marks = written(marks.select("pair_id", "turn", (F.col("c") != F.col("r")).alias("differs"), (F.col("times") > 1).alias("several")), "turns")
+    # The first turn number at which the sides differ; a turn that one side lacks differs.
+    split = marks.filter("differs").groupBy("pair_id").agg(F.min("turn").alias("split"))
+    info = marks.join(split, "pair_id", "left").select(
+        "pair_id", "turn", "several", (F.col("split").isNull() | (F.col("turn") < F.col("split"))).alias("common"),
     )
+    part = F.when(F.col("common"), F.when(left, F.lit("prompt"))).when(left, F.lit("chosen")).otherwise(F.lit("rejected"))
+    placed = rows.join(info, ["pair_id", "turn"]).select("pair_id", "turn", "role", "text", "several", part.alias("part")).filter("part is not null")
+    single = placed.filter("not several").select("pair_id", "part", "turn", F.lit(0).alias("place"), "role", "text")
+    several = placed.filter("several").groupBy("pair_id", "part", "turn").agg(
+        F.array_sort(F.collect_set(F.struct("role", "text"))).alias("messages"),
+    ).select("pair_id", "part", "turn", F.posexplode("messages").alias("place", "m")).select("pair_id", "part", "turn", "place", "m.role", "m.text")
     number = F.when(F.col("turn") < _LAST, F.col("turn"))
-    mask = ((F.col("part") != "prompt") & F.coalesce(F.col("m.role") == "assistant", F.lit(False))).cast("int")
-    return rows.select(
-        "pair_id", "part", number.alias("turn"), "place", F.col("m.role").alias("role"),
-        rendered(F.col("m.role"), F.col("m.text")).alias("text"), mask.alias("mask"),
+    mask = ((F.col("part") != "prompt") & F.coalesce(F.col("role") == "assistant", F.lit(False))).cast("int")
+    return single.union(several).select(
+        "pair_id", "part", number.alias("turn"), "place", "role", rendered(F.col("role"), F.col("text")).alias("text"), mask.alias("mask"),
     )
 
 
 def with_swapped_answers(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every conversation as the chosen side of a pair of its own id, and the rejected side: the same turns, but for
     the last assistant turn, which is the last one of the next conversation that has one."""
-    chosen = conversations.filter("conv_id is not null").select(
-        F.col("conv_id").alias("pair_id"), "turn", "role", "text",
-    ).distinct()
+    chosen = conversations.filter("conv_id is not null").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
     answer = F.struct(F.coalesce("turn", F.lit(_LAST)).alias("at"), F.col("text").alias("text"))
     last = chosen.filter("role = 'assistant'").groupBy("pair_id").agg(F.max(answer).alias("last"))
     order = ranked(last.select("pair_id", "last"), [F.col("pair_id")])
