@@ -33,6 +33,9 @@ from pressgauge.session import run_path
 
 #: Records of an archive. An archive is read by one task.
 RECORDS = 2000
+_STEP = 128
+#: Payload bytes of a batch of records that the reader hands on.
+BATCH_BYTES = 4 << 20
 VERSION = b"WARC/1.1"
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -81,8 +84,12 @@ def _member_of(whole: bytes) -> bytes:
 
 
 def _responses(page_id: pa.Array, url: pa.Array, html: pa.Array) -> pa.Array:
-    rows = zip(*(c.to_pylist() for c in (page_id, url, html)))
-    return pa.array([_member_of(record(p, u, (h or "").encode(), None, False)) for p, u, h in rows], type=pa.binary())
+    out = []
+    # A few pages at a time: a batch of all of them, as Python strings and bytes, is several times its size.
+    for s in range(0, len(html), _STEP):
+        rows = zip(*(c.slice(s, _STEP).to_pylist() for c in (page_id, url, html)))
+        out.append(pa.array([_member_of(record(p, u, (h or "").encode())) for p, u, h in rows], type=pa.binary()))
+    return pa.concat_arrays(out) if out else pa.array([], type=pa.binary())
 
 
 def _revisits(page_id: pa.Array, url: pa.Array, size: pa.Array, sha1: pa.Array, first: pa.Array, revisit: pa.Array) -> pa.Array:
@@ -217,7 +224,7 @@ def _salvaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in salvage(content.as_py()):
                 rows.append({"archive": name.as_py(), **row})
                 size += row.get("payload_bytes") or 0
-                if size > 1 << 24:
+                if size > BATCH_BYTES:
                     yield pa.RecordBatch.from_pylist(rows, schema=_READ)
                     rows, size = [], 0
             yield pa.RecordBatch.from_pylist(rows, schema=_READ)
