@@ -4,6 +4,9 @@ Two strings within edit distance k share at least ``length - q + 1 - k q`` chara
 diagonal. Benchmark items are cut into overlapping windows; a document's q-grams that occur in a window are counted
 in diagonal bands that overlap by k, bands that reach the bound are regions, and banded alignment verifies them.
 
+The query and the pipeline look for windows of SMALL bytes every STEP besides the large ones, so a passage of PASSAGE
+bytes is found wherever in its item it begins, if no more than a tenth of a window in it is edited.
+
 Text is compared as lower-cased UTF-8 bytes with every run of other characters than letters and digits as one blank.
 
 Defined cases: a null or empty text has no passage; an item of fewer than ``min_chars`` bytes (a phrase, which clean
@@ -23,7 +26,12 @@ from pyspark.sql import functions as F
 from pressgauge.llm.textops import _WORD, U64, Piece, odd_numbers, pieces
 
 Q = 8
-WINDOW, STRIDE = 100, 50
+#: Size and stride of the windows that are looked for.
+WINDOWS = ((100, 50),)
+#: What the query and the pipeline look for besides. A passage of PASSAGE bytes holds a whole small window, wherever in
+#: its item it begins.
+SMALL, STEP = 48, 8
+PASSAGE = SMALL + STEP - 1
 EDITS = 0.1
 MIN_CHARS = 48
 BAND = 16
@@ -38,6 +46,7 @@ HIT_DDL = "array<struct<item_id bigint, start int, end int, edits int, windows i
 
 _GRAM = odd_numbers(1, 5)[0]
 _BITS = 22
+_WINDOW_BITS = 22
 
 
 def plain(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,45 +74,88 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """The windows of a benchmark and the places of their q-grams."""
+    """A benchmark's items one after another, the windows to look for in them, and the places of their q-grams."""
 
-    def __init__(self, items: list[tuple[int, str]], edits: float, min_chars: int):
-        self.item, self.texts = [], []
+    def __init__(self, items: list[tuple[int, str]], edits: float, min_chars: int, windows=WINDOWS):
+        self.item, texts = [], []
         for piece in pieces(pa.array([t for _, t in items], type=pa.string())):
             data, offsets, _ = plain(piece)
             for k in range(piece.n_docs):
                 text = data[offsets[k]:offsets[k + 1]]
                 if len(text) and text[-1] == 32:
                     text = text[:-1]
-                if len(text) < min_chars:
+                if not len(text) or len(text) < min_chars:
                     continue
-                last = max(len(text) - WINDOW, 0)
-                for s in dict.fromkeys([*range(0, last, STRIDE), last]):
-                    self.item.append(items[piece.first + k][0])
-                    self.texts.append(text[s:s + WINDOW])
-        self.length = np.array([len(t) for t in self.texts], dtype=np.int64)
+                self.item.append(items[piece.first + k][0])
+                texts.append(text)
+        n = np.array([len(t) for t in texts], dtype=np.int64)
+        self.first = np.concatenate(([0], np.cumsum(n)))
+        self.data = np.concatenate([*texts, np.zeros(0, dtype=np.uint8)])
+        # By window size: the number of its first window, and where its windows begin, in order.
+        self.groups: list[tuple[int, int, np.ndarray]] = []
+        begins, lengths, owners = [], [], []
+        for size, stride in sorted(windows, reverse=True):
+            start, own = [], []
+            for k, m in enumerate(n.tolist()):
+                if begins and m <= size:
+                    continue  # whole among the larger windows
+                last = max(m - size, 0)
+                places = [*range(0, last, stride), last]
+                start += [int(self.first[k]) + s for s in places]
+                own += [k] * len(places)
+            start, own = np.array(start, dtype=np.int64), np.array(own, dtype=np.int64)
+            self.groups.append((sum(map(len, begins)), size, start))
+            begins.append(start)
+            owners.append(own)
+            lengths.append(np.minimum(n[own], size))
+        self.begin, self.length, self.owner = (np.concatenate(x) for x in (begins, lengths, owners))
+        if len(self.begin) >= 1 << _WINDOW_BITS:
+            raise ValueError("a part of the benchmark has too many windows")
         self.budget = np.floor(self.length * edits).astype(np.int64)
         self.least = np.maximum(self.length - Q + 1 - self.budget * Q, 1)
         self.most = int(self.budget.max(initial=0))
-        own = [grams(t) for t in self.texts]
-        gram = np.concatenate([*own, np.zeros(0, dtype=U64)])
-        window = np.repeat(np.arange(len(own)), [len(g) for g in own])
-        place = np.concatenate([*[np.arange(len(g)) for g in own], np.zeros(0, dtype=np.int64)])
-        order = np.argsort(gram, kind="stable")
-        self.window, self.place = window[order], place[order].astype(np.int64)
-        self.gram, self.start, self.count = np.unique(gram[order], return_index=True, return_counts=True)
+        self.longest = int(self.length.max(initial=0))
+        # Of all windows of an item.
+        self.item_least = np.full(len(n), np.iinfo(np.int64).max)
+        np.minimum.at(self.item_least, self.owner, self.least)
+        #: Above every place in an item, in whole bands.
+        self.lead = BAND * (int(n.max(initial=0)) // BAND + 1)
+        gram = grams(self.data)
+        inner = np.repeat(self.first[1:], n)[:len(gram)] >= np.arange(len(gram)) + Q
+        place = np.flatnonzero(inner)
+        order = np.argsort(gram[place], kind="stable")
+        self.place = place[order]
+        self.gram, self.start, self.count = np.unique(gram[self.place], return_index=True, return_counts=True)
         self._seen = None
 
     def seen(self, grams: np.ndarray) -> np.ndarray:
-        """Which of the q-grams may be in a window, by the head of their hash; the table is made where it's used."""
+        """Which of the q-grams may be in an item, by the head of their hash; the table is made where it's used."""
         if self._seen is None:
             self._seen = np.zeros(1 << _BITS, dtype=bool)
             self._seen[self.gram >> U64(64 - _BITS)] = True
         return self._seen[grams >> U64(64 - _BITS)]
 
+    def text(self, window: int) -> np.ndarray:
+        return self.data[self.begin[window]:self.begin[window] + self.length[window]]
+
+
+def _unfolded(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For n numbers from each first one on: the row they are of, and all these numbers."""
+    row = np.repeat(np.arange(len(n)), n)
+    return row, np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+
+
+def _bands(doc: np.ndarray, owner: np.ndarray, diagonal: np.ndarray, overlap) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of document, owner and band of diagonals, each band longer by the overlap: one key a row, and then a
+    second one of the rows that lie in two bands; and these rows."""
+    inner = np.flatnonzero(diagonal % BAND < overlap)
+    key = ((doc << _WINDOW_BITS | owner) << 24) + diagonal // BAND
+    return np.concatenate((key, key[inner] - 1)), inner
+
 
 def regions(index: Index, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, window and first diagonal of every band with enough shared q-grams."""
+    """Document, window and first diagonal of every band with enough shared q-grams. Bands of whole items come first:
+    a window's q-grams are in them, so only the items that have enough for a window are taken apart."""
     g = grams(data)
     at = np.flatnonzero(index.seen(g))
     found = np.searchsorted(index.gram, g[at])
@@ -112,18 +164,33 @@ def regions(index: Index, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     doc = np.searchsorted(offsets, at, side="right") - 1
     good &= at + Q <= offsets[doc + 1]
     at, found, doc = at[good], found[good], doc[good]
-    n = index.count[found]
-    entry = np.repeat(index.start[found] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+    row, entry = _unfolded(index.start[found], index.count[found])
+    place, at, doc = index.place[entry], (at - offsets[doc])[row], doc[row]
+    item = np.searchsorted(index.first, place, side="right") - 1
     # Diagonals from the document's start on, all above zero.
-    diagonal = np.repeat(at - offsets[doc], n) - index.place[entry] + 2 * WINDOW
-    window, doc = index.window[entry], np.repeat(doc, n)
-    band, inner = diagonal // BAND, diagonal % BAND < index.budget[window]
-    key = ((doc << 20 | window) << 24) + band
-    key = np.concatenate((key, key[inner] - 1))
-    key, count = np.unique(key, return_counts=True)
-    window = key >> 24 & ((1 << 20) - 1)
+    key, inner = _bands(doc, item, at - (place - index.first[item]) + index.lead, index.most)
+    _, back, count = np.unique(key, return_inverse=True, return_counts=True)
+    enough = count[back] >= index.item_least[np.concatenate((item, item[inner]))]
+    use = enough[:len(item)].copy()
+    use[inner] |= enough[len(item):]
+    place, at, doc, item = place[use], at[use], doc[use], item[use]
+    keys = []
+    for number, size, begin in index.groups:
+        low = np.searchsorted(begin, np.maximum(index.first[item], place + Q - size))
+        row, window = _unfolded(low, np.searchsorted(begin, place, side="right") - low)
+        # An item may have no windows of this size.
+        own = index.owner[number:][window] == item[row]
+        row, window = row[own], window[own] + number
+        diagonal = at[row] - (place[row] - index.begin[window]) + index.lead
+        keys.append(_bands(doc[row], window, diagonal, index.budget[window])[0])
+    key, count = np.unique(np.concatenate(keys), return_counts=True)
+    window = key >> 24 & ((1 << _WINDOW_BITS) - 1)
     keep = count >= index.least[window]
-    return key[keep] >> 44, window[keep], (key[keep] & ((1 << 24) - 1)) * BAND - 2 * WINDOW
+    key, window = key[keep], window[keep]
+    # Windows of equal length are aligned together.
+    order = np.argsort(index.length[window], kind="stable")
+    key, window = key[order], window[order]
+    return key >> 24 + _WINDOW_BITS, window, (key & ((1 << 24) - 1)) * BAND - index.lead
 
 
 def align(index: Index, window: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +200,7 @@ def align(index: Index, window: np.ndarray, text: np.ndarray) -> tuple[np.ndarra
     width = BAND + 3 * index.most + 1
     pattern = np.zeros((len(window), size), dtype=np.uint8)
     for k, w in enumerate(window):
-        pattern[k, :index.length[w]] = index.texts[w]
+        pattern[k, :index.length[w]] = index.text(w)
     step = np.arange(width, dtype=np.int32)
     table = np.zeros((len(window), width), dtype=np.int32)
     best, end = np.zeros(len(window), dtype=np.int32), np.zeros(len(window), dtype=np.int64)
@@ -155,7 +222,7 @@ def _found(index: Index, piece: Piece) -> Iterator[tuple[int, dict]]:
     for s in range(0, len(doc), 4000):
         d, w, f = doc[s:s + 4000], window[s:s + 4000], first[s:s + 4000]
         # Bytes outside of the document are 0, which no pattern holds.
-        place = (f - index.most)[:, None] + np.arange(WINDOW + BAND + 3 * index.most + 1)
+        place = (f - index.most)[:, None] + np.arange(index.longest + BAND + 3 * index.most + 1)
         inside = (place >= 0) & (place < (offsets[d + 1] - offsets[d])[:, None])
         text = np.where(inside, data[np.clip(place + offsets[d][:, None], 0, len(data) - 1)], np.uint8(0))
         best, end = align(index, w, text)
@@ -164,12 +231,29 @@ def _found(index: Index, piece: Piece) -> Iterator[tuple[int, dict]]:
         begin = np.maximum(stop - index.length[w], 0)
         for k in np.flatnonzero(ok):
             a, b = old[offsets[d[k]] + begin[k]], old[offsets[d[k]] + stop[k] - 1] + 1
-            yield int(d[k]), {"item_id": index.item[w[k]], "window": int(w[k]), "start": int(a), "end": int(b), "edits": int(best[k])}
+            yield int(d[k]), {"item_id": index.item[index.owner[w[k]]], "window": int(w[k]), "start": int(a), "end": int(b), "edits": int(best[k])}
+
+
+def joined(hits: list[dict]) -> tuple[int, int, int, int]:
+    """Start and end of the best window and what overlaps it, one after another, that window's edits, and the number
+    of windows found."""
+    best: dict[int, dict] = {}
+    for h in sorted(hits, key=lambda h: (h["edits"], h["start"])):
+        best.setdefault(h["window"], h)
+    top = next(iter(best.values()))
+    start, end = top["start"], top["end"]
+    for h in sorted(best.values(), key=lambda h: h["start"]):
+        if start <= h["start"] < end:
+            end = max(end, h["end"])
+    for h in sorted(best.values(), key=lambda h: -h["end"]):
+        if start < h["end"] <= end:
+            start = min(start, h["start"])
+    return start, end, top["edits"], len(best)
 
 
 def finder(index: Index):
-    """An Arrow function from texts to the items that they hold, each with the place of its best window (code
-    points), that window's edits and the number of its windows found."""
+    """An Arrow function from texts to the items that they hold, each with the place of its best window and those
+    that overlap it (code points), that window's edits and the number of its windows found."""
     def run(texts: pa.Array) -> pa.Array:
         rows: list[list] = [[]] * len(texts)
         for piece in pieces(texts) if len(index.gram) else ():
@@ -181,11 +265,11 @@ def finder(index: Index):
                 at = piece.offsets[d]
                 rows[piece.first + d] = [
                     {
-                        "item_id": item, "edits": top["edits"], "windows": len({h["window"] for h in hits}),
-                        "start": int(lead[top["start"] - at]) - 1, "end": int(lead[top["end"] - 1 - at]),
+                        "item_id": item, "edits": edits, "windows": windows,
+                        "start": int(lead[start - at]) - 1, "end": int(lead[end - 1 - at]),
                     }
                     for item, hits in sorted(by_item.items())
-                    for top in [min(hits, key=lambda h: (h["edits"], h["start"]))]
+                    for start, end, edits, windows in [joined(hits)]
                 ]
         return pa.array(rows, type=HIT)
 
@@ -193,7 +277,7 @@ def finder(index: Index):
 
 
 def passages(
-    benchmark: DataFrame, text: str = "text", edits: float = EDITS, min_chars: int = MIN_CHARS,
+    benchmark: DataFrame, text: str = "text", edits: float = EDITS, min_chars: int = MIN_CHARS, windows=WINDOWS,
 ) -> list[Column]:
     """Columns of benchmark items found in a text column, one for each part of the benchmark.
 
@@ -207,7 +291,7 @@ def passages(
     for part in range(parts):
         share = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
         rows = sorted((r["item_id"], r["text"]) for r in share.collect())
-        columns.append(finder(Index(rows, edits, min_chars))(F.col(text)))
+        columns.append(finder(Index(rows, edits, min_chars, windows))(F.col(text)))
     return columns
 
 
@@ -227,9 +311,13 @@ def remove(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     return kept
 
 
+#: The options of the query and of the pipeline.
+WHOLE = {"windows": (*WINDOWS, (SMALL, STEP))}
+
+
 def query(spark: SparkSession, d: str) -> DataFrame:
-    return find(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet"))
+    return find(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet"), **WHOLE)
 
 
 def stage(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
-    return remove(docs, spark.read.parquet(f"{d}/benchmark.parquet"))
+    return remove(docs, spark.read.parquet(f"{d}/benchmark.parquet"), **WHOLE)

@@ -79,6 +79,37 @@ def test_decontamination_against_edit_distance(spark):
     assert decontaminate.find(frame.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_passages_at_every_offset(spark):
+    """Excerpts of an item, exact and edited, against brute force over all of the item's runs, not over its windows."""
+    rng = random.Random(11)
+    item = prose(rng, 80)[:300].strip()
+    size, passage, rest = decontaminate.SMALL, decontaminate.PASSAGE, [prose(rng, 40) for _ in range(7)]
+    texts, must = [], set()
+    for n, edits in ((passage, 0), (80, 0), (80, 3), (passage, 4), (90, 12), (20, 0), (size - 6, 0)):
+        for at in range(0, len(item) - n + 1):
+            own = list(item[at:at + n])
+            for k in rng.sample(range(1, n - 1), edits):
+                # A blank or its neighbour that is gone would take another blank along.
+                own[k] = rng.choice(["q", own[k] + "q", "q" if " " in item[at + k - 1:at + k + 2] else ""])
+            d = len(texts)
+            texts.append((d, f"{rest[d % 7]} {''.join(own)} {rest[(d + 3) % 7]}"))
+            if edits <= size // 10 and len(item[at:at + n].strip()) >= passage:
+                must.add(d)
+
+    def norm(text):
+        return re.sub(r"[^a-z0-9]+", " ", text.lower()).strip()
+
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    got = {r["doc_id"]: r for r in decontaminate.find(docs(spark, texts), bench, **decontaminate.WHOLE).collect()}
+    assert must <= set(got) and len(must) > 700
+    for d, text in texts[::100]:
+        near = min(infix_distance(item[s:s + size], norm(text)) for s in range(len(item) - size + 1))
+        assert d not in got or near <= size // 10, (d, near)
+    # Neighbouring windows are one place.
+    d = next(d for d in sorted(must) if d > 246)
+    assert got[d]["end"] - got[d]["start"] >= 72 and got[d]["edits"] == 0
+
+
 def test_decontamination_in_parts(spark, monkeypatch):
     rng = random.Random(6)
     items = [(k, prose(rng, 30)) for k in range(12)]
