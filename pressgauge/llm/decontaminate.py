@@ -9,8 +9,11 @@ bytes is found wherever in its item it begins, if no more than a tenth of a wind
 
 Text is compared as lower-cased UTF-8 bytes with every run of other characters than letters and digits as one blank.
 
-Defined cases: a null or empty text has no passage; an item of fewer than ``min_chars`` bytes (a phrase, which clean
-texts share) is not searched, nor a null one; repeated items are reported each under its own id; items of equal ids
+Items of fewer than ``min_chars`` bytes are left out; the query and the pipeline leave none out. Items of fewer than
+MIN_CHARS bytes are searched whole, with as many edits up to a tenth as the lemma can find (one from 16 bytes on, two
+from 24, three from 32, four from 40); those of fewer than 16 bytes are found where they stand exactly, as whole words.
+
+Defined cases: a null or empty text has no passage; a null item, or one without letters and digits, is not searched; repeated items are reported each under its own id; items of equal ids
 count as one; repeated document rows are reported each. Every row is judged by itself, so other columns don't matter.
 """
 
@@ -78,6 +81,8 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], edits: float, min_chars: int, windows=WINDOWS):
         self.item, texts = [], []
+        # By length: items that are looked for as words, exactly.
+        words: dict[int, dict[bytes, list[int]]] = {}
         for piece in pieces(pa.array([t for _, t in items], type=pa.string())):
             data, offsets, _ = plain(piece)
             for k in range(piece.n_docs):
@@ -86,8 +91,14 @@ class Index:
                     text = text[:-1]
                 if not len(text) or len(text) < min_chars:
                     continue
+                if len(text) < 2 * Q:
+                    same = words.setdefault(len(text), {}).setdefault(text.tobytes(), [])
+                    if items[piece.first + k][0] not in same:
+                        same.append(items[piece.first + k][0])
+                    continue
                 self.item.append(items[piece.first + k][0])
                 texts.append(text)
+        self.words = [(n, np.array(sorted(of), dtype=f"S{n}"), [of[t] for t in sorted(of)]) for n, of in sorted(words.items())]
         n = np.array([len(t) for t in texts], dtype=np.int64)
         self.first = np.concatenate(([0], np.cumsum(n)))
         self.data = np.concatenate([*texts, np.zeros(0, dtype=np.uint8)])
@@ -112,6 +123,8 @@ class Index:
         if len(self.begin) >= 1 << _WINDOW_BITS:
             raise ValueError("a part of the benchmark has too many windows")
         self.budget = np.floor(self.length * edits).astype(np.int64)
+        short = self.length < MIN_CHARS
+        self.budget[short] = np.minimum(self.budget[short], self.length[short] // Q - 1)
         self.least = np.maximum(self.length - Q + 1 - self.budget * Q, 1)
         self.most = int(self.budget.max(initial=0))
         self.longest = int(self.length.max(initial=0))
@@ -215,9 +228,32 @@ def align(index: Index, window: np.ndarray, text: np.ndarray) -> tuple[np.ndarra
     return best, end
 
 
+def word_runs(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, list[int]]]:
+    """Document, start, end and items of every place where an item of a few bytes stands as whole words."""
+    inside = np.append(data != 32, False)
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(inside & (edge | ~np.append(True, inside[:-1])))
+    doc = np.searchsorted(offsets, starts, side="right") - 1
+    for n, texts, items in index.words:
+        end = np.minimum(starts + n, len(data))
+        use = np.flatnonzero((starts + n <= offsets[doc + 1]) & (edge[end] | ~inside[end]))
+        for s in range(0, len(use), 100_000):
+            at = starts[use[s:s + 100_000]]
+            own = np.ascontiguousarray(data[at[:, None] + np.arange(n)]).view(f"S{n}").ravel()
+            found = np.minimum(np.searchsorted(texts, own), len(texts) - 1)
+            for k in np.flatnonzero(texts[found] == own):
+                yield int(doc[use[s + k]]), int(at[k]), int(at[k]) + n, items[found[k]]
+
+
 def _found(index: Index, piece: Piece) -> Iterator[tuple[int, dict]]:
-    """Document of the piece and best match, per item that it holds."""
+    """Document of the piece and match, for windows and places."""
     data, offsets, old = plain(piece)
+    for d, a, b, items in word_runs(index, data, offsets) if index.words else ():
+        for item in items:
+            yield d, {"item_id": item, "window": -1, "start": int(old[a]), "end": int(old[b - 1]) + 1, "edits": 0}
+    if not len(index.gram):
+        return
     doc, window, first = regions(index, data, offsets)
     for s in range(0, len(doc), 4000):
         d, w, f = doc[s:s + 4000], window[s:s + 4000], first[s:s + 4000]
@@ -256,7 +292,7 @@ def finder(index: Index):
     that overlap it (code points), that window's edits and the number of its windows found."""
     def run(texts: pa.Array) -> pa.Array:
         rows: list[list] = [[]] * len(texts)
-        for piece in pieces(texts) if len(index.gram) else ():
+        for piece in pieces(texts) if len(index.gram) or index.words else ():
             by_doc: dict[int, dict[int, list[dict]]] = {}
             for d, hit in _found(index, piece):
                 by_doc.setdefault(d, {}).setdefault(hit["item_id"], []).append(hit)
@@ -312,7 +348,7 @@ def remove(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 
 #: The options of the query and of the pipeline.
-WHOLE = {"windows": (*WINDOWS, (SMALL, STEP))}
+WHOLE = {"windows": (*WINDOWS, (SMALL, STEP)), "min_chars": 1}
 
 
 def query(spark: SparkSession, d: str) -> DataFrame:

@@ -110,6 +110,46 @@ def test_decontamination_of_passages_at_every_offset(spark):
     assert got[d]["end"] - got[d]["start"] >= 72 and got[d]["edits"] == 0
 
 
+def test_decontamination_by_short_items(spark):
+    rng = random.Random(12)
+
+    def text(n):
+        own = "q" + prose(rng, n)[:n - 2] + "q"
+        return own if "  " not in own else text(n)
+
+    items = {n: text(n) for n in (3, 7, 8, 12, 15, 16, 20, 23, 24, 30, 31, 32, 39, 40, 47)}
+    most = {n: min(n // 10, n // 8 - 1) if n > 15 else 0 for n in items}
+    texts, expected = [(0, "q"), (1, None), (2, "")], set()
+    for n, item in items.items():
+        for edits in range(6):
+            own = list(item)
+            for at in rng.sample(range(1, n - 1), min(edits, n - 2)):
+                own[at] = "9"
+            for rest in (prose(rng, 30), ""):
+                d = len(texts)
+                texts.append((d, f"{rest}, {''.join(own).upper()}! {rest}"))
+                expected |= {(d, n)} if edits <= most[n] else set()
+        if n < 16:
+            texts += [(len(texts) + k, t) for k, t in enumerate((f"a{item} b", f"a {item}b", item[:-1], f"{item[:-1]}"))]
+        # The next document goes on where this one ends.
+        texts += [(len(texts) + k, t) for k, t in enumerate((item[:n // 2], item[n // 2:]))]
+    rows = [*items.items(), (100, items[7]), (100, items[7]), (101, "?!"), (102, None)]
+    bench = spark.createDataFrame(rows, "item_id bigint, text string")
+    frame = docs(spark, texts).coalesce(1)
+    found = decontaminate.find(frame, bench, **decontaminate.WHOLE).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    assert got == expected | {(d, 100) for d, n in expected if n == 7} and len(got) == len(found)
+    for r in found:
+        if r["edits"] == 0:
+            item = items[7 if r["item_id"] == 100 else r["item_id"]]
+            own = dict(texts)[r["doc_id"]][r["start"]:r["end"]].lower()
+            assert re.sub(r"[^a-z0-9]+", " ", own) == item
+    kept = {r["doc_id"] for r in decontaminate.remove(frame, bench, **decontaminate.WHOLE).collect()}
+    assert kept == {d for d, _ in texts} - {d for d, _ in got}
+    only = spark.createDataFrame([(7, items[7])], "item_id bigint, text string")
+    assert {r["doc_id"] for r in decontaminate.find(frame, only, **decontaminate.WHOLE).collect()} == {d for d, n in expected if n == 7}
+
+
 def test_decontamination_in_parts(spark, monkeypatch):
     rng = random.Random(6)
     items = [(k, prose(rng, 30)) for k in range(12)]
