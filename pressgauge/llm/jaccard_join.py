@@ -11,8 +11,8 @@ A pair at the threshold survives a run of depth d with probability ``s(d) = 1 -
 ``s(0) = 1``; runs are repeated until ``1 - (1 - s(DEPTH))^runs`` reaches the target recall.
 
 Leaves and groups give candidate components; only their members' texts are read again, and within each component all
-pairs are verified on the exact shingle sets, in tiles of bounded size. So the links and their counts are exact for
-what the paths retrieve, no list of pairs leaves a task, and neither a large group of copies nor one of near copies
+pairs are verified on the exact shingle sets, in tiles of bounded shingles and records. So the links and their counts
+are exact for what the paths retrieve, no list of pairs leaves a task, and neither a large group of copies nor one of near copies
 meets in one task.
 
 Defined cases: documents without words (null or empty texts) have no shingles and are linked to none; a document of
@@ -42,8 +42,11 @@ DEPTH = 10
 LEAF = 200
 #: Share of its parent's records from which on a node's records count as alike.
 ALIKE = 0.7
-#: Shingles of a block of documents; a tile is a pair of blocks.
+#: Shingles and records of a block of documents; a tile is a pair of blocks.
 BLOCK = 250_000
+RECORDS = 2_000
+#: Records on each side that are compared at a time within a tile.
+SIDE = 1_000
 
 
 def runs_for(threshold: float, target: float) -> int:
@@ -214,15 +217,22 @@ def _linked(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
             two = one if key[1, a] == key[2, a] else np.flatnonzero(~side)
             if not len(one) or not len(two):
                 continue
-            link = _similar([sets[i] for i in own[one]], [sets[i] for i in own[two]], threshold)
-            if two is one:
-                np.fill_diagonal(link, False)
-            i, j = np.nonzero(link)
-            label = components(len(own), one[i], two[j])
-            counts = np.zeros(len(own), dtype=np.int64)
-            np.add.at(counts, one[i], w[own[two[j]]])
-            if two is not one:
-                np.add.at(counts, two[j], w[own[one[i]]])
+            label, counts = np.arange(len(own)), np.zeros(len(own), dtype=np.int64)
+            for s in range(0, len(one), SIDE):
+                # A block with itself: each pair of parts once.
+                for t in range(s if two is one else 0, len(two), SIDE):
+                    x, y = one[s:s + SIDE], two[t:t + SIDE]
+                    link = _similar([sets[i] for i in own[x]], [sets[i] for i in own[y]], threshold)
+                    same = two is one and s == t
+                    if same:
+                        np.fill_diagonal(link, False)
+                    counts[x] += link @ w[own[y]]
+                    if not same:
+                        counts[y] += w[own[x]] @ link
+                    i, j = np.nonzero(link)
+                    i, j = label[x[i]], label[y[j]]
+                    new = i != j
+                    label = components(len(own), i[new], j[new])[label]
             hit = np.flatnonzero(counts)
             for part, values in zip(out, (u[own[hit]], u[own[label[hit]]], counts[hit])):
                 part.append(values)
@@ -273,7 +283,9 @@ def similar_groups(
     )
     groups = connected(candidates(records, threshold, target), "u", "v").withColumnRenamed("id", "u")
     groups = written(groups.join(records.select("u", "n", "w", "first"), "u"), "groups")
-    blocks = groups.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    blocks = groups.groupBy("root").agg(
+        F.ceil(F.greatest(F.sum("n") / BLOCK, F.count(F.lit(1)) / RECORDS)).cast("int").alias("blocks"),
+    )
     wanted = groups.join(blocks, "root").select(
         "u", "w", "root", "blocks", F.col("first.doc_id").alias("id"), F.col("first.key").alias("own"),
     )

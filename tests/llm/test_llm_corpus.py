@@ -8,6 +8,7 @@ import itertools
 import random
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -89,6 +90,43 @@ def test_join_against_brute_force(spark, monkeypatch, leaf, block):
     assert got == expected
 
 
+def test_join_of_many_short_near_copies(spark, monkeypatch):
+    """A group of different texts of one template: its blocks are bounded by records and compared in parts."""
+    monkeypatch.setattr(jaccard_join, "RECORDS", 40)
+    monkeypatch.setattr(jaccard_join, "SIDE", 7)
+    monkeypatch.setattr(jaccard_join, "LEAF", 20)
+    tiles, plain = [], jaccard_join.verified
+
+    def seen(rows, *args):
+        tiles.extend(r["blocks"] for r in rows.select("blocks").distinct().collect())
+        return plain(rows, *args)
+
+    monkeypatch.setattr(jaccard_join, "verified", seen)
+    head = " ".join(f"word{k}" for k in range(13))
+    texts = [(k, f"{head} own{k % 200}") for k in range(250)] + [(900, "something else"), (901, None)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.join(docs(spark, texts)).collect()}
+    assert got == {**{k: (0, 249) for k in range(250)}, 900: (900, 0), 901: (901, 0)}
+    assert tiles == [5]
+
+
+def test_a_tile_of_many_records_takes_little_memory():
+    import tracemalloc
+
+    n = 4000
+    sets = [np.array([*range(9), 100 + k], dtype=np.uint64).tobytes() for k in range(2 * n)]
+    table = pa.table({
+        "root": pa.array([0] * 2 * n), "x": pa.array([0] * 2 * n), "y": pa.array([1] * 2 * n), "u": pa.array(range(2 * n)),
+        "w": pa.array([1 + k % 2 for k in range(2 * n)]), "block": pa.array([k % 2 for k in range(2 * n)]), "shingles": pa.array(sets),
+    })
+    tracemalloc.start()
+    out = list(jaccard_join._linked(iter(table.to_batches()), 0.8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rows = [r for batch in out for r in batch.to_pylist()]
+    assert rows == [{"u": k, "v": 0, "linked": n * (2 - k % 2)} for k in range(2 * n)]
+    assert peak < 150e6, peak
+
+
 def test_join_keeps_one_of_each(spark):
     rows = planted(3)
     frame = docs(spark, rows + rows[:3])
