@@ -84,7 +84,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m[0].split(".")):
+        if all(len(own := p.lstrip("0")) < 4 and int(own or "0") < 256 for p in m[0].split(".")):
             out.append(("ip", *m.span()))
     phones = []
     for m in _PHONE.finditer(text) if "+" in text else ():

@@ -288,6 +288,13 @@ def test_base_spans_equal_the_patterns():
         pii.spans(text)
 
 
+def test_octets_of_any_length():
+    """Python's int() takes 4300 digits at most."""
+    for octet, good in (("0" * 5000, True), ("0" * 5000 + "255", True), ("0" * 5000 + "256", False), ("1" * 5000, False)):
+        text = f"see {octet}.1.1.1"
+        assert [s for s in pii.base_spans(text) if s[0] == "ip"] == ([("ip", 4, len(text))] if good else [])
+
+
 def test_added_spans_and_scores():
     def kinds(text):
         return [s[0] for s in pii.spans(text)]
