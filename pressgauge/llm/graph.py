@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressgauge.session import run_path
+from pressgauge.sources.tables import remove
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -15,6 +16,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Remove a table made by `written`; what reads it must have been computed."""
+    for folder in {path.rsplit("/", 1)[0] for path in table.inputFiles()}:
+        remove(table.sparkSession, folder)
+
+
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``id, root`` for every vertex that has an edge to another: root is the smallest vertex of its component.
 
