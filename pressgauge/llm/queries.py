@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pressgauge.llm import (
-    decontaminate, fingerprints, jaccard_join, licenses, mixing, pii, preference, toxicity, url_filter, warc,
+    decontaminate, fill_middle, fingerprints, jaccard_join, licenses, mixing, pii, preference, toxicity, url_filter,
+    variants, warc,
 )
 
 QUERIES = {
@@ -17,4 +18,6 @@ QUERIES = {
     "op8_warc": (warc.query, warc.SQL),
     "op9_preference": (preference.query, preference.SQL),
     "op10_mixing": (mixing.query, mixing.SQL),
+    "op11_fill_middle": (fill_middle.query, fill_middle.SQL),
+    "op12_variants": (variants.query, None),
 }
