@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pressgauge.llm import (
-    decontaminate, fill_middle, fingerprints, jaccard_join, licenses, mixing, pii, preference, toxicity, url_filter,
-    variants, warc,
+    decontaminate, extraction, fill_middle, fingerprints, jaccard_join, licenses, mixing, pii, preference, toxicity,
+    url_filter, variants, warc,
 )
 
 QUERIES = {
@@ -20,4 +20,5 @@ QUERIES = {
     "op10_mixing": (mixing.query, mixing.SQL),
     "op11_fill_middle": (fill_middle.query, fill_middle.SQL),
     "op12_variants": (variants.query, None),
+    "op13_extraction": (extraction.query, None),
 }
