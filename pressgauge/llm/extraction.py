@@ -412,7 +412,7 @@ def _vector(page: int, count: int) -> int:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of the pages with their vectors, added up by host; token 0 stands for the page itself."""
+    """Tokens of the pages with their vectors, added up by host."""
     kinds = _Kinds()
     for whole in batches:
         for s in range(0, whole.num_rows, _STEP):
@@ -420,7 +420,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found: dict[tuple[int, int], list[int]] = {}
             for host, number, source in zip(*(batch.column(c).to_pylist() for c in ("host", "number", "html"))):
                 page = Page(source, kinds)
-                count: dict[int, list[int]] = {0: [1, 0, 0]}
+                count: dict[int, list[int]] = {}
                 for k, key in enumerate(page.keys):
                     own = count.setdefault(key, [0, k, 0])
                     own[0] += 1
@@ -449,14 +449,16 @@ def host(url: Column | str) -> Column:
 
 def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``host`` (its hash), ``total`` pages and the ``tokens`` that SHARE of them have."""
-    rows = pages.select(
+    own = pages.where(host(url_col).isNotNull() & F.col(html_col).isNotNull())
+    rows = own.select(
         F.xxhash64(host(url_col)).alias("host"), F.xxhash64(id_col, url_col, html_col).alias("number"), F.col(html_col).alias("html"),
-    ).where(host(url_col).isNotNull() & F.col("html").isNotNull())
+    )
     found = rows.mapInArrow(_occurrences, _TOKENS_DDL).groupBy("host", "token").agg(
         F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("place").alias("place"), F.sum("chars").alias("chars"),
     ).where(F.col("pages") >= LEAST_PAGES)
-    totals = found.where("token = 0").select("host", F.col("pages").alias("total"))
-    kept = found.where("token <> 0").join(totals, "host").where(F.col("pages") >= SHARE * F.col("total"))
+    # Counted without parsing: the tokens are made once.
+    totals = own.groupBy(F.xxhash64(host(url_col)).alias("host")).agg(F.count(F.lit(1)).alias("total"))
+    kept = found.join(totals, "host").where(F.col("pages") >= SHARE * F.col("total"))
     # At most 1 / SHARE times as many tokens a host as its pages have on the average.
     return kept.groupBy("host", "total").agg(F.collect_list(F.struct("token", "vector", "place", "pages", "chars")).alias("tokens"))
 

@@ -25,4 +25,4 @@ def test_query(spark, sf_dir, con, name):
 def test_registered():
     names = __spark_entry__.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
