@@ -47,6 +47,8 @@ BLOCK = 250_000
 RECORDS = 2_000
 #: Records on each side that are compared at a time within a tile.
 SIDE = 1_000
+#: Texts that are taken apart at a time.
+_STEP = 256
 
 
 def runs_for(threshold: float, target: float) -> int:
@@ -84,19 +86,22 @@ def embedded(k: int):
     factors = odd_numbers(SKETCH, 11)[:, None]
 
     def run(texts: pa.Array) -> pa.Array:
-        rows = []
-        for own in _sets(texts, k):
+        sums = np.zeros((len(texts), 2), dtype=np.int64)
+        sizes = np.zeros(len(texts), dtype=np.int32)
+        sketches = np.zeros((len(texts), SKETCH), dtype="<u4")
+        for row, own in enumerate(_sets(texts, k)):
             if not len(own):
-                rows.append(None)
                 continue
             low = np.full(SKETCH, np.iinfo(np.uint64).max, dtype=U64)
             for s in range(0, len(own), 4096):
                 np.minimum(low, (own[s:s + 4096] * factors).min(axis=1), out=low)
-            rows.append({
-                "c1": int(own.sum().astype(np.int64)), "c2": int(mix(own ^ U64(0xA5A5A5A55A5A5A5A)).sum().astype(np.int64)),
-                "n": len(own), "sketch": (low >> U64(32)).astype("<u4").tobytes(),
-            })
-        return pa.array(rows, type=_SET)
+            sums[row] = own.sum().astype(np.int64), mix(own ^ U64(0xA5A5A5A55A5A5A5A)).sum().astype(np.int64)
+            sizes[row] = len(own)
+            sketches[row] = low >> U64(32)
+        return pa.StructArray.from_arrays([
+            pa.array(sums[:, 0]), pa.array(sums[:, 1]), pa.array(sizes),
+            pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * SKETCH), len(texts), [None, pa.py_buffer(sketches)]).cast(pa.binary()),
+        ], fields=list(_SET), mask=pa.array(sizes == 0))
 
     return F.arrow_udf(run, SET_DDL)
 
@@ -180,28 +185,43 @@ def _compared(batches: Iterator[pa.RecordBatch], agree: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array(u[own]), pa.array(u[label[own]])], names=["u", "v"])
 
 
-def verified(rows: DataFrame, threshold: float, k: int) -> DataFrame:
-    """``u, v, linked``: for every record and tile in which it has links, the documents that it is linked to there
-    and a record of the same component.
+_PLACED_DDL = "u bigint, w bigint, root bigint, blocks int, shingles binary"
+
+
+def _shingled(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The shingles in place of the texts. Equal rows follow each other as the join leaves them; one of them stays."""
+    last = None
+    for batch in batches:
+        u = batch.column("u").to_numpy()
+        new = np.flatnonzero(np.concatenate(([len(u) > 0 and u[0] != last], u[1:] != u[:-1]))[:len(u)])
+        last = u[-1] if len(u) else last
+        for s in range(0, len(new), _STEP):
+            part = batch.take(pa.array(new[s:s + _STEP]))
+            own = pa.array([x.tobytes() for x in _sets(part.column("text"), k)], type=pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in ("u", "w", "root", "blocks")), own], names=["u", "w", "root", "blocks", "shingles"],
+            )
 
-    ``rows``: u, w (documents of this set), root, blocks (of the root's records), text."""
-    def shingled(found: pa.Array) -> pa.Array:
-        return pa.array([s.tobytes() for s in _sets(found, k)], type=pa.binary())
 
-    placed = rows.select(
-        "u", "w", "root", "blocks", F.pmod(F.xxhash64("u"), "blocks").cast("int").alias("block"),
-        F.arrow_udf(shingled, "binary")("text").alias("shingles"),
+def verified(rows: DataFrame, threshold: float, k: int, count: bool = True) -> DataFrame:
+    """``u, v, linked``: for every record and tile in which it has links, the documents that it is linked to there
+    and a record of the same component. Without ``count`` pairs that are connected already are not looked at, and
+    ``linked`` is only above zero.
+
+    ``rows``: u, w (documents of this set), root, blocks (of the root's records), text; equal rows one after another."""
+    placed = rows.mapInArrow(lambda b: _shingled(b, k), _PLACED_DDL).withColumn(
+        "block", F.pmod(F.xxhash64("u"), "blocks").cast("int"),
     )
     tiles = placed.select(
         "u", "w", "root", "block", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     ).select("u", "w", "root", "block", "shingles", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     keys = ["root", "x", "y"]
     return tiles.repartition(*keys).sortWithinPartitions(*keys, "u").mapInArrow(
-        lambda b: _linked(b, threshold), "u bigint, v bigint, linked bigint",
+        lambda b: _linked(b, threshold, count), "u bigint, v bigint, linked bigint",
     )
 
 
-def _linked(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], threshold: float, count: bool = True) -> Iterator[pa.RecordBatch]:
     keys = ["root", "x", "y"]
     for table in whole_groups(batches, keys):
         key = np.stack([table.column(c).to_numpy() for c in keys])
@@ -222,6 +242,8 @@ def _linked(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
                 # A block with itself: each pair of parts once.
                 for t in range(s if two is one else 0, len(two), SIDE):
                     x, y = one[s:s + SIDE], two[t:t + SIDE]
+                    if not count and (label[x] == label[x[0]]).all() and (label[y] == label[x[0]]).all():
+                        continue
                     link = _similar([sets[i] for i in own[x]], [sets[i] for i in own[y]], threshold)
                     same = two is one and s == t
                     if same:
@@ -263,13 +285,13 @@ def _similar(one: list[np.ndarray], two: list[np.ndarray], threshold: float) ->
 
 
 def similar_groups(
-    documents: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, k: int = K,
+    documents: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, k: int = K, count: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """The rows' sets (``doc_id, key, c1, c2, n``; key is a hash of the text) and, for each set, its class:
     ``c1, c2, class_id, class_key, n_links``.
 
     A class is a connected component of links; its id is its smallest doc_id. n_links counts the other documents that
-    a document is linked to, copies included.
+    a document is linked to, copies included; without ``count`` it is not to be used.
     """
     key = F.xxhash64("text")
     rows = written(
@@ -293,7 +315,7 @@ def similar_groups(
     texts = documents.select("doc_id", "text", key.alias("key")).join(
         wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("own")),
     ).select("u", "w", "root", "blocks", "text")
-    links = written(verified(texts, threshold, k), "links")
+    links = written(verified(texts, threshold, k, count), "links")
     counts = links.groupBy("u").agg(F.sum("linked").alias("linked"))
     classes = connected(links, "u", "v").withColumnRenamed("id", "u")
     named = records.join(counts, "u", "left").join(classes, "u", "left").select(
@@ -317,7 +339,7 @@ def join(documents: DataFrame, **options) -> DataFrame:
 
 def one_of_each(documents: DataFrame, **options) -> DataFrame:
     """One document of each class, the one with the smallest id; columns as they were."""
-    rows, classes = similar_groups(documents, **options)
+    rows, classes = similar_groups(documents, count=False, **options)
     own = rows.filter("c1 is not null").join(classes, ["c1", "c2"])
     keep = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key"))
     # What goes, and rows that are there several times; the rest needs no mark.

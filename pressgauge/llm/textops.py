@@ -1,7 +1,9 @@
 """Vectorised text work on Arrow batches: words, shingles and substring hashes of many documents at once.
 
 A word is a longest run of ASCII letters, ASCII digits and non-ASCII characters of the lower-cased text. A null text
-is an empty one. Batches are cut into pieces of about a megabyte, so the memory of a task does not follow the batch.
+is an empty one. Batches are cut into pieces of about a megabyte before anything is made of them, so besides the batch
+itself the memory of a task follows the piece. Nothing is kept between pieces: functions travel to the executors by
+value, and what each copy of them held would stay in a worker for long.
 """
 
 from __future__ import annotations
@@ -40,24 +42,11 @@ _WORD[128:] = True
 for _range in (b"09", b"az", b"AZ"):
     _WORD[_range[0]:_range[1] + 1] = True
 
-class _Cache(dict):
-    """Stays behind when the functions that use it are sent to an executor."""
 
-    def __reduce__(self):
-        return _Cache, ()
-
-
-_powers = _Cache()
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    known = _powers.get(base)
-    if known is None or len(known) < n:
-        size = max(n, 2 * PIECE_BYTES)
-        steps = np.full(size, base, dtype=U64)
-        steps[0] = 1
-        known = _powers[base] = np.multiply.accumulate(steps)
-    return known
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, dtype=U64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
 
 
 class Piece:
@@ -65,15 +54,15 @@ class Piece:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, first: int):
         self.data, self.offsets, self.first, self.n_docs = data, offsets, first, len(offsets) - 1
-        self._sums = None
+        self._sums = self._inverse = None
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the byte ranges [start, end)."""
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, dtype=U64)
-            np.cumsum(_BYTE[self.data] * _power(_BASE, len(self.data) + 1)[:len(self.data)], out=self._sums[1:])
-        inverse = _power(pow(_BASE, -1, 1 << 64), len(self.data) + 1)
-        h = (self._sums[end] - self._sums[start]) * inverse[start]
+            np.cumsum(_BYTE[self.data] * _powers(_BASE, len(self.data)), out=self._sums[1:])
+            self._inverse = _powers(pow(_BASE, -1, 1 << 64), len(self.data) + 1)
+        h = (self._sums[end] - self._sums[start]) * self._inverse[start]
         return mix(h ^ ((end - start).astype(U64) * U64(0xD6E8FEB86659FD93)))
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,19 +81,20 @@ def pieces(texts: pa.Array, lower: bool = True) -> Iterator[Piece]:
     """The documents of a string array in pieces of about PIECE_BYTES; a longer document is a piece of its own."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if lower:
-        texts = pc.utf8_lower(texts)
-    n = len(texts)
-    if n == 0:
+    if len(texts) == 0:
         return
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + n + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    sizes = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     row = 0
-    while row < n:
-        end = int(np.searchsorted(offsets, offsets[row] + PIECE_BYTES, side="right")) - 1
-        end = min(max(end, row + 1), n)
-        yield Piece(data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row], row)
+    while row < len(texts):
+        end = int(np.searchsorted(sizes, sizes[row] + PIECE_BYTES, side="right")) - 1
+        end = min(max(end, row + 1), len(texts))
+        part = texts.slice(row, end - row)
+        if lower:
+            part = pc.utf8_lower(part)
+        offsets = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset:part.offset + len(part) + 1]
+        data = np.frombuffer(part.buffers()[2] or b"", dtype=np.uint8)
+        yield Piece(data[offsets[0]:offsets[-1]], offsets - offsets[0], row)
         row = end
 
 
