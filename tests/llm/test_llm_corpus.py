@@ -5,6 +5,7 @@ import collections
 import gzip
 import hashlib
 import itertools
+import os
 import random
 
 import duckdb
@@ -18,6 +19,7 @@ from pressgauge.llm import (
     decontaminate, fingerprints, jaccard_join, licenses, mixing, pii, preference, toxicity, url_filter, warc,
 )
 
+ROOT = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -109,6 +111,78 @@ def test_join_of_many_short_near_copies(spark, monkeypatch):
     assert tiles == [5]
 
 
+def test_connected_tiles_are_not_counted():
+    """Without counts the components of a tile are the same."""
+    rng = random.Random(4)
+    base = [prose(rng, 60) for _ in range(3)]
+    texts = [edit(rng, rng.choice(base), rng.randrange(0, 3)) for _ in range(120)]
+    sets = [x.tobytes() for x in jaccard_join._sets(pa.array(texts), 5)]
+    table = pa.table({
+        "root": pa.array([0] * 120), "x": pa.array([0] * 120), "y": pa.array([1] * 120), "u": pa.array(range(120)),
+        "w": pa.array([1] * 120), "block": pa.array([k % 2 for k in range(120)]), "shingles": pa.array(sets),
+    })
+
+    def classes(count):
+        label = list(range(120))
+        for batch in jaccard_join._linked(iter(table.to_batches()), 0.8, count):
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+                old, new = max(label[u], label[v]), min(label[u], label[v])
+                label = [new if x == old else x for x in label]
+        return label
+
+    assert classes(True) == classes(False)
+
+
+def test_repeated_rows_are_one():
+    """A row that comes very often, over many batches, is taken apart once."""
+    batch = pa.RecordBatch.from_pydict({
+        "u": pa.array([1, 1, 2, 3] + [3] * 5000), "w": pa.array([1] * 5004), "root": pa.array([1] * 5004),
+        "blocks": pa.array([1] * 5004, pa.int32()), "text": pa.array(["a b c d e f"] * 5004),
+    })
+    rest = batch.slice(100)
+    out = pa.Table.from_batches(list(jaccard_join._shingled(iter([batch, rest, batch.slice(0, 0), rest, batch.slice(2, 1)]), 5)))
+    assert out.column("u").to_pylist() == [1, 2, 3, 2]
+
+
+def test_one_row_very_often(spark):
+    """A third of all rows is one row that has near copies."""
+    rng = random.Random(8)
+    base = prose(rng, 60)
+    rows = [(5, base)] * 20_000 + [(k, edit(rng, base, 1)) for k in range(10, 40)] + [(k, prose(rng, 20)) for k in range(100, 500)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [r.doc_id for r in jaccard_join.one_of_each(frame).collect()]
+    assert sorted(kept) == [5, *range(100, 500)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.join(frame).distinct().collect()}
+    assert got[5] == (5, 20_029) and all(got[k][0] == 5 for k in range(10, 40))
+
+
+def test_functions_leave_nothing_behind():
+    """A worker that gets the function anew for each task keeps nothing of the earlier ones."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, pickle, numpy as np, pyarrow as pa, gc
+from pyspark import cloudpickle
+from pressgauge.llm import jaccard_join
+gc.disable()
+texts = pa.array(["".join(chr(97 + x) for x in np.random.default_rng(k).integers(0, 26, 100)) * 400 for k in range(200)])
+sent = cloudpickle.dumps((jaccard_join._sets,))
+def use():
+    sets, = pickle.loads(sent)
+    for _ in sets(texts, 5):
+        pass
+use(); use()
+first = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for _ in range(12):
+    use()
+print(first, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=ROOT).stdout
+    first, last = map(int, out.split())
+    assert last < 1.15 * first
+
+
 def test_a_tile_of_many_records_takes_little_memory():
     import tracemalloc
 

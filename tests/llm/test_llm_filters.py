@@ -52,7 +52,7 @@ def test_decontamination_against_edit_distance(spark):
         texts += [(300 + k, prose(rng, 9) + " " + t[:30] + " " + prose(rng, 9)), (310 + k, prose(rng, 9000) + " " + t)]
     frame = docs(spark, texts)
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.find(frame, bench).collect()}
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.find(frame, bench, **decontaminate.LARGE).collect()}
 
     def norm(text):
         return re.sub(r"[^a-z0-9]+", " ", (text or "").lower()).strip()
@@ -72,9 +72,9 @@ def test_decontamination_against_edit_distance(spark):
         assert 0 <= r["start"] < r["end"] <= len(text)
         if r["edits"] == 0 and d < 40:
             assert norm(text[r["start"]:r["end"]]) in norm(plain[k])
-    kept = {r["doc_id"] for r in decontaminate.remove(frame, bench).collect()}
+    kept = {r["doc_id"] for r in decontaminate.remove(frame, bench, **decontaminate.LARGE).collect()}
     assert kept == {d for d, _ in texts} - {d for d, _ in got}
-    assert decontaminate.remove(frame, bench).columns == frame.columns
+    assert decontaminate.remove(frame, bench, **decontaminate.LARGE).columns == frame.columns
     assert decontaminate.find(frame, bench.limit(0)).count() == 0
     assert decontaminate.find(frame.limit(0), bench).count() == 0
 
@@ -100,7 +100,7 @@ def test_decontamination_of_passages_at_every_offset(spark):
         return re.sub(r"[^a-z0-9]+", " ", text.lower()).strip()
 
     bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
-    got = {r["doc_id"]: r for r in decontaminate.find(docs(spark, texts), bench, **decontaminate.WHOLE).collect()}
+    got = {r["doc_id"]: r for r in decontaminate.find(docs(spark, texts), bench).collect()}
     assert must <= set(got) and len(must) > 700
     for d, text in texts[::100]:
         near = min(infix_distance(item[s:s + size], norm(text)) for s in range(len(item) - size + 1))
@@ -136,7 +136,7 @@ def test_decontamination_by_short_items(spark):
     rows = [*items.items(), (100, items[7]), (100, items[7]), (101, "?!"), (102, None)]
     bench = spark.createDataFrame(rows, "item_id bigint, text string")
     frame = docs(spark, texts).coalesce(1)
-    found = decontaminate.find(frame, bench, **decontaminate.WHOLE).collect()
+    found = decontaminate.find(frame, bench).collect()
     got = {(r["doc_id"], r["item_id"]) for r in found}
     assert got == expected | {(d, 100) for d, n in expected if n == 7} and len(got) == len(found)
     for r in found:
@@ -144,10 +144,10 @@ def test_decontamination_by_short_items(spark):
             item = items[7 if r["item_id"] == 100 else r["item_id"]]
             own = dict(texts)[r["doc_id"]][r["start"]:r["end"]].lower()
             assert re.sub(r"[^a-z0-9]+", " ", own) == item
-    kept = {r["doc_id"] for r in decontaminate.remove(frame, bench, **decontaminate.WHOLE).collect()}
+    kept = {r["doc_id"] for r in decontaminate.remove(frame, bench).collect()}
     assert kept == {d for d, _ in texts} - {d for d, _ in got}
     only = spark.createDataFrame([(7, items[7])], "item_id bigint, text string")
-    assert {r["doc_id"] for r in decontaminate.find(frame, only, **decontaminate.WHOLE).collect()} == {d for d, n in expected if n == 7}
+    assert {r["doc_id"] for r in decontaminate.find(frame, only).collect()} == {d for d, n in expected if n == 7}
 
 
 def test_decontamination_in_parts(spark, monkeypatch):
@@ -161,6 +161,61 @@ def test_decontamination_in_parts(spark, monkeypatch):
     assert decontaminate.remove(frame, bench).count() == 0
 
 
+def _frequencies(rng, n):
+    """Prose of invented words as frequent as words are."""
+    words = [prose(random.Random(k), 1) for k in range(3000)]
+    weight = [1 / (k + 2.7) for k in range(len(words))]
+    return " ".join(rng.choices(words, weight, k=n))
+
+
+def _hits(items, texts, windows=decontaminate.WINDOWS):
+    index = decontaminate.Index(items, windows=windows)
+    return sorted(
+        (piece.first + d, *sorted(hit.items()))
+        for piece in decontaminate.pieces(pa.array(texts)) for d, hit in decontaminate._found(index, piece)
+    )
+
+
+def test_decontamination_frequent_grams(monkeypatch):
+    """Leaving frequent q-grams out of the count, and searching in short runs, changes nothing."""
+    rng = random.Random(13)
+    items = [(k, _frequencies(rng, 60)) for k in range(120)] + [(200, "0 " * 150), (201, "0 " * 150), (202, _frequencies(rng, 9))]
+    texts = [_frequencies(rng, 400) for _ in range(20)]
+    for k in range(0, 120, 5):
+        own = list(items[k][1])
+        for at in rng.sample(range(len(own)), k // 6):
+            own[at] = rng.choice(["q", "", "zz"])
+        texts.append(_frequencies(rng, 50) + " " + "".join(own) + " " + _frequencies(rng, 50))
+    texts += ["0 " * 900, "x " + "0 " * 30]
+    now = _hits(items, texts)
+    assert {h[0] for h in now} >= {20, 21, 22, len(texts) - 2, len(texts) - 1}
+    monkeypatch.setattr(decontaminate, "PAIRS", 500)
+    assert _hits(items, texts) == now
+    monkeypatch.setattr(decontaminate, "FREQUENT", 1 << 40)
+    assert _hits(items, texts) == now
+    monkeypatch.undo()
+    monkeypatch.setattr(decontaminate, "SHARED", 1)
+    monkeypatch.setattr(decontaminate, "FREQUENT", 1)
+    assert _hits(items, texts) == now
+
+
+def test_decontamination_memory():
+    """Memory follows neither the benchmark times the text nor repetition."""
+    import tracemalloc
+
+    rng = random.Random(14)
+    own = _frequencies(rng, 20_000)
+    many = [(k, own[s:s + 400]) for k, s in enumerate(range(0, len(own), 400))]
+    for items, text in ((many, _frequencies(rng, 20_000)), ([(1, "0 " * 150)], "0 " * 8000), ([(1, "0 1 2 " * 3000)], "0 1 2 " * 5000)):
+        index = decontaminate.Index(items)
+        tracemalloc.start()
+        for piece in decontaminate.pieces(pa.array([text])):
+            for _ in decontaminate._found(index, piece):
+                pass
+        assert tracemalloc.get_traced_memory()[1] < 200e6
+        tracemalloc.stop()
+
+
 # -- 2 ---------------------------------------------------------------------------------------------------------
 
 
