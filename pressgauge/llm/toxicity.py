@@ -3,7 +3,7 @@
 ``P(grade > k) = 1 / (1 + exp(cut_k - w x))`` for ordered cuts: one weight per text feature is shared by all
 thresholds. Features are words and the first four and five bytes of words, hashed; a document's value of a feature is
 ``log(1 + count)``. The labels say toxic or not; among the toxic ones the grade (1 mild, 2 medium, 3 severe) comes
-from the thirds of the share of words with a toxic-only feature. The result is the expected grade, and a
+from the thirds of the number of their words with a toxic-only feature. The result is the expected grade, and a
 document is toxic when grade 1 or more is likelier than ``reject``.
 
 The model is fitted on a bounded sample: the MAX_LABELLED labelled documents with the smallest hashes of their ids.
@@ -144,8 +144,11 @@ def trained(documents: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -
     own = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     counted = F.arrow_udf(_counted, "struct<number array<int>, count array<int>>")
-    # The sample has at most ``most`` pairs of numbers, so it can go to every task. A repeated document counts once.
-    found = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    # The sample has at most ``most`` pairs of numbers, so it can go to every task. A repeated document counts once;
+    # of several texts of an id the one with the smallest hash is taken.
+    found = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"),
+    )
     table = found.select("doc_id", "toxic", counted("text").alias("x")).orderBy("doc_id").toArrow()
     x = table.column("x").combine_chunks()
     parts = [
