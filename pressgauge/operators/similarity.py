@@ -9,10 +9,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import Tokeniser, normalise_delimiters, segment_gate, words
-from pressgauge.session import ensure_checkpoint_dir
+from pressgauge.session import run_path
 
 #: Terms of a user in one slice of the basket's pairs.
 SLICE = 1000
+#: Levels of basket sizes in each doubling.
+LEVELS = 4
 
 
 def search_terms(
@@ -50,34 +52,94 @@ def term_cosine(
     cosine = n(a, b) / sqrt(n(a) n(b)) over distinct users; terms with fewer than ``support`` users take no part, nor
     pairs below ``min_cosine``; with ``top`` only the best pairs of each term stay, ties by the other term.
 
-    Terms travel as numbers. Users are joined with themselves and their pairs counted map-side before they are
-    shuffled by pair. A user's terms are dealt to slices of about SLICE, each of which gets all of the user's terms as
-    second ones, so a basket of any size is the work of many tasks and never a list.
+    Terms travel as numbers with their counts, so the cosine stands right behind the one shuffle of pairs and names
+    are joined to what is left. Users are joined with themselves and their pairs counted map-side before they are
+    shuffled. A user's terms are dealt to slices of about SLICE, each of which gets all of the user's terms as second
+    ones, so a basket of any size is the work of many tasks and never a list.
+
+    With ``min_cosine`` pairs are made only of users that a close pair must share, see `close_pairs`.
     """
     spark = baskets.sparkSession
-    ensure_checkpoint_dir(spark)
     counts = baskets.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
-    # Numbers in the order of nothing in particular; they must not change, so the table is cut off here.
-    numbered = counts.withColumn("no", F.monotonically_increasing_id()).checkpoint()
-    coded = baskets.join(numbered, "term").select("user_id", "no")
-    sizes = coded.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
-    sized = coded.join(sizes, "user_id")
-    left = sized.select("user_id", F.pmod(F.xxhash64("no"), "slices").cast("int").alias("slice"), F.col("no").alias("a"))
-    right = sized.select("user_id", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.col("no").alias("b"))
-    together = left.join(right, ["user_id", "slice"]).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("together"))
-
-    def named(side: str) -> DataFrame:
-        return numbered.select(F.col("no").alias(side), F.col("term").alias(f"t_{side}"), F.col("n").alias(f"n_{side}"))
-
+    # Tables, so that their sizes are known and nothing is computed twice. The numbers must not change.
+    terms = _table(counts.withColumn("no", F.monotonically_increasing_id()), "terms")
+    coded = _table(baskets.join(terms, "term").select("user_id", "no", "n"), "term-users")
+    counted = close_pairs(coded, min_cosine) if min_cosine > 0 else _together(_pairs(coded, coded).where("a < b"))
     cosine = F.col("together") / F.sqrt((F.col("n_a") * F.col("n_b")).cast("double"))
-    pairs = together.join(named("a"), "a").join(named("b"), "b").select(
-        F.least("t_a", "t_b").alias("term_a"), F.greatest("t_a", "t_b").alias("term_b"), "together", cosine.alias("cosine"),
+    pairs = counted.select("a", "b", "together", cosine.alias("cosine")).where(F.col("cosine") >= min_cosine)
+    for side in ("a", "b"):
+        pairs = pairs.join(terms.select(F.col("no").alias(side), F.col("term").alias(f"t_{side}")), side)
+    pairs = pairs.select(
+        F.least("t_a", "t_b").alias("term_a"), F.greatest("t_a", "t_b").alias("term_b"), "together", "cosine",
     )
-    if min_cosine > 0:
-        pairs = pairs.where(F.col("cosine") >= min_cosine)
     return pairs if top is None else _best(pairs, top)
 
 
+def _table(df: DataFrame, name: str) -> DataFrame:
+    path = run_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _pairs(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Terms ``a, n_a`` of the first with the terms ``b, n_b`` of the second of the same user, and other columns."""
+    sizes = first.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
+    left = first.join(sizes, "user_id").withColumn("slice", F.pmod(F.xxhash64("no"), "slices").cast("int")).drop("slices")
+    right = second.join(sizes, "user_id").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    return left.withColumnsRenamed({"no": "a", "n": "n_a"}).join(
+        right.withColumnsRenamed({"no": "b", "n": "n_b"}), ["user_id", "slice"],
+    )
+
+
+def _together(pairs: DataFrame, *more: str) -> DataFrame:
+    return pairs.groupBy("a", "b", "n_a", "n_b", *more).agg(F.count(F.lit(1)).alias("together"))
+
+
+def close_pairs(coded: DataFrame, min_cosine: float) -> DataFrame:
+    """``a, b, n_a, n_b, together`` of the pairs of ``user_id, no, n`` whose cosine may reach ``min_cosine`` > 0; those
+    that reach it are among them, with their exact numbers of common users.
+
+    Users come in levels by the size of their baskets, small ones first. Of a pair with n(a) <= n(b) at least
+    ``t n(a)`` and ``t^2 n(b)`` users are common, so its first common user is among the first ``n - least + 1`` of
+    either term. A term's head is the levels that hold these; only heads are joined, and only terms whose counts allow
+    the cosine. A pair whose common users in both heads and in what lies beyond them can't be enough goes; for the
+    others the rest is counted. What is left out are the largest baskets, where most pairs come from.
+    """
+    t = min_cosine
+    sizes = coded.groupBy("user_id").agg(F.count(F.lit(1)).alias("size"))
+    leveled = coded.join(sizes, "user_id").withColumn("level", F.floor(F.log2("size") * LEVELS).cast("int")).drop("size")
+    # A term has at most some 100 levels, whatever its number of users.
+    levels = leveled.groupBy("no", "n", "level").agg(F.count(F.lit(1)).alias("users"))
+    to = F.sum("users").over(W.partitionBy("no").orderBy("level"))
+
+    def head(share: float):
+        least = F.greatest(F.ceil(F.col("n") * share - 1e-9), F.lit(1))
+        return F.min(F.when(F.col("to") >= F.col("n") - least + 1, F.struct("level", "to")))
+
+    heads = levels.withColumn("to", to).groupBy("no").agg(head(t).alias("small"), head(t * t).alias("large"))
+    placed = _table(leveled.join(heads, "no").select(
+        "user_id", "no", "n", "level", F.col("small.level").alias("small"), F.col("large.level").alias("large"),
+        (F.col("n") - F.col("small.to")).alias("small_rest"), (F.col("n") - F.col("large.to")).alias("large_rest"),
+    ), "term-levels")
+    first = placed.where("level <= small").select("user_id", "no", "n", "small", "small_rest")
+    second = placed.where("level <= large").select("user_id", "no", "n", "large", "large_rest")
+    fits = ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))) & (
+        F.col("n_a") >= t * t * F.col("n_b") - 1e-9
+    )
+    found = _together(_pairs(first, second).where(fits), "small", "large", "small_rest", "large_rest")
+    rest = F.least(F.col("n_a") - F.col("together"), F.col("small_rest") + F.col("large_rest"))
+    wanted = t * F.sqrt((F.col("n_a") * F.col("n_b")).cast("double")) - 1e-9
+    found = _table(found.where(F.col("together") + rest >= wanted), "term-pairs")
+    # Common users beyond either head.
+    beyond = found.where("small_rest + large_rest > 0").select("a", "b", F.least("small", "large").alias("from"))
+    of_a = placed.select(F.col("no").alias("a"), "user_id", "level")
+    of_b = placed.select(F.col("no").alias("b"), "user_id")
+    more = beyond.join(of_a, "a").where(F.col("level") > F.col("from")).join(of_b, ["b", "user_id"])
+    more = more.groupBy("a", "b").agg(F.count(F.lit(1)).alias("more"))
+    total = F.col("together") + F.coalesce("more", F.lit(0))
+    return found.join(more, ["a", "b"], "left").select("a", "b", "n_a", "n_b", total.alias("together"))
+
+
 def _best(pairs: DataFrame, top: int) -> DataFrame:
     """Pairs that are among the best ``top`` of either of their terms."""
     w = W.partitionBy("term").orderBy(F.desc("cosine"), "other")

@@ -63,3 +63,40 @@ def test_pairs_are_counted_before_the_shuffle(spark):
     df = spark.createDataFrame([("u", "a"), ("u", "b")], "user_id string, term string")
     plan = similarity.term_cosine(df, 1)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count(1)" in plan
+
+
+@pytest.mark.parametrize("least", [0.1, 0.3, 0.5, 0.8, 1.0])
+def test_close_pairs_with_large_baskets(spark, least):
+    """Some users have most terms; pairs are found although their baskets are looked at last."""
+    rng = random.Random(6)
+    vocab = [f"t{k}" for k in range(40)]
+    baskets = {f"u{u}": set(rng.sample(vocab[:30], rng.randint(1, 4))) for u in range(60)}
+    for u in range(8):
+        baskets[f"large{u}"] = set(rng.sample(vocab, 30))
+    baskets["twins"] = baskets["twins again"] = {"t38", "t39", "x", "y"}
+    df = spark.createDataFrame([(u, t) for u, b in baskets.items() for t in b], "user_id string, term string")
+    got = {
+        (r["term_a"], r["term_b"]): (r["together"], round(r["cosine"], 9))
+        for r in similarity.term_cosine(df, 2, min_cosine=least).collect()
+    }
+    assert got == {p: x for p, x in brute(baskets, 2).items() if x[1] >= least - 1e-12} and got
+
+
+def test_close_pairs_make_fewer(spark, monkeypatch):
+    """Pairs that are made before they are counted, with and without a least cosine."""
+    rng = random.Random(7)
+    vocab = [f"t{k}" for k in range(60)]
+    baskets = {f"u{u}": set(rng.sample(vocab, 4)) for u in range(400)}
+    baskets |= {f"large{u}": set(vocab) for u in range(5)}
+    df = spark.createDataFrame([(u, t) for u, b in baskets.items() for t in b], "user_id string, term string")
+    made = []
+    plain = similarity._together
+
+    def counted(pairs, *more):
+        made.append(pairs.count())
+        return plain(pairs, *more)
+
+    monkeypatch.setattr(similarity, "_together", counted)
+    similarity.term_cosine(df, 2)
+    similarity.term_cosine(df, 2, min_cosine=0.5)
+    assert made[1] < made[0] / 4
