@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -65,12 +67,15 @@ def upsert_sink(stream: DataFrame, path: str, metric: str, period: str, entity:
                 checkpoint: str) -> StreamingQuery:
     """Keep a metric table up to date from an update-mode aggregate.
 
-    A batch holds the newest value per (period, entity) and replaces it, so a batch that runs again
-    after a failure leaves the same table. It is evaluated once, by the write. Periods that are still open are there.
+    A batch holds the newest value per (period, entity) and replaces it. It is evaluated once, by the write, and
+    committed with the id of the query and its own, so one that runs again after a failure is recognised and not
+    written twice. Periods that are still open are there.
     """
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         rows = tables.metric_rows(batch, metric, period, entity, value)
-        tables.upsert_metrics(batch.sparkSession, path, rows)
+        # The id that the checkpoint was made with: a new checkpoint begins anew.
+        stream_id = json.loads(tables.read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"]
+        tables.upsert_metrics(batch.sparkSession, path, rows, stream_id, number)
 
     return (
         stream.writeStream.outputMode("update").foreachBatch(write)

@@ -102,18 +102,81 @@ def test_upsert_writes_versions(spark, tmp_path, rows):
     for _ in range(2):
         tables.upsert_metrics(spark, path, tables.metric_rows(two, "visit", "p", "e", "v"))
     expected = {("2024-01-01", "A", 1.0), ("2024-01-02", "A", 5.0), ("2024-01-02", "B", 6.0)}
-    # A version that has failed is not seen, nor overwritten.
-    (tmp_path / "m" / "v=4" / "metric=visit" / "period=2024-01-02").mkdir(parents=True)
+    # A part that was never committed is not seen.
+    lost = tmp_path / "m" / "data" / "level=0" / "v=4" / "attempt=x" / "metric=visit" / "period=2024-01-02"
+    lost.mkdir(parents=True)
     assert rows(tables.read_metric_table(spark, path), "period", "entity", "value") == expected
     plan = tables.read_period(spark, path, "visit", "2024-01-02")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("PartitionFilters: [isnotnull(metric") == 3
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(metric" in plan
     tables.compact_metrics(spark, path)
     assert rows(tables.read_metric_table(spark, path), "period", "entity", "value") == expected
-    assert sorted(p.name for p in (tmp_path / "m").iterdir()) == ["base=5", "v=4"]
+    assert not lost.exists() and len(list((tmp_path / "m" / "data").glob("*/*/*"))) == 1
     tables.upsert_metrics(spark, path, tables.metric_rows(one.limit(1), "visit", "p", "e", "v").withColumn("value", F.lit(9.0)))
     assert ("2024-01-01", "A", 9.0) in rows(tables.read_metric_table(spark, path), "period", "entity", "value")
 
 
+def _upsert(spark, path, values, *batch):
+    df = spark.createDataFrame([("2024-01-01", k, float(v)) for k, v in values.items()], "p string, e string, v double").coalesce(1)
+    return tables.upsert_metrics(spark, path, tables.metric_rows(df, "visit", "p", "e", "v"), *batch)
+
+
+def test_many_upserts_leave_few_parts(spark, tmp_path, monkeypatch):
+    """Every write changes some keys; parts are merged in levels, each key's newest value stays."""
+    monkeypatch.setattr(tables, "FANOUT", 3)
+    monkeypatch.setattr(tables, "RETAIN", 2)
+    path, expected = str(tmp_path / "m"), {}
+    for k in range(40):
+        own = {f"e{k % 7}": k, f"e{k % 5}": k + 0.5, "all": -k}
+        expected |= own
+        assert _upsert(spark, path, own, "s", k)
+        parts = tables._table_state(spark, path)[1]["parts"]
+        assert len(parts) <= 2 * (max(p["level"] for p in parts) + 1) and max(p["level"] for p in parts) <= 3
+    got = {r["entity"]: r["value"] for r in tables.read_metric_table(spark, path).collect()}
+    assert got == expected
+    folders, commits = list((tmp_path / "m" / "data").glob("*/*/*")), list((tmp_path / "m" / "commits").glob("0*"))
+    assert len(folders) <= len(parts) + 9 and len(commits) <= 3
+
+
+def test_batches_are_written_once(spark, tmp_path):
+    path = str(tmp_path / "m")
+    assert _upsert(spark, path, {"a": 1}, "s", 0) and _upsert(spark, path, {"a": 2}, "s", 1)
+    assert not _upsert(spark, path, {"a": 9}, "s", 1) and not _upsert(spark, path, {"a": 9}, "s", 0)
+    assert _upsert(spark, path, {"b": 5}, "other", 0) and _upsert(spark, path, {"c": 6})
+    assert len(tables._table_state(spark, path)[1]["parts"]) == 4
+    assert {(r["entity"], r["value"]) for r in tables.read_metric_table(spark, path).collect()} == {("a", 2.0), ("b", 5.0), ("c", 6.0)}
+
+
+def test_crash_between_data_and_commit(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "m")
+    _upsert(spark, path, {"a": 1}, "s", 0)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_commit", fail)
+    with pytest.raises(RuntimeError):
+        _upsert(spark, path, {"a": 2}, "s", 1)
+    monkeypatch.undo()
+    assert {r["value"] for r in tables.read_metric_table(spark, path).collect()} == {1.0}
+    assert _upsert(spark, path, {"a": 2}, "s", 1)
+    assert {r["value"] for r in tables.read_metric_table(spark, path).collect()} == {2.0}
+
+
+def test_two_writers_meet(spark, tmp_path, monkeypatch):
+    """The other writer commits between this one's data and its commit."""
+    path, plain, met = str(tmp_path / "m"), tables._commit, []
+
+    def late(*args):
+        if not met:
+            met.append(1)
+            _upsert(spark, path, {"a": 7, "b": 7})
+        return plain(*args)
+
+    monkeypatch.setattr(tables, "_commit", late)
+    _upsert(spark, path, {"a": 1})
+    assert {(r["entity"], r["value"]) for r in tables.read_metric_table(spark, path).collect()} == {("a", 1.0), ("b", 7.0)}
+
+
 def test_export_text(spark, tmp_path):
     tables.export_text(lines(spark, "a", "b"), str(tmp_path / "out"))
     assert len(list((tmp_path / "out").glob("part-*"))) == 1
