@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,15 +53,24 @@ def hourly_terms(terms: DataFrame, time: str = "ts", delay: str = "1 hour") -> D
 
 def rolling_terms(hourly: DataFrame, until: Column, hours: int = 24) -> DataFrame:
     """``window_start, window_end, user_id, term, n``: sums of the last 24 hours for every full hour up to ``until``,
-    from the table that :func:`hourly_terms` keeps."""
-    back = hourly.select("hour", "user_id", "term", "n", F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias("k"))
-    start = F.col("hour") - F.make_dt_interval(F.lit(0), F.col("k"))
-    spread = back.select(start.alias("window_start"), "user_id", "term", "n")
-    end = F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(hours))
-    return (
-        spread.where(end <= until).groupBy("window_start", "user_id", "term").agg(F.sum("n").alias("n"))
-        .select("window_start", end.alias("window_end"), "user_id", "term", "n")
-    )
+    from the table that :func:`hourly_terms` keeps.
+
+    A count enters the windows that start ``hours - 1`` hours before it and leaves those that start after it. These two
+    changes are summed and shuffled; running sums and the hours between two changes are made behind the shuffle."""
+    hour = F.make_dt_interval(F.lit(0), F.lit(1))
+    changes = hourly.select("user_id", "term", F.inline(F.array(
+        F.struct((F.col("hour") - hour * (hours - 1)).alias("start"), F.col("n").alias("change")),
+        F.struct((F.col("hour") + hour).alias("start"), (-F.col("n")).alias("change")),
+    )))
+    # Columns of the shuffle: a term of a user, whose hours are few.
+    summed = changes.groupBy("user_id", "term", "start").agg(F.sum("change").alias("change"))
+    w = W.partitionBy("user_id", "term").orderBy("start")
+    runs = summed.select(
+        "user_id", "term", "start", F.sum("change").over(w).alias("n"), F.lead("start").over(w).alias("next"),
+    ).where("n > 0")
+    starts = runs.select("user_id", "term", "n", F.explode(F.sequence("start", F.col("next") - hour, hour)).alias("window_start"))
+    end = F.col("window_start") + hour * hours
+    return starts.where(end <= until).select("window_start", end.alias("window_end"), "user_id", "term", "n")
 
 
 def upsert_sink(stream: DataFrame, path: str, metric: str, period: str, entity: str, value: str,
