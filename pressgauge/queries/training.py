@@ -62,12 +62,14 @@ def _unit(text: str) -> str:
 
 
 def _sets(column: str) -> str:
+    """Others in the order of their points from the category's first bin (of 4096) on, as many as there are positives."""
     return f"""WITH docs AS (SELECT doc_id, {column} AS category, {_unit("doc_id || '|doc7'")} AS point FROM documents),
-sizes AS (SELECT category AS target, count(*) AS pos, {_unit("category || '|start7'")} AS start,
-  (SELECT count(*) FROM docs) AS total FROM docs GROUP BY category),
-drawn AS (
-  SELECT target, doc_id, 0 AS label FROM docs JOIN sizes ON category <> target
-  WHERE CASE WHEN point < start THEN point - start + 1 ELSE point - start END < least(pos / CAST(total - pos AS DOUBLE), 1.0)
+sizes AS (SELECT category AS target, count(*) AS pos, floor({_unit("category || '|start7'")} * 4096) AS start
+  FROM docs GROUP BY category),
+placed AS (SELECT target, doc_id, pos, row_number() OVER (
+    PARTITION BY target ORDER BY CASE WHEN floor(point * 4096) < start THEN 1 ELSE 0 END, point, doc_id) AS place
+  FROM docs JOIN sizes ON category <> target),
+drawn AS (SELECT target, doc_id, 0 AS label FROM placed WHERE place <= pos
   UNION ALL SELECT category, doc_id, 1 FROM docs)"""
 
 

@@ -1,3 +1,7 @@
+import hashlib
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from pressgauge.operators import classify, training
@@ -11,10 +15,31 @@ def test_sets_are_balanced_and_whole(spark):
     got = {r["target"]: r for r in training.training_summary(sets).collect()}
     assert got["big"]["positives"] == 4000 and got["big"]["negatives"] == 2000
     for c in (f"c{k}" for k in range(10)):
-        assert got[c]["positives"] == 200 and 120 < got[c]["negatives"] < 290
+        assert got[c]["positives"] == got[c]["negatives"] == 200
     assert sets.groupBy("target", "doc_id").count().where("count > 1").count() == 0
 
 
+@pytest.mark.parametrize("bins", [1, 7, 4096])
+def test_sets_against_brute_force(spark, bins):
+    """Negatives by sorting all others from the category's start on, whatever the bins; uneven points and ties too."""
+    rng = random.Random(bins)
+    docs = [(k, rng.choice("aaaaaabbcdefg")) for k in range(500)] + [(k, "a") for k in range(20)] + [(900, "lone"), (901, None)]
+    df = spark.createDataFrame(docs, "doc_id int, category string")
+
+    def unit(text):
+        return int(hashlib.md5(text.encode()).hexdigest()[:12], 16) / 16**12
+
+    known, expected = [x for x in docs if x[1]], []
+    for target in {c for _, c in known}:
+        own = sum(c == target for _, c in known)
+        start = int(unit(f"{target}|start3") * bins)
+        others = [(k, unit(f"{k}|doc3")) for k, c in known if c != target]
+        others.sort(key=lambda x: (int(x[1] * bins) < start, x[1], x[0]))
+        expected += [(target, k, 0) for k, _ in others[:own]] + [(target, k, 1) for k, c in known if c == target]
+    got = [tuple(r) for r in training.training_sets(df, seed=3, bins=bins).collect()]
+    assert sorted(got) == sorted(expected)
+
+
 def test_single_category_has_no_negatives(spark):
     docs = spark.range(5).select(F.col("id").alias("doc_id"), F.lit("only").alias("category"))
     got = training.training_summary(training.training_sets(docs)).collect()
