@@ -119,28 +119,48 @@ def rule_scores(docs: DataFrame, lexicon: DataFrame, doc: str = "doc_id", tagged
     lists is negative; the place of a word is that of its first equal token in reading order.
     """
     tokens = docs.select(doc, F.posexplode_outer(F.reverse(tagged)).alias("i", "t")).select(doc, "i", "t.word", "t.tag")
-    known = tokens.join(flags(lexicon), "word").repartition(doc).withColumn("flip", _flip([doc]))
-    first_equal = F.first("flip").over(W.partitionBy(doc, "word", "tag").orderBy("i"))
-    charged = known.withColumn("flip", first_equal).where("pos = 1 or neg = 1").select(
-        doc, "i", "flip", (F.col("neg") == 1).alias("bad"), F.contains("tag", F.lit("v")).alias("verb"), F.contains("tag", F.lit("n")).alias("noun"),
+    known = tokens.join(flags(lexicon), "word")
+    # A negator marks two places on either side, the first token only those before it.
+    own = F.array(F.struct("i", "word", "tag", (F.col("neg") == 1).alias("bad"), F.lit(False).alias("mark")))
+    text, flag = F.lit(None).cast("string"), F.lit(None).cast("boolean")
+    marks = F.transform(
+        F.when(F.col("i") > 0, F.array(F.lit(-2), F.lit(-1), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(-2), F.lit(-1))),
+        lambda k: F.struct((F.col("i") + k).alias("i"), text.alias("word"), text.alias("tag"), flag.alias("bad"), F.lit(True).alias("mark")),
     )
-    opening = F.first(F.struct("i", "bad", "verb", "noun", "flip")).over(W.partitionBy(doc).orderBy("i"))
-    o = F.col("o")
-    delta = (
-        F.when(F.col("i") == o["i"], 0)
-        .when(o["verb"] & ~o["bad"] & F.col("noun") & F.col("bad"), -2)
-        .when(o["verb"] & o["bad"] & F.col("noun") & F.col("bad"), 1)
-        .when(o["noun"] & o["bad"] & F.col("noun") & ~F.col("bad"), -1)
-        .otherwise(0)
-    )
-    start = F.when(o["bad"], -1).otherwise(1) * o["flip"]
-    scores = charged.withColumn("o", opening).withColumn("delta", delta).groupBy(doc).agg(
-        (F.max(start) + F.coalesce(
-            F.min_by(F.when(F.col("delta") != 0, F.col("delta") * F.col("flip")), F.when(F.col("delta") != 0, F.col("i"))), F.lit(0),
-        )).alias("score"),
+    none = F.slice(own, 1, 0)
+    rows = known.select(doc, F.inline(F.concat(
+        F.when((F.col("pos") == 1) | (F.col("neg") == 1), own).otherwise(none), F.when(F.col("fou") == 1, marks).otherwise(none),
+    )))
+    # A row of its own keeps a document without such words; what follows is grouped within the document.
+    alone = docs.select(doc, F.lit(None).cast("int").alias("i"), text.alias("word"), text.alias("tag"), flag.alias("bad"), F.lit(False).alias("mark"))
+    placed = rows.unionByName(alone).repartition(doc).groupBy(doc, "i").agg(
+        *(F.max(c).alias(c) for c in ("word", "tag", "bad", "mark")),
+    ).where("word IS NOT NULL OR i IS NULL")
+    equal = W.partitionBy(doc, "word", "tag").orderBy("i")
+    # The first two of equal tokens: one may open, the other one complete a rule. Both flip as the first does.
+    firsts = placed.withColumn("place", F.row_number().over(equal)).withColumn(
+        "flip", F.first(F.when(F.col("mark"), -1).otherwise(1)).over(equal),
+    ).where("place <= 2")
+    verb, noun, bad = F.contains("tag", F.lit("v")), F.contains("tag", F.lit("n")), F.col("bad")
+    entry = F.struct("i", "flip")
+    # Few entries a document: the opening word, negative nouns (lexicon words, twice at most), the first positive noun.
+    folded = firsts.groupBy(doc).agg(
+        F.min(F.when(F.col("word").isNotNull(), F.struct("i", bad, verb.alias("verb"), noun.alias("noun"), "flip"))).alias("o"),
+        F.array_sort(F.collect_list(F.when(noun & bad, entry))).alias("nouns_bad"),
+        F.min(F.when(noun & ~bad, entry)).alias("noun_good"),
     )
-    every = docs.select(doc, F.lit(0).alias("score"))
-    return scores.unionByName(every).groupBy(doc).agg(F.sum("score").cast("int").alias("score"))
+    o = F.col("o")
+    next_bad = F.get(F.filter("nouns_bad", lambda x: x["i"] > o["i"]), F.lit(0))
+
+    def rule(when: Column, found: Column, delta: int) -> Column:
+        return F.when(when & found.isNotNull(), F.struct(found["i"].alias("i"), (found["flip"] * delta).alias("delta")))
+
+    added = F.array_min(F.array_compact(F.array(
+        rule(o["verb"] & ~o["bad"], next_bad, -2), rule(o["verb"] & o["bad"], next_bad, 1),
+        rule(o["noun"] & o["bad"], F.col("noun_good"), -1),
+    )))
+    score = F.when(o["bad"], -1).otherwise(1) * o["flip"] + F.coalesce(added["delta"], F.lit(0))
+    return folded.select(doc, F.coalesce(score, F.lit(0)).cast("int").alias("score"))
 
 
 def rule_sentiment(docs: DataFrame, rule_lexicon: DataFrame, body_lexicon: DataFrame, title_only: bool = False,

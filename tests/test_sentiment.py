@@ -92,3 +92,39 @@ def test_only_lexicon_words_are_shuffled(spark, lex):
     plan = sentiment.document_sentiment(docs, lex)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "SortMergeJoin" in plan
     assert plan.index("REPARTITION_BY_COL") < plan.index("Join")
+
+
+def brute_rule(tagged):
+    """Over all tokens from the end, without any aggregate."""
+    tokens = tagged[::-1]
+    good, bad, no = ({w for p, w in RULE if p == x} for x in ("Pos", "Neg", "Fou"))
+
+    def flip(j):
+        j = tokens.index(tokens[j])
+        near = [k for k in (j - 2, j - 1) if k > 0] + [k for k in (j + 1, j + 2) if k < len(tokens)]
+        return -1 if any(tokens[k][0] in no for k in near) else 1
+
+    opening = None
+    for j, (word, tag) in enumerate(tokens):
+        if word not in good | bad:
+            continue
+        if opening is None:
+            opening, score = (word in bad, tag), (-1 if word in bad else 1) * flip(j)
+            continue
+        was_bad, was = opening
+        if "n" in tag and word in bad and "v" in was:
+            return score + (1 if was_bad else -2) * flip(j)
+        if "n" in tag and word not in bad and "n" in was and was_bad:
+            return score - flip(j)
+    return score if opening else 0
+
+
+def test_rule_scores_equal_brute_force(spark):
+    rng = random.Random(9)
+    words, tags = ["up", "gain", "risk", "fall", "not", "x", "y"], ["v", "n", "vn", "a"]
+    docs = [(k, [(rng.choice(words), rng.choice(tags)) for _ in range(rng.randint(0, 14))]) for k in range(400)]
+    df = spark.createDataFrame(docs, "doc_id int, tagged array<struct<word: string, tag: string>>")
+    scores = sentiment.rule_scores(df, spark.createDataFrame(RULE, "polarity string, word string"))
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(doc_id") == 1
+    assert {r["doc_id"]: r["score"] for r in scores.collect()} == {k: brute_rule(t) for k, t in docs}
