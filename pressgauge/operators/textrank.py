@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from pressgauge.session import shuffle_tasks
@@ -39,53 +45,70 @@ def textrank(
     docs: DataFrame, window: int, steps: int, damping: float = 0.85, doc: str = "doc_id",
     tokens: Column | str = "tokens",
 ) -> DataFrame:
-    """``doc, word, score`` for the words of every document.
+    """``doc, word, score`` for the words of every document, one row per document; a word without any neighbour is left out.
 
     ``tokens`` is a token-array column, or an expression that makes one; an expression is computed after
     the shuffle, so that the text moves and not its tokens.
 
-    The graph of a document is symmetric and never larger than its text, so a document is ranked
-    inside the row that holds it: documents are shuffled once, by ``doc`` (one row per document), and
-    all later grouping keeps that partitioning. No step of the iteration moves data.
+    The graph of a document is symmetric and at most ``window`` edges a token, so documents are shuffled once, by
+    ``doc``, and ranked where they lie, many short ones or one long one at a time: distinct edges as sorted numbers,
+    each step a weighted count over them. Memory and time are linear in the tokens of a document.
     """
     if steps < 1:
         raise ValueError("steps must be positive")
     placed = _by_document(docs.select(doc, tokens) if isinstance(tokens, str) else docs, doc)
-    # Number the words of a document, so that neighbours are positions in its rank array.
-    numbered = (
-        # The outer form: for the plain one Spark adds a test for empty lists that computes the tokens again.
-        placed.select(doc, F.posexplode_outer(tokens).alias("pos", "word")).where(F.col("pos").isNotNull())
-        .withColumn("no", F.dense_rank().over(W.partitionBy(doc).orderBy("word")))
-    )
-    cells = numbered.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("pos", "no", "word"))).alias("cells"))
-    near = neighbourhoods(cells, window, doc, "cells").select(
-        doc, F.col("word.no").alias("no"), F.col("word.word").alias("word"), F.col("neighbours.no").alias("nbs")
-    )
-    lists = _merged(near, "nbs", doc, "no", "word")
-    graphs = lists.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("no", "word", "nbs"))).alias("graph"))
-
-    adjacent = F.col("graph.nbs")
-
-    def step(ranks: Column) -> Column:
-        shares = F.zip_with(ranks, adjacent, lambda r, nbs: r / F.size(nbs))
-        # Binding the shares to a lambda variable computes them once per step.
-        return F.transform(
-            F.array(shares),
-            lambda given: F.transform(
-                adjacent,
-                lambda nbs: F.aggregate(
-                    nbs, F.lit(0.0), lambda acc, j: acc + F.element_at(given, j),
-                    lambda acc: acc * damping + (1.0 - damping),
-                ),
-            ),
-        )[0]
-
-    start = F.array_repeat(F.lit(1.0), F.size("graph"))
-    ranks = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, lambda acc, _: step(acc))
-    return (
-        graphs.select(doc, F.explode(F.arrays_zip(F.col("graph.word").alias("word"), ranks.alias("score"))).alias("r"))
-        .select(doc, "r.word", "r.score")
-    )
+    given = placed.select(doc, (F.col(tokens) if isinstance(tokens, str) else tokens).alias("word"))
+    key, words = given.schema.fields
+    result = T.StructType([key, T.StructField("word", words.dataType.elementType), T.StructField("score", T.DoubleType())])
+    return given.mapInArrow(_ranker(window, steps, damping), result)
+
+
+def _ranker(window: int, steps: int, damping: float):
+    """A function over Arrow batches of documents and their token lists. It holds all it needs, so that executors
+    need not have this package."""
+    piece_tokens = 1 << 20
+
+    def edges(vertex: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Both directions of the distinct pairs of vertices at most ``window`` places apart in a row."""
+        pairs = np.zeros(0, dtype=np.int64)
+        for away in range(1, min(window, len(vertex) - 1) + 1):
+            same = row[:-away] == row[away:]
+            a, b = vertex[:-away][same], vertex[away:][same]
+            pairs = np.union1d(pairs, np.minimum(a, b) * n + np.maximum(a, b))
+        low, high = np.divmod(pairs, n) if len(pairs) else (pairs, pairs)
+        loops = low == high
+        both = np.sort(np.concatenate((pairs, high[~loops] * n + low[~loops])))
+        return np.divmod(both, n) if len(both) else (both, both)
+
+    def ranked(name: str, keys: pa.Array, lists: pa.Array) -> pa.RecordBatch:
+        row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        coded = lists.flatten().dictionary_encode(null_encoding="encode")
+        width = max(len(coded.dictionary), 1)
+        places = row * width + coded.indices.to_numpy(zero_copy_only=False)
+        distinct, vertex = np.unique(places, return_inverse=True)
+        at, to = edges(vertex, row, len(distinct))
+        degree = np.bincount(at, minlength=len(distinct))
+        there = degree > 0
+        rank = np.ones(len(distinct))
+        for _ in range(steps):
+            share = rank / np.maximum(degree, 1)
+            rank = np.bincount(at, weights=share[to], minlength=len(distinct)) * damping + (1.0 - damping)
+        doc, word = np.divmod(distinct[there], width)
+        return pa.RecordBatch.from_arrays(
+            [keys.take(pa.array(doc)), coded.dictionary.take(pa.array(word)), pa.array(rank[there])], names=[name, "word", "score"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            name, (keys, lists) = batch.schema.names[0], batch.columns
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            first, done = 0, 0
+            while first < len(lists):
+                last = max(int(np.searchsorted(ends, done + piece_tokens, side="right")), first + 1)
+                yield ranked(name, keys.slice(first, last - first), lists.slice(first, last - first))
+                first, done = last, int(ends[last - 1])
+
+    return run
 
 
 def by_score(scores: DataFrame, doc: str = "doc_id") -> DataFrame:
