@@ -1,9 +1,13 @@
 """WARC archives: a writer that stores equal payloads once, and a salvage reader.
 
 The reader checks each record: its version line, header block, Content-Length, the two line ends behind it, and the
-SHA-1 digests of block and payload that it claims. After a failed check it searches for the next version line or gzip member that starts a
-valid record, reads on from there, and reports the bytes between as a gap; a damaged archive gives all its sound
-records. Plain archives and archives of one gzip member per record are read; the latter are written.
+SHA-1 digests of block and payload that it claims (``verified`` where there is one of the block). After a failed check
+it searches for the next version line or gzip member that starts a valid record, reads on from there, and reports the
+bytes between as a gap; a damaged archive gives all its sound records. Plain archives and gzip members of any number of
+records are read; members are searched like archives, unzipped a chunk at a time. Of a member that is cut or fails its
+own check, the sound records before the fault are kept and the member is a gap. Gaps and records in members also have
+their places in the unzipped bytes. An archive is one value of a row, so shorter than 2 GB; beyond it a task holds a
+record.
 
 Writer: one record per page, payload the html in UTF-8. Of pages with equal payloads of at least ``least`` bytes the
 one with the smallest page_id is a response and the others are revisits that refer to it; smaller ones are all
@@ -23,7 +27,7 @@ import gzip
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,8 +44,16 @@ VERSION = b"WARC/1.1"
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-_VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r?\n")
-_MEMBER = b"\x1f\x8b\x08"
+#: The longest header block that is looked for, and the longest block that a value of a row can hold.
+HEAD_BYTES = 1 << 20
+VALUE_BYTES = (1 << 31) - 64
+
+_VERSION_LINE = re.compile(rb"WARC/\d{1,3}\.\d{1,3}\r?\n")
+_BEGIN = re.compile(rb"WARC/\d{1,3}\.\d{1,3}\r?\n|\x1f\x8b\x08")
+_BLANK = re.compile(rb"\r\n\r\n")
+#: No version line is longer.
+_LINE = 16
+_FEED, _UNZIP = 1 << 16, 1 << 20
 
 
 def payload_digest(payload: bytes) -> str:
@@ -121,16 +133,58 @@ class Damaged(Exception):
     """A failed check of a record."""
 
 
-def _parse(data: bytes, at: int) -> tuple[dict, int]:
+class Source:
+    """Bytes by their places: a whole buffer, or one that chunks fill and that is dropped behind the reader."""
+
+    def __init__(self, buffer: memoryview | bytearray, chunks: Iterable[bytes] = ()):
+        self.buffer, self.base, self.chunks = buffer, 0, iter(chunks)
+
+    def reach(self, end: int) -> bool:
+        """Whether there are bytes up to a place."""
+        while self.base + len(self.buffer) < end:
+            chunk = next(self.chunks, None)
+            if chunk is None:
+                return False
+            self.buffer += chunk
+        return True
+
+    def drop(self, at: int) -> None:
+        if isinstance(self.buffer, bytearray):
+            del self.buffer[:at - self.base]
+            self.base = at
+
+    def part(self, start: int, end: int) -> bytes:
+        return bytes(self.buffer[start - self.base:end - self.base])
+
+    def find(self, pattern: re.Pattern, at: int, most: int | None = None) -> int:
+        """The place of the first match from a place on, or -1; without a limit, what was searched is dropped."""
+        begin = at
+        while True:
+            hit = pattern.search(self.buffer, at - self.base)
+            if hit:
+                return self.base + hit.start()
+            size = self.base + len(self.buffer)
+            at = max(at, size - _LINE)
+            if most is None:
+                self.drop(at)
+            elif size - begin > most:
+                return -1
+            if not self.reach(size + 1):
+                return -1
+
+
+def _parse(source: Source, at: int) -> tuple[dict, int]:
     """The record that begins at a place, and the place behind it."""
-    line = _VERSION_LINE.match(data, at)
+    source.reach(at + _LINE)
+    line = _VERSION_LINE.match(source.buffer, at - source.base)
     if not line:
         raise Damaged("no version line")
-    head_end = data.find(b"\r\n\r\n", at)
+    after = at + line.end() - line.start()
+    head_end = source.find(_BLANK, at, HEAD_BYTES)
     if head_end < 0:
         raise Damaged("header block without end")
     fields = {}
-    for row in data[line.end():head_end].split(b"\r\n"):
+    for row in source.part(after, max(after, head_end)).split(b"\r\n"):
         name, colon, value = row.partition(b":")
         if not colon or not name.strip():
             raise Damaged("bad header line")
@@ -138,16 +192,20 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
     if not re.fullmatch(r"[0-9]{1,18}", fields.get("content-length", "")):
         raise Damaged("no content length")
     start, end = head_end + 4, head_end + 4 + int(fields["content-length"])
-    if data[end:end + 4] != b"\r\n\r\n":
+    if end - start > VALUE_BYTES or not source.reach(end + 4) or source.part(end, end + 4) != b"\r\n\r\n":
         raise Damaged("no record end behind the block")
-    block = data[start:end]
+    block = source.part(start, end)
     claimed = fields.get("warc-block-digest", "")
-    if claimed.startswith("sha1:") and claimed != f"sha1:{payload_digest(block)}":
+    verified = claimed.startswith("sha1:")
+    if verified and claimed != f"sha1:{payload_digest(block)}":
         raise Damaged("block digest differs")
     kind = fields.get("warc-type", "")
-    http, blank, payload = block.partition(b"\r\n\r\n") if kind in ("response", "revisit") else (b"", b"", block)
-    if kind in ("response", "revisit") and not blank:
-        raise Damaged("no HTTP header end")
+    http, payload = b"", block
+    # Blocks of other types, as those of dns: responses, have no HTTP head; a revisit's may be empty.
+    if kind in ("response", "revisit") and block and fields.get("content-type", "").lower().startswith("application/http"):
+        http, blank, payload = block.partition(b"\r\n\r\n")
+        if not blank:
+            raise Damaged("no HTTP header end")
     size = len(payload)
     claimed = fields.get("warc-payload-digest", "").removeprefix("sha1:")
     if kind == "revisit":  # has the payload's digest and length, not the payload
@@ -161,41 +219,95 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
     return {
         "record_id": fields.get("warc-record-id"), "record_type": kind, "url": fields.get("warc-target-uri"),
         "payload": payload if kind != "revisit" else None, "payload_bytes": size, "payload_digest": digest,
-        "refers_to": fields.get("warc-refers-to"),
+        "refers_to": fields.get("warc-refers-to"), "verified": verified,
     }, end + 4
 
 
-def _member(data: bytes, at: int) -> tuple[list[dict], int]:
-    """The records of the gzip member that begins at a place, and the place behind it."""
-    unzip, view, end, parts = zlib.decompressobj(wbits=31), memoryview(data), at, []
-    try:
-        while not unzip.eof and end < len(data):
-            parts.append(unzip.decompress(view[end:end + (1 << 16)]))
-            end = min(end + (1 << 16), len(data))
-    except zlib.error as e:
-        raise Damaged(f"gzip: {e}") from None
-    if not unzip.eof:
-        raise Damaged("gzip member without end")
-    plain, after = b"".join(parts), end - len(unzip.unused_data)
-    rows, place = [], 0
-    while place < len(plain):
-        row, place = _parse(plain, place)
-        rows.append(row)
-    return rows, after
-
-
-def salvage(data: bytes) -> Iterator[dict]:
-    """Records and gaps of an archive, in order, with their places: a gap has the reason of the first failed check."""
-    at, lost, reason = 0, None, ""
-    while at < len(data):
+class Member:
+    """The gzip member that begins at a place: its bytes unzipped a chunk at a time, as far as they go, then the place
+    behind it or the failed check."""
+
+    def __init__(self, data: memoryview, at: int):
+        self.data, self.at, self.end, self.failed = data, at, at, None
+
+    def chunks(self) -> Iterator[bytes]:
+        unzip, feed, out = zlib.decompressobj(wbits=31), b"", b""
+        while not unzip.eof:
+            if not feed:
+                feed = self.data[self.end:self.end + _FEED]
+                self.end += len(feed)
+                if not feed and not out:
+                    self.failed = "gzip member without end"
+                    return
+            before = unzip.copy()
+            try:
+                out = unzip.decompress(feed, _UNZIP)
+            except zlib.error as e:
+                self.failed = f"gzip: {e}"
+                yield from _until_error(before, feed)
+                return
+            feed = unzip.unconsumed_tail
+            if out:
+                yield out
+        self.end -= len(unzip.unused_data)
+
+    def rows(self) -> Iterator[dict]:
+        """Records and gaps by their places in the unzipped bytes; no gap at the end of a member that fails itself."""
+        source, at = Source(bytearray(), self.chunks()), 0
+        lost, reason = None, ""
+        while source.reach(at + 1):
+            try:
+                row, after = _parse(source, at)
+            except Damaged as e:
+                if lost is None:
+                    lost, reason = at, str(e)
+                at = source.find(_VERSION_LINE, at + 1)
+                if at < 0:
+                    break
+                continue
+            if lost is not None:
+                yield {"gap": reason, "inner_start": lost, "inner_end": at}
+                lost = None
+            yield {**row, "inner_start": at, "inner_end": after}
+            at = after
+            source.drop(at)
+        if lost is not None and self.failed is None:
+            yield {"gap": reason, "inner_start": lost, "inner_end": source.base + len(source.buffer)}
+
+
+def _until_error(unzip, feed: bytes) -> Iterator[bytes]:
+    """What a failed call would have given before its error."""
+    for k in range(len(feed)):
         try:
-            rows, after = _member(data, at) if data.startswith(_MEMBER, at) else ([(r := _parse(data, at))[0]], r[1])
-        except Damaged as e:
+            yield unzip.decompress(feed[k:k + 1])
+        except zlib.error:
+            return
+
+
+def salvage(data: bytes | pa.Buffer) -> Iterator[dict]:
+    """Records and gaps of an archive with their places; a gap has the reason of the first failed check. A gap is
+    told when its end is known, which is after the records that were recovered from it."""
+    data = memoryview(data).cast("B")
+    source, at, lost, reason = Source(data), 0, None, ""
+    while at < len(data):
+        failed = None
+        if data[at:at + 3] == b"\x1f\x8b\x08":
+            member = Member(data, at)
+            for row in member.rows():
+                yield {**row, "start": at, "end": member.end}
+            failed, after = member.failed, member.end
+            rows = []
+        else:
+            try:
+                row, after = _parse(source, at)
+                rows = [row]
+            except Damaged as e:
+                failed = str(e)
+        if failed:
             if lost is None:
-                lost, reason = at, str(e)
-            line, member = _VERSION_LINE.search(data, at + 1), data.find(_MEMBER, at + 1)
-            places = [p for p in (line.start() if line else -1, member) if p >= 0]
-            at = min(places, default=len(data))
+                lost, reason = at, failed
+            hit = _BEGIN.search(data, at + 1)
+            at = hit.start() if hit else len(data)
             continue
         if lost is not None:
             yield {"gap": reason, "start": lost, "end": at}
@@ -210,10 +322,12 @@ _READ = pa.schema([
     ("archive", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("gap", pa.string()),
     ("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("payload", pa.binary()),
     ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.string()),
+    ("verified", pa.bool_()), ("inner_start", pa.int64()), ("inner_end", pa.int64()),
 ])
 _READ_DDL = (
     "archive string, start bigint, end bigint, gap string, record_id string, record_type string, url string, "
-    "payload binary, payload_bytes bigint, payload_digest string, refers_to string"
+    "payload binary, payload_bytes bigint, payload_digest string, refers_to string, verified boolean, inner_start bigint, "
+    "inner_end bigint"
 )
 
 
@@ -221,7 +335,7 @@ def _salvaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for name, content in zip(batch.column("path"), batch.column("content")):
             rows, size = [], 0
-            for row in salvage(content.as_py()):
+            for row in salvage(content.as_buffer()):
                 rows.append({"archive": name.as_py(), **row})
                 size += row.get("payload_bytes") or 0
                 if size > BATCH_BYTES:
@@ -236,6 +350,17 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(_salvaged, _READ_DDL)
 
 
+def tables(spark: SparkSession, path: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """The records and the gaps of the archives in a folder, written to ``out`` in one reading."""
+    (
+        read(spark, path).withColumn("kind", F.when(F.col("gap").isNull(), "records").otherwise("gaps"))
+        .write.partitionBy("kind").parquet(out)
+    )
+    every = spark.read.schema(_READ_DDL + ", kind string").parquet(out)
+    gaps = every.filter("kind = 'gaps'").select("archive", "start", "end", "inner_start", "inner_end", "gap")
+    return every.filter("kind = 'records'").drop("gap", "kind"), gaps
+
+
 def page_of(urn: str):
     return F.regexp_extract(urn, r"^<urn:page:(-?[0-9]+)>$", 1).try_cast("bigint")
 
