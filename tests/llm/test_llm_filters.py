@@ -271,7 +271,11 @@ def test_ordered_cuts_share_weights():
 
 def test_licenses(spark):
     rng = random.Random(8)
-    apache, gpl, mit = licenses.TEMPLATES["Apache-2.0"], licenses.TEMPLATES["GPL-3.0"], licenses.TEMPLATES["MIT"]
+    notices = {
+        "Apache-2.0": "Licensed under the Apache License, Version 2.0", "MIT": "Released under the MIT License",
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
+    }
+    apache, gpl, mit = notices["Apache-2.0"], notices["GPL-3.0"], notices["MIT"]
     long = prose(rng, 30000)
     texts = [
         (0, None), (1, ""), (2, prose(rng, 100)), (3, apache), (4, prose(rng, 33) + ".\n" + gpl.upper() + ".\n" + prose(rng, 7)),
@@ -280,16 +284,55 @@ def test_licenses(spark):
     got = sorted((r["doc_id"], r["license"], r["start"], r["end"], r["containment"]) for r in licenses.scan(docs(spark, texts)).collect())
     text = dict(texts)
     assert [(d, name) for d, name, *_ in got] == [
-        (3, "Apache-2.0"), (4, "GPL-3.0"), (5, "MIT"), (5, "MIT"), (8, "Apache-2.0"), (8, "GPL-3.0"),
+        (3, "Apache-2.0"), (4, "GPL-3.0"), (5, "MIT"), (5, "MIT"), (6, "GPL-3.0"), (8, "Apache-2.0"), (8, "GPL-3.0"),
     ]
     for d, name, a, b, share in got:
-        assert text[d][a:b].lower() == licenses.TEMPLATES[name].lower() and share == 1.0
-    # One changed word in twelve touches two of eight shingles at this place.
+        # The changed word of document 6 touches two of ten shingles; its end is a notice of its own.
+        assert text[d][a:b].lower() == (notices[name] if d != 6 else notices[name].replace("work", "thing")).lower()[a if d == 6 else 0:]
+        assert share >= 0.8 and (d == 6 or share == 1.0)
+    # Another version is no find.
     changed = docs(spark, [(1, gpl.replace("version 3", "version 9"))])
-    assert [(r["license"], r["containment"]) for r in licenses.scan(changed).collect()] == [("GPL-2.0", 0.875)]
+    assert licenses.scan(changed).count() == 0
     assert licenses.scan(docs(spark, texts), templates={}).count() == 0
 
 
+def test_license_bodies_and_notices(spark):
+    rng = random.Random(10)
+    program = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    )
+    isc = (
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies."
+    )
+    said = [
+        ("Licensed under the MIT License", "MIT"), ("// SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+        ("This software is licensed under the GNU General Public License, version 3", "GPL-3.0"), (isc, "ISC"),
+        ("GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007", "GPL-3.0"), (program, "GPL-3.0"),
+        (program.replace("GNU General", "GNU Affero General"), "AGPL-3.0"), (program.replace("version 3", "version 2"), "GPL-2.0"),
+        ("under the GNU General Public License, version 9", None), (program.replace("version 3", "version 9"), None),
+        ("licensed under the GNU Affero General Public License, version 3", "AGPL-3.0"), ("# SPDX-License-Identifier: MIT", "MIT"),
+        ("Permission to use the MIT library was granted under the general terms of version 3", None),
+    ]
+    texts = [(k, f"{prose(rng, 40)}. {text} {prose(rng, 30)}") for k, (text, _) in enumerate(said)]
+    got = {(r["doc_id"], r["license"]) for r in licenses.scan(docs(spark, texts)).collect()}
+    assert got == {(k, name) for k, (_, name) in enumerate(said) if name}
+    # Whole bodies, some words of each changed, in longer texts: one find each, under its own name.
+    bodies = {name: max(several, key=len) for name, several in licenses.TEMPLATES.items() if len(max(several, key=len)) > 500}
+    assert len(bodies) > 15 and {"MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1"} <= set(bodies)
+    texts, plain = [], {name: " ".join(body.replace("{", "").replace("}", "").split()) for name, body in sorted(bodies.items())}
+    for name, body in plain.items():
+        words = body.split()
+        for at in rng.sample(range(len(words) // 4, len(words) // 2), len(words) // 100):
+            words[at] = "zzz"
+        texts += [(name, f"{prose(rng, 50)} {body} {prose(rng, 50)}"), (name + "~", f"{prose(rng, 700)} {' '.join(words)}")]
+    rows = licenses.scan(spark.createDataFrame(texts, "doc_id string, text string")).collect()
+    assert sorted((r["doc_id"], r["license"]) for r in rows) == sorted((d, d.rstrip("~")) for d, _ in texts)
+    whole = {r["doc_id"]: r["containment"] for r in rows}
+    assert all(whole[name] == 1.0 and 0.8 <= whole[name + "~"] <= 1.0 for name in bodies)
+
+
 def test_license_windows_against_brute_force(spark):
     rng = random.Random(9)
     template = prose(rng, 25)
