@@ -75,47 +75,48 @@ class Templates:
             similarity = min(m / (2 * step + len(own) - m), 1 - 1e-12)
             self.bands[step] = max(self.bands[step], math.ceil(math.log(miss) / math.log1p(-similarity)))
         self.factors = odd_numbers(max(self.bands.values(), default=0), 31)
-        # By step: templates, and a column of MinHash values for each band.
-        self.values = {}
-        for step in self.bands:
-            use = [k for k, s in enumerate(steps) if s == step]
-            self.values[step] = use, np.array([[(self.sets[k] * f).min() for f in self.factors] for k in use])
+        # By step and band: the templates of each MinHash value.
+        self.values = {step: [{} for _ in range(bands)] for step, bands in self.bands.items()}
+        for t, (own, step) in enumerate(zip(self.sets, steps)):
+            for factor, values in zip(self.factors, self.values[step]):
+                values.setdefault((own * factor).min(), []).append(t)
 
     def retrieved(self, hashes: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int, int, int]]:
         """Template, document, first shingle and size of the windows that agree with a template in a band; hashes
         are the shingles of several documents, one after another."""
         out, levels = set(), []
-        blocks, first, step = np.diff(bounds), bounds[:-1], 1
+        blocks, first = np.diff(bounds), bounds[:-1]
         low, high = min(self.bands), max(self.bands)
+        step = low
         while step <= high:
             # Blocks of a step within each document, as runs of the level below; a window is a block and its successor.
-            if step == low and step > 1:
-                count = -(-blocks // step)
-            else:
-                count = blocks if step == 1 else -(-blocks // 2)
+            count = -(-blocks // (step if step == low else 2))
             doc = np.repeat(np.arange(len(count)), count)
             begin = np.cumsum(count) - count
             inner = np.arange(len(doc)) - begin[doc]
             start = None if step == 1 else first[doc] + inner * (step if step == low else 2)
-            levels.append((step, start, doc, inner, inner[:-1] == count[doc[:-1]] - 1))
+            # Above the lowest level a block is a pair of the level below, or its last one.
+            second = None if step == low else np.minimum(start + 1, first[doc] + blocks[doc] - 1)
+            levels.append((step, start, second, doc, inner, inner[:-1] == count[doc[:-1]] - 1))
             blocks, first = count, begin
-            step = max(step * 2, low)
+            step *= 2
         for band, factor in enumerate(self.factors):
             least = hashes * factor
             top = max(step for step, bands in self.bands.items() if band < bands)
-            for step, start, doc, inner, last in levels:
+            for step, start, second, doc, inner, last in levels:
                 if step > top:
                     break
-                if start is not None:
+                if second is not None:
+                    least = np.minimum(least[start], least[second])
+                elif start is not None:
                     least = np.minimum.reduceat(least, start)
                 if band >= self.bands.get(step, 0):
                     continue
                 window = least.copy()
                 np.minimum(least[:-1], np.where(last, least[:-1], least[1:]), out=window[:-1])
-                templates, values = self.values[step]
-                for k, value in zip(templates, values[:, band]):
+                for value, templates in self.values[step][band].items():
                     for w in np.flatnonzero(window == value):
-                        out.add((k, int(doc[w]), int(inner[w]) * step, 2 * step))
+                        out.update((t, int(doc[w]), int(inner[w]) * step, 2 * step) for t in templates)
         return out
 
     def occurrences(self, k: int, part: np.ndarray) -> list[tuple[int, int, int]]:
