@@ -168,13 +168,13 @@ def compact_metrics(spark: SparkSession, path: str) -> None:
     whole = _merged(spark, path, state["parts"], max(p["level"] for p in state["parts"]) + 1)
     if not _commit(spark, path, number + 1, {**state, "parts": [whole], "gone": []}):
         raise RuntimeError("the table was changed meanwhile")
-    for level in _names(spark, f"{path}/data"):
-        for version in _names(spark, f"{path}/data/{level}"):
-            for attempt in _names(spark, f"{path}/data/{level}/{version}"):
+    for level in names(spark, f"{path}/data"):
+        for version in names(spark, f"{path}/data/{level}"):
+            for attempt in names(spark, f"{path}/data/{level}/{version}"):
                 folder = f"{level}/{version}/{attempt}"
                 if folder != _folder(whole):
                     remove(spark, f"{path}/data/{folder}")
-    _forget_commits(spark, path, number + 1)
+    forget_commits(spark, path, number + 1)
 
 
 def _folder(part: dict) -> str:
@@ -210,28 +210,42 @@ def _levelled(spark: SparkSession, path: str, parts: list[dict]) -> tuple[list[d
     return parts, gone
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _hadoop_path(spark, path)
     return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def _commits(spark: SparkSession, path: str) -> list[int]:
-    return [int(name) for name in _names(spark, f"{path}/commits") if name.isdigit()]
+def commits(spark: SparkSession, path: str) -> list[int]:
+    return [int(name) for name in names(spark, f"{path}/commits") if name.isdigit()]
+
+
+def commit_content(spark: SparkSession, path: str, number: int) -> dict:
+    return json.loads(read_text(spark, f"{path}/commits/{number:012d}"))
 
 
 def _table_state(spark: SparkSession, path: str) -> tuple[int, dict]:
     """Number and content of the newest commit: the parts that make up the table, the last batch of each stream, and
     merged parts that readers of earlier commits may still read."""
-    commits = _commits(spark, path)
-    if not commits:
+    done = commits(spark, path)
+    if not done:
         return 0, {"next": 1, "parts": [], "streams": {}, "gone": []}
-    return commits[-1], json.loads(read_text(spark, f"{path}/commits/{commits[-1]:012d}"))
+    return done[-1], commit_content(spark, path, done[-1])
 
 
 def _commit(spark: SparkSession, path: str, number: int, state: dict) -> bool:
     """Make a state the table's; False if another writer has taken the number. Old commits and parts go."""
     old = [p for p in state["gone"] if p["since"] <= number - RETAIN]
     state = {**state, "gone": [p for p in state["gone"] if p not in old]}
+    if not publish(spark, path, number, state):
+        return False
+    for part in old:
+        remove(spark, f"{path}/data/{_folder(part)}")
+    forget_commits(spark, path, number - RETAIN)
+    return True
+
+
+def publish(spark: SparkSession, path: str, number: int, state: dict) -> bool:
+    """Write a commit of a number, whole or not at all; False if there is one."""
     fs, draft = _hadoop_path(spark, f"{path}/commits/.draft-{uuid.uuid4().hex}")
     out = fs.create(draft, False)
     out.write(bytearray(json.dumps(state), "utf-8"))
@@ -250,14 +264,11 @@ def _commit(spark: SparkSession, path: str, number: int, state: dict) -> bool:
         if "FileAlreadyExists" in str(e.java_exception):
             return False
         raise
-    for part in old:
-        remove(spark, f"{path}/data/{_folder(part)}")
-    _forget_commits(spark, path, number - RETAIN)
     return True
 
 
-def _forget_commits(spark: SparkSession, path: str, before: int) -> None:
-    for number in _commits(spark, path):
+def forget_commits(spark: SparkSession, path: str, before: int) -> None:
+    for number in commits(spark, path):
         if number < before:
             remove(spark, f"{path}/commits/{number:012d}")
 

@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pressgauge.functions import periods
 from pressgauge.operators import records
-from pressgauge.sources import jdbc, logs, tables
+from pressgauge.sources import jdbc, keyed, logs, tables
 
 
 def lines(spark, *values):
@@ -83,6 +84,56 @@ def test_keyed_update_changes_only_present_keys(spark, rows):
     assert rows(tables.keyed_update(current, changes, ["k"]), "k", "x", "y") == {("a", None, "o"), ("b", "old", "o")}
 
 
+def test_keyed_table_rewrites_touched_buckets_only(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), "k string, n long, x string"
+    want = {(f"k{j}", j, "old") for j in range(200)} | {(None, 7, "old")}
+    keyed.create(spark.createDataFrame(sorted(want, key=str), schema), path, ["k", "n"], 16)
+
+    def files():
+        at = json.loads(max((tmp_path / "t" / "commits").glob("0*")).read_text())["at"]
+        return {f.relative_to(tmp_path) for b, w in at.items() for f in (tmp_path / "t" / "data").glob(f"pg_write={w}/pg_bucket={b}/*.parquet")}
+
+    def table():
+        return {tuple(r) for r in keyed.read(spark, path).collect()}
+
+    before = files()
+    assert table() == want and len(before) >= 16
+    # Nulls replace values, unknown and null keys are not inserted; types are the table's.
+    changes = spark.createDataFrame([("k3", 3, None), ("k9", 9, "new"), ("z", 1, "new"), ("k3", 4, "new"), (None, 7, "new")], "k string, n int, x string")
+    assert 1 <= keyed.update(spark, path, changes.withColumn("n", F.col("n").cast("long"))) <= 5
+    want = {(k, n, None if k == "k3" else "new" if k == "k9" else x) for k, n, x in want}
+    assert table() == want and len(before & files()) >= len(before) - 5
+    assert keyed.update(spark, path, changes.where("false")) == 0
+    # A failed update leaves the table; of two writers the later one builds on the other.
+    held = keyed.read(spark, path)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            keyed.update(spark, path, spark.createDataFrame([("k5", 5, "lost")], schema))
+    assert table() == want
+    publish, met = tables.publish, []
+
+    def meets(*args):
+        if not met:
+            met.append(1)
+            keyed.update(spark, path, spark.createDataFrame([("k5", 5, "first")], schema))
+        return publish(*args)
+
+    monkeypatch.setattr(tables, "publish", meets)
+    keyed.update(spark, path, spark.createDataFrame([("k5", 5, "second"), ("k6", 6, "second")], schema))
+    monkeypatch.setattr(tables, "publish", publish)
+    want = {(k, n, "second" if k in ("k5", "k6") else x) for k, n, x in want}
+    assert table() == want
+    # Old buckets go after some commits, and readers before that are not disturbed.
+    assert {tuple(r) for r in held.collect()} != want
+    for j in range(keyed.RETAIN + 1):
+        keyed.update(spark, path, spark.createDataFrame([("k5", 5, str(j))], schema))
+    buckets = [f for f in (tmp_path / "t" / "data").glob("*/pg_bucket=*")]
+    assert len(buckets) <= 16 + keyed.RETAIN + 2 and not list((tmp_path / "t" / "staged").glob("*"))
+    keyed.create(spark.createDataFrame([], schema), str(tmp_path / "none"), ["k"])
+    assert keyed.read(spark, str(tmp_path / "none")).count() == 0 and keyed.update(spark, str(tmp_path / "none"), changes) == 0
+
+
 def test_replace_reads_its_own_table(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     tables.replace(spark.createDataFrame([(1,)], "x int"), path)
