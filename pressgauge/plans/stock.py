@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pressgauge.functions.periods import half_open_hours, span
 from pressgauge.operators import exposure as ex
 from pressgauge.operators.grid import complete_series
+from pressgauge.sources import rankings
 
 
 def _zero() -> Column:
@@ -73,12 +74,22 @@ def hourly_visit_ranking(
     news: DataFrame, stock_dict: DataFrame, visits: DataFrame, start: Column, end: Column
 ) -> DataFrame:
     """``hour, stock, visit, place`` for every dictionary stock and hour."""
+    return ex.hourly_ranking(_hourly_visits(news, stock_dict, visits, start, end))
+
+
+def write_hourly_visit_ranking(
+    news: DataFrame, stock_dict: DataFrame, visits: DataFrame, start: Column, end: Column, path: str, kind: str = "parquet",
+) -> None:
+    """The same as files, a sorted folder an hour, without any task that holds an hour."""
+    rankings.write_ranking(_hourly_visits(news, stock_dict, visits, start, end), path, "hour", "visit", "stock", kind)
+
+
+def _hourly_visits(news: DataFrame, stock_dict: DataFrame, visits: DataFrame, start: Column, end: Column) -> DataFrame:
     in_range = visits.where((F.col("hour") >= start) & (F.col("hour") < end))
     visited = ex.visited_stocks(news, in_range, ["hour"])
-    full = complete_series(
+    return complete_series(
         visited, stock_dict, ["stock"], "hour", half_open_hours(start, end), {"visit": _zero()}
     )
-    return ex.hourly_ranking(full)
 
 
 def period_history(

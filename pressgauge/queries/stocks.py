@@ -9,6 +9,7 @@ from pressgauge.functions.periods import span
 from pressgauge.operators import exposure as ex
 from pressgauge.plans import stock
 from pressgauge.queries import inputs as i
+from pressgauge.session import run_path
 
 
 
@@ -54,6 +55,17 @@ def stock_hour_ranking(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("hour", i.text_key("hour"))
 
 
+def stock_hour_ranking_files(spark: SparkSession, d: str) -> DataFrame:
+    """The same, read from its files."""
+    path = run_path(spark, "hour-ranking")
+    stock.write_hourly_visit_ranking(
+        i.news(spark, d), i.stock_dict(spark, d), i.visits(spark, d), i.ts(i.START), i.ts(i.END), path
+    )
+    fields = "place bigint, stock string, visit bigint, hour timestamp"
+    out = spark.read.schema(fields).parquet(path)
+    return out.withColumn("hour", i.text_key("hour")).withColumn("place", F.col("place").cast("int"))
+
+
 def _history(spark: SparkSession, d: str, starts: str, length: int, step: str) -> DataFrame:
     daily = stock.daily_history(
         i.news(spark, d), i.stock_dict(spark, d), i.visits(spark, d), i.ts(i.START), i.ts(i.END)
@@ -142,6 +154,10 @@ SELECT strftime(a.period_start, '%Y-%m-%d') AS period_start, a.stock, a.visit, a
 FROM sums a LEFT JOIN sums b ON a.stock = b.stock AND b.period_start = a.period_start - INTERVAL {step} DAY"""
 
 
+_RANKED = f"""{_BASE}, {_HOURLY}
+SELECT strftime(hour, '%Y-%m-%d %H:%M:%S') AS hour, stock, visit,
+  CAST(row_number() OVER (PARTITION BY hour ORDER BY visit DESC, stock) AS INTEGER) AS place FROM hourly"""
+
 QUERIES = {
     "stock_links": (stock_links, f"""WITH {i.SQL_NEWS}, {i.SQL_DICT}
 SELECT dict.stock, url, strftime(news_time, '%Y-%m-%d %H:%M:%S') AS news_time
@@ -170,9 +186,8 @@ GROUP BY g.day, g.stock"""),
 SELECT strftime(a.hour, '%Y-%m-%d %H:%M:%S') AS hour, a.stock, a.exposure, a.visit,
   CAST(sign(a.visit - b.visit) AS INTEGER) AS trend
 FROM hourly a LEFT JOIN hourly b ON a.stock = b.stock AND b.hour = a.hour - INTERVAL 1 HOUR"""),
-    "stock_hour_ranking": (stock_hour_ranking, f"""{_BASE}, {_HOURLY}
-SELECT strftime(hour, '%Y-%m-%d %H:%M:%S') AS hour, stock, visit,
-  CAST(row_number() OVER (PARTITION BY hour ORDER BY visit DESC, stock) AS INTEGER) AS place FROM hourly"""),
+    "stock_hour_ranking": (stock_hour_ranking, _RANKED),
+    "stock_hour_ranking_files": (stock_hour_ranking_files, _RANKED),
     "stock_week": (stock_week, _periods(
         "[TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-22']", 7, 7)),
     "stock_month": (stock_month, _periods("[TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-16']", 15, 15)),

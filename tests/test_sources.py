@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pressgauge.functions import periods
 from pressgauge.operators import records
-from pressgauge.sources import jdbc, keyed, logs, tables
+from pressgauge.sources import jdbc, keyed, logs, rankings, tables
 
 
 def lines(spark, *values):
@@ -134,6 +134,31 @@ def test_keyed_table_rewrites_touched_buckets_only(spark, tmp_path, monkeypatch)
     assert keyed.read(spark, str(tmp_path / "none")).count() == 0 and keyed.update(spark, str(tmp_path / "none"), changes) == 0
 
 
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_rankings_are_sorted_folders(spark, tmp_path, kind):
+    # One hour has nine tenths of the rows; values tie, and there are null values and groups.
+    data = [("h1" if j % 10 else f"h{j % 30}", f"s{j:04d}", None if j % 50 == 3 else j * 7 % 40) for j in range(2000)]
+    data += [(None, "a", 1), (None, "b", 5), ("h1", "s0001", 7)]
+    rows = spark.createDataFrame(data, "hour string, stock string, visit long")
+    path = str(tmp_path / kind)
+    rankings.write_ranking(rows.repartition(5), path, "hour", "visit", "stock", kind)
+    groups = {}
+    for h, s, v in data:
+        groups.setdefault(h, []).append((s, v))
+    seen = {}
+    for folder in (tmp_path / kind).glob("hour=*"):
+        key = folder.name.removeprefix("hour=")
+        key = None if key.startswith("__HIVE") else key
+        files = sorted(folder.glob("part-*"))
+        schema = "place long, stock string, visit long"
+        seen[key] = [tuple(r) for f in files for r in spark.read.schema(schema).format(kind).load(str(f)).coalesce(1).collect()]
+        assert key != "h1" or len(files) > 3
+    assert seen == {
+        h: [(k + 1, s, v) for k, (s, v) in enumerate(sorted(own, key=lambda r: (r[1] is None, -(r[1] or 0), r[0])))] for h, own in groups.items()
+    }
+    rankings.write_ranking(rows.limit(0), str(tmp_path / "none"), "hour", "visit", "stock")
+
+
 def test_replace_reads_its_own_table(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     tables.replace(spark.createDataFrame([(1,)], "x int"), path)
