@@ -148,6 +148,16 @@ def test_variants_brute_force(spark, monkeypatch, tile):
     assert any(r[2] not in (r[0], r[1]) for r in got)
 
 
+def test_variants_tiles_of_equal_letters_and_other_lengths():
+    letters, rows = "agmsyagmsyagagmsyagmsyas", []
+    for length in (8, 12):
+        words = [letters[k:k + length] for k in range(0, len(letters), length)]
+        assert len(set(words)) == len(words)
+        rows.append({"length_a": length, "letters_a": letters, "ns_a": [2] * len(words), "length_b": length, "letters_b": letters, "ns_b": [2] * len(words), "self": True})
+    found = [r for b in variants._compared([pa.RecordBatch.from_pylist(rows)]) for r in b.to_pylist()]
+    assert {r["word"]: (r["n_near"], r["best"]) for r in found} == {letters[:12]: (1, letters[12:]), letters[12:]: (1, letters[:12])}
+
+
 def test_variants_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert variants.grouped(variants.written(variants.word_counts(df), "words")).collect() == []
