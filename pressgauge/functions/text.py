@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Fixed values.
 BYTE_ESCAPE = "%[0-9a-fA-F]{2}"
 UNIT_ESCAPE = "%u[0-9a-fA-F]{4}"
+ONLY_UNITS = "^[^%]*+(?:%[^%]{5})*+\\z"
 TERM_DELIMITERS = "[，。;；、]"
 SENTENCE_DELIMITERS = ",|。|\t|\n|，|："
 LATIN_WORD = "^[a-zA-Z.' ]+\\z"
@@ -46,16 +47,19 @@ def unit_escapes_to_bytes(text: Column) -> Column:
         .when(F.length(p) == 2, F.try_url_decode(F.concat(F.lit("%"), p)))
         .otherwise(F.lit("")),
     )
-    return F.when(
+    general = F.when(
         ~F.exists(tail, lambda p: p.isNull()), F.concat(pieces[0], F.array_join(tail, ""))
     )
+    # Where all pieces have five characters, one pass over the text does, without a list of them.
+    return F.when(text.rlike(ONLY_UNITS), F.regexp_replace(text, "%[^%]([^%]{2})([^%]{2})", "%$1%$2")).otherwise(general)
 
 
 def _utf16_run(run: Column) -> Column:
     """Decode one run of byte escapes as UTF-16: byte-order mark honoured, lone surrogates replaced."""
     digits = F.replace(run, F.lit("%"), F.lit(""))
-    # Without a byte from D8 to DF there is no surrogate to look at.
-    return F.when(run.rlike("%[dD][89a-fA-F]"), _utf16_surrogates(digits)).otherwise(
+    # Without a unit that begins with a byte from D8 to DF there is no surrogate to look at; a mark may swap the bytes.
+    surrogate = run.rlike("^(?:%(?![dD][89a-fA-F])..%..)*+%[dD][89a-fA-F]") | run.rlike("^%[fF][fF]%[fF][eE]")
+    return F.when(surrogate, _utf16_surrogates(digits)).otherwise(
         F.decode(F.unhex(digits), "UTF-16")
     )
 
@@ -73,11 +77,15 @@ def _utf16_surrogates(digits: Column) -> Column:
 def decode_utf16_escapes(text: Column) -> Column:
     """URL-decode with byte escapes read as UTF-16 and plus as space; null on a broken escape."""
     runs = F.regexp_extract_all(text, F.lit("((?:%[0-9a-fA-F]{2})+|[^%]+|%)"), F.lit(1))
-    decoded = F.transform(
-        runs,
-        lambda r: F.when(r.startswith("%"), _utf16_run(r)).otherwise(F.translate(r, "+", " ")),
-    )
-    return F.when(~F.exists(runs, lambda r: r == "%"), F.array_join(decoded, ""))
+
+    def joined(rs: Column) -> Column:
+        decoded = F.transform(
+            rs, lambda r: F.when(r.startswith("%"), _utf16_run(r)).otherwise(F.translate(r, "+", " ")),
+        )
+        return F.when(~F.exists(rs, lambda r: r == "%"), F.array_join(decoded, ""))
+
+    # Unfolded from a list, so that the runs are found once.
+    return F.transform(F.array(runs), joined)[0]
 
 
 def _decode_once(text: Column) -> Column:
