@@ -66,7 +66,8 @@ def textrank(
 def _ranker(window: int, steps: int, damping: float):
     """A function over Arrow batches of documents and their token lists. It holds all it needs, so that executors
     need not have this package."""
-    piece_tokens = 1 << 20
+    # Of many short documents; what a piece needs in memory is some 200 bytes a token.
+    piece_tokens = 1 << 17
 
     def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         # A sort of 64-bit numbers takes a tenth of np.unique's time.
