@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,10 +10,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import Tokeniser, normalise_delimiters, segment_gate, words
-from pressgauge.session import run_path
+from pressgauge.session import run_path, shuffle_tasks
 
 #: Terms of a user in one slice of the basket's pairs.
 SLICE = 1000
+#: Pairs of terms, each as often as a user has it, in one tile.
+TILE = 1 << 22
 #: Levels of basket sizes in each doubling.
 LEVELS = 4
 
@@ -52,26 +55,21 @@ def term_cosine(
     cosine = n(a, b) / sqrt(n(a) n(b)) over distinct users; terms with fewer than ``support`` users take no part, nor
     pairs below ``min_cosine``; with ``top`` only the best pairs of each term stay, ties by the other term.
 
-    Terms travel as numbers with their counts, so the cosine stands right behind the one shuffle of pairs and names
-    are joined to what is left. Users are joined with themselves and their pairs counted map-side before they are
-    shuffled. A user's terms are dealt to slices of about SLICE, each of which gets all of the user's terms as second
-    ones, so a basket of any size is the work of many tasks and never a list.
+    Pairs are neither shuffled nor joined. Terms fall into blocks and the pairs of two blocks into a tile; what moves
+    are the parts of baskets that lie in a block, once for each block they meet, with names and counts. A tile's pairs
+    are made and counted where it lies, some TILE of them, so the cosine stands right behind the count. A user's terms
+    are dealt to slices of about SLICE, so a basket of any size is the work of many tasks and never a list.
 
     With ``min_cosine`` pairs are made only of users that a close pair must share, see `close_pairs`.
     """
-    spark = baskets.sparkSession
     counts = baskets.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
-    # Tables, so that their sizes are known and nothing is computed twice. The numbers must not change.
-    terms = _table(counts.withColumn("no", F.monotonically_increasing_id()), "terms")
-    coded = _table(baskets.join(terms, "term").select("user_id", "no", "n"), "term-users")
-    counted = close_pairs(coded, min_cosine) if min_cosine > 0 else _together(_pairs(coded, coded).where("a < b"))
+    # A table, so that its size is known and nothing is computed twice.
+    coded = _table(baskets.join(counts, "term").select("user_id", F.col("term").alias("no"), "n"), "term-users")
+    counted = close_pairs(coded, min_cosine) if min_cosine > 0 else _together(_pairs(coded, coded, own=True))
     cosine = F.col("together") / F.sqrt((F.col("n_a") * F.col("n_b")).cast("double"))
-    pairs = counted.select("a", "b", "together", cosine.alias("cosine")).where(F.col("cosine") >= min_cosine)
-    for side in ("a", "b"):
-        pairs = pairs.join(terms.select(F.col("no").alias(side), F.col("term").alias(f"t_{side}")), side)
-    pairs = pairs.select(
-        F.least("t_a", "t_b").alias("term_a"), F.greatest("t_a", "t_b").alias("term_b"), "together", "cosine",
-    )
+    pairs = counted.select(
+        F.least("a", "b").alias("term_a"), F.greatest("a", "b").alias("term_b"), "together", cosine.alias("cosine"),
+    ).where(F.col("cosine") >= min_cosine)
     return pairs if top is None else _best(pairs, top)
 
 
@@ -81,18 +79,42 @@ def _table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _pairs(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Terms ``a, n_a`` of the first with the terms ``b, n_b`` of the second of the same user, and other columns."""
-    sizes = first.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
-    left = first.join(sizes, "user_id").withColumn("slice", F.pmod(F.xxhash64("no"), "slices").cast("int")).drop("slices")
-    right = second.join(sizes, "user_id").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
-    return left.withColumnsRenamed({"no": "a", "n": "n_a"}).join(
-        right.withColumnsRenamed({"no": "b", "n": "n_b"}), ["user_id", "slice"],
+def _blocks(first: DataFrame, second: DataFrame) -> int:
+    """Blocks of terms whose tiles make about TILE pairs each."""
+    both = first.groupBy("user_id").agg(F.count(F.lit(1)).alias("x")).join(
+        second.groupBy("user_id").agg(F.count(F.lit(1)).alias("y")), "user_id",
+    )
+    pairs = both.agg(F.sum(F.col("x").cast("double") * F.col("y"))).first()[0] or 0
+    return math.ceil(math.sqrt(max(pairs / TILE, shuffle_tasks(first.sparkSession))))
+
+
+def _parts(rows: DataFrame, blocks: int, side: str) -> DataFrame:
+    """``user_id, block, slice, terms``: a basket by block of terms, no list longer than about SLICE."""
+    sizes = rows.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
+    placed = rows.join(sizes, "user_id").withColumn("block", F.pmod(F.xxhash64("no"), F.lit(blocks)).cast("int"))
+    # Other bits than the block's.
+    placed = placed.withColumn("slice", F.pmod(F.xxhash64(F.lit(SLICE), "no"), F.col("slices")).cast("int"))
+    entry = F.struct(F.col("no").alias(side), *[F.col(c).alias(f"n_{side}" if c == "n" else c) for c in rows.columns if c not in ("user_id", "no")])
+    return placed.groupBy("user_id", "block", "slice").agg(F.collect_list(entry).alias(f"of_{side}")).select(
+        "user_id", F.col("block").alias(f"block_{side}"), f"of_{side}",
     )
 
 
+def _pairs(first: DataFrame, second: DataFrame, own: bool = False) -> DataFrame:
+    """Terms ``a, n_a`` of the first with the terms ``b, n_b`` of the second of the same user, and other columns; all
+    rows of a pair in one partition, that of its ``tile``. With ``own`` both are one table and a pair comes once."""
+    blocks = _blocks(first, second)
+    met = _parts(first, blocks, "a").join(_parts(second, blocks, "b"), "user_id")
+    if own:
+        met = met.where("block_a <= block_b")
+    tiles = met.select((F.col("block_a") * blocks + F.col("block_b")).alias("tile"), "of_a", "of_b").repartition(blocks * blocks, "tile")
+    pairs = tiles.select("tile", "of_b", F.inline("of_a")).select("*", F.inline("of_b")).drop("of_b")
+    # Of a block with itself every pair comes twice, a term with itself once.
+    return pairs.where((F.col("tile") % (blocks + 1) != 0) | (F.col("a") < F.col("b"))) if own else pairs
+
+
 def _together(pairs: DataFrame, *more: str) -> DataFrame:
-    return pairs.groupBy("a", "b", "n_a", "n_b", *more).agg(F.count(F.lit(1)).alias("together"))
+    return pairs.groupBy("tile", "a", "b", "n_a", "n_b", *more).agg(F.count(F.lit(1)).alias("together"))
 
 
 def close_pairs(coded: DataFrame, min_cosine: float) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 from itertools import combinations
 
@@ -100,3 +101,28 @@ def test_close_pairs_make_fewer(spark, monkeypatch):
     similarity.term_cosine(df, 2)
     similarity.term_cosine(df, 2, min_cosine=0.5)
     assert made[1] < made[0] / 4
+
+
+@pytest.mark.parametrize("least", [0.0, 0.2])
+def test_pairs_are_not_shuffled(spark, monkeypatch, least):
+    """A tile's pairs are counted where they are made, and no names are joined to them."""
+    monkeypatch.setattr(similarity, "TILE", 20)
+    monkeypatch.setattr(similarity, "SLICE", 5)
+    rng = random.Random(8)
+    vocab = [f"t{k}" for k in range(30)]
+    baskets = {f"u{u}": set(rng.sample(vocab, rng.randint(1, 20))) for u in range(40)}
+    df = spark.createDataFrame([(u, t) for u, b in baskets.items() for t in b], "user_id string, term string")
+    plans, plain = [], similarity._together
+
+    def seen(pairs, *more):
+        out = plain(pairs, *more)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(similarity, "_together", seen)
+    pairs = similarity.term_cosine(df, 2, min_cosine=least)
+    got = {(r["term_a"], r["term_b"]): (r["together"], round(r["cosine"], 9)) for r in pairs.collect()}
+    assert got == {p: x for p, x in brute(baskets, 2).items() if x[1] >= least}
+    assert len(plans) == 1 and not re.search(r"Exchange hashpartitioning\([^)]*\bb#", plans[0])
+    if not least:
+        assert "Join" not in pairs._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [tile")[0]
