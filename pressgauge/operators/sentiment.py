@@ -15,9 +15,10 @@ from pressgauge.functions.text import Tokeniser, sentences, words
 
 
 def flags(lexicon: DataFrame) -> DataFrame:
-    """``word, pos, neg, fou``: one row per word."""
-    return lexicon.groupBy("word").agg(*[
-        F.max((F.col("polarity") == p).cast("int")).alias(p.lower()) for p in ("Pos", "Neg", "Fou")
+    """``word, pos, neg, fou``: one row per word of these kinds; the words of others would meet tokens for nothing."""
+    kinds = ("Pos", "Neg", "Fou")
+    return lexicon.where(F.col("polarity").isin(*kinds)).groupBy("word").agg(*[
+        F.max((F.col("polarity") == p).cast("int")).alias(p.lower()) for p in kinds
     ])
 
 

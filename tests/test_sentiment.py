@@ -128,3 +128,12 @@ def test_rule_scores_equal_brute_force(spark):
     plan = scores._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(doc_id") == 1
     assert {r["doc_id"]: r["score"] for r in scores.collect()} == {k: brute_rule(t) for k, t in docs}
+
+
+def test_words_of_other_kinds_meet_no_tokens(spark, rows):
+    lexicon = spark.createDataFrame(
+        [("Pos", "good"), ("Other", "good"), ("Other", "plain"), (None, "void"), ("Fou", "not")], "polarity string, word string",
+    )
+    assert rows(sentiment.flags(lexicon), "word", "pos", "neg", "fou") == {("good", 1, 0, 0), ("not", 0, 0, 1)}
+    docs = spark.createDataFrame([(1, "plain good,very not good,plain void")], "doc_id int, text string")
+    assert rows(sentiment.sentence_polarities(docs, lexicon), "doc_id", "sentence", "polarity") == {(1, 0, 1), (1, 1, -1), (1, 2, 0)}
