@@ -13,34 +13,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressgauge.session import ensure_checkpoint_dir
+from pressgauge.session import ensure_checkpoint_dir, run_path
 from pressgauge.sources.tables import remove, write_bucketed
 
 
 class EdgeLayout:
-    """Edges ``(at, to, ...)`` with ``degree``, the number of edges of ``at``, and ``to_slices``, the slices of
-    ``to``; bucketed by ``at`` and ``slice``."""
+    """Edges ``(at, to, ...)`` bucketed by ``at`` and ``slice``, and ``sizes``: ``at, degree, slices`` of the vertices
+    that edges read from. The edges are read twice, so they should be a table."""
 
     def __init__(self, edges: DataFrame, slice_edges: int):
         ensure_checkpoint_dir(edges.sparkSession)
+        edges = edges.where(F.col("at").isNotNull())
         slices = F.ceil(F.col("degree") / F.lit(slice_edges)).cast("int").alias("slices")
         self.sizes = edges.groupBy("at").agg(F.count(F.lit(1)).alias("degree")).select("at", "degree", slices).checkpoint()
-        targets = self.sizes.select(F.col("at").alias("to"), F.col("slices").alias("to_slices"))
-        placed = (
-            edges.join(self.sizes, "at").join(targets, "to", "left")
-            .withColumn("slice", F.pmod(F.xxhash64("to"), "slices").cast("int")).drop("slices")
-        )
+        # At most one row for each slice_edges edges; the others have one slice. So edges move once, to their buckets.
+        hubs = F.broadcast(self.sizes.where(F.col("slices") > 1).select("at", "slices"))
+        slice_of = F.coalesce(F.pmod(F.xxhash64("to"), "slices").cast("int"), F.lit(0))
+        placed = edges.join(hubs, "at", "left").withColumn("slice", slice_of).drop("slices")
         self.edges, self._table, self._path = write_bucketed(placed, ["at", "slice"], "edges")
 
     def read(self, state: DataFrame) -> DataFrame:
-        """Each edge with the columns of the ``state`` row of its ``at`` vertex; state has ``vertex`` and ``slices``,
-        null where no edge reads from the vertex."""
+        """Each edge with the columns of the ``state`` row of its ``at`` vertex; state has ``vertex`` and ``slices``."""
         spread = (
-            state.where(F.col("slices").isNotNull())
-            .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+            state.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
             .withColumnRenamed("vertex", "at")
         )
-        return self.edges.join(spread, ["at", "slice"])
+        # A bucket's vertices are far fewer than its edges, which so need not be sorted in every step.
+        return self.edges.join(spread.hint("shuffle_hash"), ["at", "slice"])
 
     def forget(self) -> None:
         """Drop the table and its files; results that read it must have been computed."""
@@ -49,6 +48,12 @@ class EdgeLayout:
         remove(spark, self._path)
 
 
+def _table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = run_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
 def distinct_edges(pairs: DataFrame) -> DataFrame:
     return pairs.select("src", "dst").distinct()
 
@@ -87,27 +92,26 @@ def pagerank(
     edges = distinct_edges(pairs)
     if steps == 0:
         return _ends(edges, "src", "dst").withColumn("rank", F.lit(1.0))
-    layout = EdgeLayout(edges.select(F.col("src").alias("at"), F.col("dst").alias("to")), slice_edges)
+    edges, path = _table(edges.select(F.col("src").alias("at"), F.col("dst").alias("to")), "pairs")
+    layout = EdgeLayout(edges, slice_edges)
+    remove(edges.sparkSession, path)
+    sources = layout.sizes.withColumnRenamed("at", "vertex")
     vertices = None
     if keep_sources:
-        every = _ends(layout.edges, "at", "to").join(layout.sizes.select(F.col("at").alias("vertex"), "slices"), "vertex", "left")
-        vertices = every.select("vertex", F.lit(0.0).alias("share"), "slices").checkpoint()
-    ranks = None
+        every = sources.select("vertex").union(layout.edges.select("to").distinct()).distinct()
+        vertices = every.select("vertex", F.lit(0.0).alias("share")).checkpoint()
+    ranks, state = None, sources.withColumn("rank", F.lit(1.0))
     for step in range(1, steps + 1):
-        # Before the first step every vertex has rank 1, so no ranks have to be joined.
-        read = layout.edges.withColumn("rank", F.lit(1.0)) if ranks is None else layout.read(ranks)
-        sent = read.select(
-            F.col("to").alias("vertex"), (F.col("rank") / F.col("degree")).alias("share"), F.col("to_slices").alias("slices"),
-        )
+        share = (F.col("rank") / F.col("degree")).alias("share")
+        sent = layout.read(state.select("vertex", "slices", share)).select(F.col("to").alias("vertex"), "share")
         if vertices is not None:
             sent = sent.unionByName(vertices)
-        ranks = sent.groupBy("vertex").agg(
-            (F.sum("share") * damping + (1.0 - damping)).alias("rank"), F.max("slices").alias("slices"),
-        )
+        ranks = sent.groupBy("vertex").agg((F.sum("share") * damping + (1.0 - damping)).alias("rank"))
         if step % checkpoint_every == 0 or step == steps:
             ranks = ranks.checkpoint()
+        state = ranks.join(sources, "vertex")
     layout.forget()
-    return ranks.drop("slices")
+    return ranks
 
 
 def by_rank(ranks: DataFrame, name: str = "vertex", rank: str = "rank") -> DataFrame:
@@ -161,16 +165,21 @@ def label_propagation(
     changes of p1 per iteration. With ``tolerance`` the run ends after the first checkpoint whose last
     step changed less than that.
 
-    A vertex's own values travel along its self loop, so a step reads the state once: one join, one aggregation.
+    A vertex's own values travel along its self loop, so a step reads the state once; labels are joined to the sums.
     """
+    pairs, path = _table(pairs.select("src", "dst", "w"), "pairs")
     both = _both_ways(pairs).select(F.col("dst").alias("at"), F.col("src").alias("to"), "w", F.lit(False).alias("own"))
     # Scores of a vertex are rescaled to sum to one, so its row sum cancels and the raw weights do.
     loops = both.select("at").distinct().select("at", F.col("at").alias("to"), F.lit(1.0).alias("w"), F.lit(True).alias("own"))
     layout = EdgeLayout(both.unionByName(loops), slice_edges)
+    remove(pairs.sparkSession, path)
     start0, start1 = _one_hot(F.col("label"))
     state = labels.join(layout.sizes, F.col("id") == F.col("at")).select(
-        F.col("id").alias("vertex"), "slices", "known", "label", start0.alias("p0"), start1.alias("p1"),
+        F.col("id").alias("vertex"), "slices", start0.alias("p0"), start1.alias("p1"),
     )
+    # What stays the same is not sent along the edges.
+    fixtures = labels.groupBy("id").agg(F.max("known").alias("known"), F.max("label").alias("label"))
+    fixtures = fixtures.join(layout.sizes, F.col("id") == F.col("at")).select(F.col("id").alias("vertex"), "slices", "known", "label").checkpoint()
     trace_parts: list[DataFrame] = []
     moves: list[int] = []
     for step in range(0, iterations + 1):
@@ -179,10 +188,9 @@ def label_propagation(
 
         kept = [f"move{k}" for k in moves]
         sums = layout.read(state).groupBy(F.col("to").alias("vertex")).agg(
-            F.max("to_slices").alias("slices"), own("known"), own("label"), *map(own, kept), own("p1").alias("before"),
+            *map(own, kept), *([own("p1").alias("before")] if step else []),
             F.sum(F.col("w") * F.col("p0")).alias("s0"), F.sum(F.col("w") * F.col("p1")).alias("s1"),
-            F.max("own").alias("there"),
-        ).where("there")
+        ).join(fixtures, "vertex")
         total = F.nullif(F.col("s0") + F.col("s1"), F.lit(0.0))
         fixed = F.col("known") == 1
         p1 = F.when(fixed, start1).otherwise(F.col("s1") / total)
