@@ -12,14 +12,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import Tokeniser, sentences, words
+from pressgauge.session import run_path
 
 
 def flags(lexicon: DataFrame) -> DataFrame:
-    """``word, pos, neg, fou``: one row per word of these kinds; the words of others would meet tokens for nothing."""
+    """``word, pos, neg, fou``: one row per word of these kinds; the words of others would meet tokens for nothing.
+
+    A table in the shared folder, so that its size is known: of a lexicon of unknown size Spark rather broadcasts or
+    shuffles all tokens of the documents."""
     kinds = ("Pos", "Neg", "Fou")
-    return lexicon.where(F.col("polarity").isin(*kinds)).groupBy("word").agg(*[
+    found = lexicon.where(F.col("polarity").isin(*kinds)).groupBy("word").agg(*[
         F.max((F.col("polarity") == p).cast("int")).alias(p.lower()) for p in kinds
     ])
+    path = run_path(lexicon.sparkSession, "lexicon")
+    found.write.parquet(path)
+    return lexicon.sparkSession.read.parquet(path)
 
 
 def _flip(sequence: list[str]) -> Column:

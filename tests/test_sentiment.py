@@ -1,6 +1,8 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
 from pressgauge.operators import sentiment
 
 @pytest.fixture()
@@ -137,3 +139,14 @@ def test_words_of_other_kinds_meet_no_tokens(spark, rows):
     assert rows(sentiment.flags(lexicon), "word", "pos", "neg", "fou") == {("good", 1, 0, 0), ("not", 0, 0, 1)}
     docs = spark.createDataFrame([(1, "plain good,very not good,plain void")], "doc_id int, text string")
     assert rows(sentiment.sentence_polarities(docs, lexicon), "doc_id", "sentence", "polarity") == {(1, 0, 1), (1, 1, -1), (1, 2, 0)}
+
+
+def test_tokens_are_neither_broadcast_nor_shuffled_to_a_small_lexicon(spark):
+    docs = spark.createDataFrame([(1, "good not bad")], "doc_id int, text string")
+    lexicon = spark.createDataFrame([("Pos", "good"), ("Neg", "bad"), ("Fou", "not")], "polarity string, word string")
+    tagged = F.transform(F.split("text", " "), lambda w: F.struct(w.alias("word"), F.lit("n").alias("tag")))
+    for df in (sentiment.rule_scores(docs, lexicon, tagged=tagged), sentiment.sentence_polarities(docs, lexicon)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
+        assert "hashpartitioning(word" not in plan
+        assert df.count() >= 1
