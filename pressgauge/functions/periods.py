@@ -48,7 +48,8 @@ def hours_of_day(day: Column) -> Column:
 
 def half_open_hours(start: Column, end: Column) -> Column:
     """Hour starts in ``[start, end)``."""
-    return F.filter(F.sequence(start, end, span(hours=1)), lambda h: h < end)
+    # Without a lambda function Spark computes the list of constant bounds once, not per row.
+    return F.array_remove(F.sequence(start, end, span(hours=1)), end)
 
 
 def previous_day(as_of: Column) -> Column:

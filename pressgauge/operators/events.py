@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,12 +78,13 @@ def metrics(events: DataFrame, news: DataFrame, visits: DataFrame, as_of: Column
 
 
 def hourly_metrics(
-    events: DataFrame, news: DataFrame, visits: DataFrame, start: Column, end: Column, hours_back: int = 0
+    events: DataFrame, news: DataFrame, visits: DataFrame, start: Column, end: Column, hours_back: int = 0,
+    shown: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """``hour``, event, ``exposure, platforms, visit`` for every event and each hour in ``[start, end)``.
 
     One pass instead of one run per hour; ``hours_back`` shifts the news window. The time bounds are
-    plain comparisons, so they reach the scans of both logs.
+    plain comparisons, so they reach the scans of both logs. ``shown`` is how an hour is given in the result.
     """
     shift = span(hours=hours_back)
     t = F.col("news_time")
@@ -92,5 +95,5 @@ def hourly_metrics(
     zero = F.lit(0).cast("bigint")
     return complete_series(
         exposed.unionByName(visited, allowMissingColumns=True), events, EVENT, "hour", half_open_hours(start, end),
-        {"exposure": zero, "platforms": F.lit(""), "visit": zero},
+        {"exposure": zero, "platforms": F.lit(""), "visit": zero}, shown,
     )

@@ -32,10 +32,10 @@ def event_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_hourly(spark: SparkSession, d: str) -> DataFrame:
-    out = ev.hourly_metrics(
-        _valid(spark, d), i.news_heads(spark, d), i.visits(spark, d), i.ts(i.START), i.ts(i.END), hours_back=1
+    return ev.hourly_metrics(
+        _valid(spark, d), i.news_heads(spark, d), i.visits(spark, d), i.ts(i.START), i.ts(i.END), hours_back=1,
+        shown=i.text_key,
     )
-    return out.withColumn("hour", i.text_key("hour"))
 
 
 def event_news(spark: SparkSession, d: str) -> DataFrame:

@@ -67,3 +67,26 @@ def test_a_year_of_hours_takes_linear_time(spark):
     start = time.monotonic()
     assert got.count() == 50 * n
     assert time.monotonic() - start < 60
+
+
+def test_a_row_of_the_grid_runs_no_lambda_and_formats_nothing(spark, rows, hours):
+    """Constant periods are one list for all rows, and how they are shown is computed once for each period."""
+    a = spark.createDataFrame([("A", T, 3), ("A", T + timedelta(hours=1), 4), ("X", T, 9)], "s string, h timestamp, n bigint")
+    names = spark.createDataFrame([("A",), ("B",), (None,)], "s string")
+    got = complete_series(
+        a, names, ["s"], "h", hours(3), {"n": F.lit(0).cast("bigint")}, shown=lambda h: F.date_format(h, "HH:mm"),
+    )
+    assert rows(got, "s", "h", "n") == {
+        ("A", "00:00", 3), ("A", "01:00", 4), ("A", "02:00", 0), *((s, f"0{k}:00", 0) for s in ("B", None) for k in range(3)),
+    }
+    assert got.count() == 9
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "transform(" not in plan
+    assert "date_format" not in plan[:plan.index("BroadcastExchange")]
+    assert "date_format" not in plan[:plan.index("Generate")]
+
+
+def test_no_periods_give_no_rows(spark, hours):
+    a = spark.createDataFrame([("A", T, 3)], "s string, h timestamp, n bigint")
+    for periods in (hours(0), F.lit(None).cast("array<timestamp>")):
+        assert complete_series(a, a.select("s"), ["s"], "h", periods, {"n": F.lit(0).cast("bigint")}).count() == 0
