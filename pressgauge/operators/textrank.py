@@ -24,10 +24,36 @@ def neighbourhoods(docs: DataFrame, window: int, doc: str = "doc_id", tokens: st
     return items.select(doc, "pos", "word", F.concat(before, after).alias("neighbours"))
 
 
-def word_graph(docs: DataFrame, window: int, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """Distinct ``doc, word, neighbour``; a word that repeats within the window neighbours itself."""
-    near = neighbourhoods(_by_document(docs, doc), window, doc, tokens)
-    return _merged(near, "neighbours", doc, "word").select(doc, "word", F.explode_outer("neighbours").alias("neighbour"))
+def word_graph(
+    docs: DataFrame, window: int, doc: str = "doc_id", tokens: Column | str = "tokens",
+) -> DataFrame:
+    """Distinct ``doc, word, neighbour``; a word that repeats within the window neighbours itself. Rows of equal ``doc``
+    are texts of one document."""
+    def edges(at: np.ndarray, to: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, None]:
+        return at, to, None
+
+    return _of_documents(docs, doc, tokens, "neighbour", None, _per_document(window, ["word", "neighbour"], edges))
+
+
+def degrees(docs: DataFrame, window: int, doc: str = "doc_id", tokens: Column | str = "tokens") -> DataFrame:
+    """``doc, word, degree``: how many neighbours a word has in the :func:`word_graph`, counted where that is made."""
+    def counted(at: np.ndarray, to: np.ndarray, n: int) -> tuple[np.ndarray, None, np.ndarray]:
+        degree = np.bincount(at, minlength=n)
+        there = np.flatnonzero(degree)
+        return there, None, degree[there]
+
+    return _of_documents(docs, doc, tokens, "degree", T.LongType(), _per_document(window, ["word", "degree"], counted))
+
+
+def _of_documents(docs: DataFrame, doc: str, tokens: Column | str, name: str, kind: T.DataType | None, run) -> DataFrame:
+    """``doc, word`` and a column of ``kind`` (None: of a word's) that ``run`` makes of each document's list of token
+    lists. Documents move once; ``tokens`` is as in :func:`textrank`."""
+    placed = _by_document(docs.select(doc, tokens) if isinstance(tokens, str) else docs, doc)
+    given = placed.select(doc, (F.col(tokens) if isinstance(tokens, str) else tokens).alias("word"))
+    key, words = given.schema.fields
+    word = words.dataType.elementType
+    result = T.StructType([key, T.StructField("word", word), T.StructField(name, kind or word)])
+    return given.groupBy(doc).agg(F.collect_list("word").alias("word")).mapInArrow(run, result)
 
 
 def _by_document(docs: DataFrame, doc: str) -> DataFrame:
@@ -35,12 +61,6 @@ def _by_document(docs: DataFrame, doc: str) -> DataFrame:
     return docs.repartition(shuffle_tasks(docs.sparkSession), doc)
 
 
-def _merged(near: DataFrame, column: str, *keys: str) -> DataFrame:
-    """The union of the neighbour lists of a word, where there is any neighbour."""
-    union = F.array_distinct(F.flatten(F.collect_list(column)))
-    return near.groupBy(*keys).agg(union.alias(column)).where(F.size(column) > 0)
-
-
 def textrank(
     docs: DataFrame, window: int, steps: int, damping: float = 0.85, doc: str = "doc_id",
     tokens: Column | str = "tokens",
@@ -64,9 +84,24 @@ def textrank(
 
 
 def _ranker(window: int, steps: int, damping: float):
-    """A function over Arrow batches of documents and their token lists. It holds all it needs, so that executors
-    need not have this package."""
-    # Of many short documents; what a piece needs in memory is some 200 bytes a token.
+    """A function over Arrow batches of documents and their token lists."""
+    def ranked(at: np.ndarray, to: np.ndarray, n: int) -> tuple[np.ndarray, None, np.ndarray]:
+        degree = np.bincount(at, minlength=n)
+        rank = np.ones(n)
+        for _ in range(steps):
+            share = rank / np.maximum(degree, 1)
+            rank = np.bincount(at, weights=share[to], minlength=n) * damping + (1.0 - damping)
+        there = np.flatnonzero(degree)
+        return there, None, rank[there]
+
+    return _per_document(window, ["word", "score"], ranked)
+
+
+def _per_document(window: int, names: list[str], finish):
+    """A function over Arrow batches of documents and their token lists (or lists of such lists). Of the edges of some
+    documents' graphs, both directions of each, and the number of vertices ``finish`` makes the vertices of the result
+    and beside them others or values. It holds all it needs, so that executors need not have this package."""
+    # Of many short documents; what a piece needs in memory is some 200 bytes a token. Also the rows of a result batch.
     piece_tokens = 1 << 17
 
     def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -86,32 +121,37 @@ def _ranker(window: int, steps: int, damping: float):
         both = np.sort(np.concatenate((pairs, high[~loops] * n + low[~loops])))
         return np.divmod(both, n) if len(both) else (both, both)
 
-    def ranked(name: str, keys: pa.Array, lists: pa.Array) -> pa.RecordBatch:
-        row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    def lengths(lists: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def made(name: str, keys: pa.Array, lists: pa.Array) -> Iterator[pa.RecordBatch]:
+        of = np.arange(len(lists))
+        if pa.types.is_list(lists.type.value_type):
+            of, lists = np.repeat(of, lengths(lists)), lists.flatten()
+        row = np.repeat(np.arange(len(lists)), lengths(lists))
         coded = lists.flatten().dictionary_encode(null_encoding="encode")
         width = max(len(coded.dictionary), 1)
-        places = row * width + coded.indices.to_numpy(zero_copy_only=False)
+        places = of[row] * width + coded.indices.to_numpy(zero_copy_only=False)
         distinct, vertex = np.unique(places, return_inverse=True)
-        at, to = edges(vertex, row, len(distinct))
-        degree = np.bincount(at, minlength=len(distinct))
-        there = degree > 0
-        rank = np.ones(len(distinct))
-        for _ in range(steps):
-            share = rank / np.maximum(degree, 1)
-            rank = np.bincount(at, weights=share[to], minlength=len(distinct)) * damping + (1.0 - damping)
-        doc, word = np.divmod(distinct[there], width)
-        return pa.RecordBatch.from_arrays(
-            [keys.take(pa.array(doc)), coded.dictionary.take(pa.array(word)), pa.array(rank[there])], names=[name, "word", "score"],
-        )
+        found, others, values = finish(*edges(vertex, row, len(distinct)), len(distinct))
+        for first in range(0, len(found), piece_tokens):
+            part = slice(first, first + piece_tokens)
+            doc, word = np.divmod(distinct[found[part]], width)
+            beside = pa.array(values[part]) if others is None else coded.dictionary.take(pa.array(distinct[others[part]] % width))
+            yield pa.RecordBatch.from_arrays(
+                [keys.take(pa.array(doc)), coded.dictionary.take(pa.array(word)), beside], names=[name, *names],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             name, (keys, lists) = batch.schema.names[0], batch.columns
-            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            ends = np.cumsum(lengths(lists))
+            if pa.types.is_list(lists.type.value_type):
+                ends = np.concatenate(([0], np.cumsum(lengths(lists.flatten()))))[ends]
             first, done = 0, 0
             while first < len(lists):
                 last = max(int(np.searchsorted(ends, done + piece_tokens, side="right")), first + 1)
-                yield ranked(name, keys.slice(first, last - first), lists.slice(first, last - first))
+                yield from made(name, keys.slice(first, last - first), lists.slice(first, last - first))
                 first, done = last, int(ends[last - 1])
 
     return run

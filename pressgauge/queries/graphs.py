@@ -55,13 +55,8 @@ def pagerank_keep_sources(spark: SparkSession, d: str) -> DataFrame:
     return ranks.withColumn("rank", F.round("rank", 6))
 
 
-def _tokens(spark: SparkSession, d: str) -> DataFrame:
-    return i.documents(spark, d, "doc_id", "text").select("doc_id", words(F.col("text")).alias("tokens"))
-
-
 def word_graph(spark: SparkSession, d: str) -> DataFrame:
-    edges = textrank.word_graph(_tokens(spark, d), WINDOW)
-    return edges.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("degree"))
+    return textrank.degrees(i.documents(spark, d, "text"), WINDOW, tokens=words(F.col("text")))
 
 
 def _scores(spark: SparkSession, d: str) -> DataFrame:
