@@ -2,8 +2,10 @@ import math
 import random
 import re
 from collections import Counter
+from collections.abc import Iterator
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 
 from pressgauge.operators import similarity
@@ -126,3 +128,56 @@ def test_pairs_are_not_shuffled(spark, monkeypatch, least):
     assert len(plans) == 1 and not re.search(r"Exchange hashpartitioning\([^)]*\bb#", plans[0])
     if not least:
         assert "Join" not in pairs._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [tile")[0]
+
+
+def packed_sizes(blocks, least):
+    """In place of a tile's pairs one row with the bytes of what was sent to it."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, tile = 0, None
+        for batch in batches:
+            tile = batch.column("tile").slice(0, 1)
+            size += sum(len(x.as_py()) for c in ("terms", "users") for x in batch.column(c))
+        name, one = pa.array(["x"]), pa.array([1])
+        yield pa.RecordBatch.from_arrays([tile, name, name, one, one, pa.array([size])], names=["tile", "a", "b", "n_a", "n_b", "together"])
+
+    return count
+
+
+def test_little_is_sent_to_tiles(spark, monkeypatch):
+    """Blocks are packed: a few bytes for each user of a term and tile, where a row of parts of baskets took a hundred."""
+    rng = random.Random(9)
+    rows = [(f"user{u}", f"t{t}", 200) for u in range(1500) for t in rng.sample(range(300), 40)]
+    coded = spark.createDataFrame(rows, "user_id string, no string, n bigint")
+    monkeypatch.setattr(similarity, "_counter", packed_sizes)
+    sizes = [r["together"] for r in similarity._pairs(coded).collect()]
+    # 4 blocks, each sent to 4 tiles.
+    assert len(sizes) == 10 and sum(sizes) < 4 * 4 * len(rows)
+
+
+def test_blocks_whose_counts_allow_no_close_pair_do_not_meet(spark, monkeypatch):
+    coded = spark.createDataFrame(
+        [(f"u{u}", f"t{n}-{t}", n) for n in (3, 300) for t in range(1200 // n) for u in range(n)], "user_id string, no string, n bigint",
+    )
+    monkeypatch.setattr(similarity, "_counter", packed_sizes)
+    assert similarity._pairs(coded, 0.5).count() < similarity._pairs(coded).count()
+
+
+def test_cosine_of_packs_of_all_sizes(spark, monkeypatch):
+    """Repeated rows and users without a name as before; blocks of several packs, of one term and of none."""
+    rng = random.Random(10)
+    baskets = {f"u{u}": rng.sample(range(90), rng.randint(1, 30)) for u in range(60)}
+    rows = [(u, f"t{t}") for u, b in baskets.items() for t in b] + [(f"u{u}", "everywhere") for u in range(60)]
+    rows += [("u1", "t1"), ("u1", "t1"), ("u1", "t2"), (None, "t3"), (None, "t4"), ("u2", None)]
+    df = spark.createDataFrame(rows, "user_id string, term string")
+    n = Counter(t for _, t in rows)
+    times = Counter(rows)
+    both = Counter()
+    for (u, a), x in times.items():
+        for (v, b), y in times.items():
+            if u is not None and u == v and a is not None and b is not None and a < b:
+                both[a, b] += x * y
+    for size in (7, 1 << 20):
+        monkeypatch.setattr(similarity, "SLICE", size)
+        for least in (0.0, 0.3):
+            got = {(r["term_a"], r["term_b"]): r["together"] for r in similarity.term_cosine(df, 2, min_cosine=least).collect()}
+            assert got == {p: c for p, c in both.items() if n[p[0]] >= 2 and n[p[1]] >= 2 and c / math.sqrt(n[p[0]] * n[p[1]]) >= least}
