@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressgauge.session import ensure_checkpoint_dir, run_path
+from pressgauge.session import ensure_checkpoint_dir, run_path, shuffles_dropped
 from pressgauge.sources.tables import remove, write_bucketed
 
 
@@ -162,17 +162,34 @@ def label_propagation(
     ``iterations`` further ones; known vertices are reset to their label after each, others are scaled
     to sum to one. Vertices without edges are absent. ``scores`` is ``id, known, label, p0, p1, final``
     with final 0.0 where p0 >= 0.5, else 1.0; ``trace`` is ``step, difference``, the sum of absolute
-    changes of p1 per iteration. With ``tolerance`` the run ends after the first checkpoint whose last
-    step changed less than that.
+    changes of p1 per iteration. With ``tolerance`` the run ends after the first step that is a multiple of
+    ``checkpoint_every`` and changed less than that. Computed eagerly.
 
     A vertex's own values travel along its self loop, so a step reads the state once; labels are joined to the sums.
+    A step's state is a table that the next one's replaces, and its messages are deleted with the step, so that only one
+    step's are on disk at a time.
     """
+    spark = pairs.sparkSession
+    with shuffles_dropped(spark):
+        state, moves = _propagated(pairs, labels, iterations, tolerance, checkpoint_every, slice_edges)
+    trace = spark.createDataFrame(moves, "step int, difference double")
+    scores = state.select(
+        F.col("vertex").alias("id"), "known", "label", "p0", "p1", F.when(F.col("p0") >= 0.5, 0.0).otherwise(1.0).alias("final")
+    )
+    return scores, trace
+
+
+def _propagated(
+    pairs: DataFrame, labels: DataFrame, iterations: int, tolerance: float | None, checkpoint_every: int, slice_edges: int,
+) -> tuple[DataFrame, list[tuple[int, float]]]:
+    """The state after the last step as a table, and the steps with their differences."""
+    spark = pairs.sparkSession
     pairs, path = _table(pairs.select("src", "dst", "w"), "pairs")
     both = _both_ways(pairs).select(F.col("dst").alias("at"), F.col("src").alias("to"), "w", F.lit(False).alias("own"))
     # Scores of a vertex are rescaled to sum to one, so its row sum cancels and the raw weights do.
     loops = both.select("at").distinct().select("at", F.col("at").alias("to"), F.lit(1.0).alias("w"), F.lit(True).alias("own"))
     layout = EdgeLayout(both.unionByName(loops), slice_edges)
-    remove(pairs.sparkSession, path)
+    remove(spark, path)
     start0, start1 = _one_hot(F.col("label"))
     state = labels.join(layout.sizes, F.col("id") == F.col("at")).select(
         F.col("id").alias("vertex"), "slices", start0.alias("p0"), start1.alias("p1"),
@@ -180,47 +197,28 @@ def label_propagation(
     # What stays the same is not sent along the edges.
     fixtures = labels.groupBy("id").agg(F.max("known").alias("known"), F.max("label").alias("label"))
     fixtures = fixtures.join(layout.sizes, F.col("id") == F.col("at")).select(F.col("id").alias("vertex"), "slices", "known", "label").checkpoint()
-    trace_parts: list[DataFrame] = []
-    moves: list[int] = []
+    moves: list[tuple[int, float]] = []
+    last = None
     for step in range(0, iterations + 1):
-        def own(column: str) -> Column:
-            return F.max(F.when(F.col("own"), F.col(column))).alias(column)
-
-        kept = [f"move{k}" for k in moves]
-        sums = layout.read(state).groupBy(F.col("to").alias("vertex")).agg(
-            *map(own, kept), *([own("p1").alias("before")] if step else []),
-            F.sum(F.col("w") * F.col("p0")).alias("s0"), F.sum(F.col("w") * F.col("p1")).alias("s1"),
+        before = [F.max(F.when(F.col("own"), F.col("p1"))).alias("before")] if step else []
+        sums = layout.read(state.select("vertex", "slices", "p0", "p1")).groupBy(F.col("to").alias("vertex")).agg(
+            *before, F.sum(F.col("w") * F.col("p0")).alias("s0"), F.sum(F.col("w") * F.col("p1")).alias("s1"),
         ).join(fixtures, "vertex")
         total = F.nullif(F.col("s0") + F.col("s1"), F.lit(0.0))
         fixed = F.col("known") == 1
         p1 = F.when(fixed, start1).otherwise(F.col("s1") / total)
         # The first product has no predecessor in the trace.
+        move = [F.abs(p1 - F.col("before")).alias("move")] if step else []
+        state, path = _table(sums.select(
+            "vertex", "slices", "known", "label", F.when(fixed, start0).otherwise(F.col("s0") / total).alias("p0"), p1.alias("p1"), *move,
+        ), "state")
+        if last is not None:
+            remove(spark, last)
+        last = path
         if step:
-            moves.append(step)
-        new = [F.abs(p1 - F.col("before")).alias(f"move{step}")] if step else []
-        state = sums.select(
-            "vertex", "slices", "known", "label", F.when(fixed, start0).otherwise(F.col("s0") / total).alias("p0"), p1.alias("p1"), *kept, *new,
-        )
-        if step == iterations or (step and step % checkpoint_every == 0):
-            state = state.checkpoint()
-            if moves:
-                rows = F.array(*[F.struct(F.lit(k).alias("step"), F.col(f"move{k}").alias("move")) for k in moves])
-                part = state.select(F.inline(rows)).groupBy("step").agg(F.sum("move").alias("difference"))
-                trace_parts.append(part)
-            state = state.drop(*[f"move{k}" for k in moves])
-            moves = []
-            if tolerance is not None and step:
-                last = part.where(F.col("step") == step).first()
-                if last is None or last["difference"] < tolerance:
-                    break
+            there, difference = state.agg(F.count(F.lit(1)), F.sum("move")).first()
+            moves += [(step, difference)] if there else []
+            if tolerance is not None and step % checkpoint_every == 0 and (not there or difference < tolerance):
+                break
     layout.forget()
-    if trace_parts:
-        trace = trace_parts[0]
-        for part in trace_parts[1:]:
-            trace = trace.unionByName(part)
-    else:
-        trace = state.select(F.lit(0).alias("step"), F.lit(0.0).alias("difference")).where("false")
-    scores = state.select(
-        F.col("vertex").alias("id"), "known", "label", "p0", "p1", F.when(F.col("p0") >= 0.5, 0.0).otherwise(1.0).alias("final")
-    )
-    return scores, trace
+    return state, moves
